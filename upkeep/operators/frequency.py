@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.expressions import none_null, text_or_nan
+from .lookups import with_summary
 
 
 def value_counts(df: DataFrame, *names: str, count: str = "count") -> DataFrame:
@@ -90,9 +91,8 @@ def histogram(df: DataFrame, value: str | Column, bins: int) -> DataFrame:
     """Equal-width bins over the whole value range; the last bin is closed."""
     data = df.select((F.col(value) if isinstance(value, str) else value).cast("double").alias("_v"))
     data = data.where(F.col("_v").isNotNull())
-    edges = data.agg(F.min("_v").alias("low"), F.max("_v").alias("high"))
-    low, high = edges.select("low").scalar(), edges.select("high").scalar()
-    placed = data.withColumn("_low", low).withColumn("_width", (high - low) / F.lit(bins))
+    low, high = F.min("_v"), F.max("_v")
+    placed = with_summary(data, data.agg(low.alias("_low"), ((high - low) / F.lit(bins)).alias("_width")))
     bucket = F.when(F.col("_width") > 0, F.least(F.floor((F.col("_v") - F.col("_low")) / F.col("_width")), F.lit(bins - 1)))
     return (
         placed.withColumn("bin", F.coalesce(bucket, F.lit(0)).cast("long"))

@@ -97,3 +97,11 @@ def attach_codes(rows: DataFrame, codes: Mapping[str, Lookup], outputs: Mapping[
         )
         rows = table.attach(rows.withColumn(helper, text_or_nan(name))).drop(helper)
     return rows
+
+
+def with_summary(rows: DataFrame, summary: DataFrame) -> DataFrame:
+    """Add the columns of a one-row ``summary`` to every row, as one scalar subquery (no join)."""
+    packed = "_summary"
+    return rows.withColumn(packed, summary.select(F.struct(*summary.columns)).scalar()).select(
+        *rows.columns, *[F.col(f"{packed}.{name}") for name in summary.columns]
+    )

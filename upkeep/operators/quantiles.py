@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.expressions import column, none_null, safe_ratio
+from .lookups import with_summary
 from .ordered import running_totals
 from .slicing import DEFAULT_POLICY, SlicePolicy
 
@@ -83,5 +84,5 @@ def describe(
     if keys:
         joined = moments.join(quartiles, keys, "left")
     else:
-        joined = moments.withColumns({name: quartiles.select(name).scalar() for name in ("p25", "p50", "p75")})
+        joined = with_summary(moments, quartiles)
     return joined.select(*keys, "count", "mean", "std", "min", "p25", "p50", "p75", "max")

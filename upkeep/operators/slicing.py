@@ -159,8 +159,7 @@ def _split_points(df: DataFrame, hot: DataFrame, keys: list[str], order: list[st
     """Per hot key, nested arrays of ascending split positions (two levels keep the lookup short)."""
     one_in = F.greatest(F.floor(F.col("_cut") / policy.samples_per_slice), F.lit(1))
     sampled = (
-        df.select(*keys, *order)
-        .join(F.broadcast(hot), keys)
+        df.join(F.broadcast(hot), keys)
         .where(F.pmod(F.xxhash64(*keys, *order), one_in) == 0)
         .groupBy(*keys, _SLICES)
         .agg(F.sort_array(F.collect_list(_position(order))).alias("_sample"))
@@ -178,16 +177,22 @@ def _split_points(df: DataFrame, hot: DataFrame, keys: list[str], order: list[st
 
 
 def slice_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], policy: SlicePolicy = DEFAULT_POLICY
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    policy: SlicePolicy = DEFAULT_POLICY,
+    measured: DataFrame | None = None,
 ) -> Sliced:
     """Add ``_slice`` so that no ``(key, _slice)`` group is unbounded.
 
     ``order`` names ascending columns (nulls last) that identify a row within its key.  Rows with a missing key
-    belong to no group; they are scattered, and the caller masks their results.
+    belong to no group; they are scattered, and the caller masks their results.  ``measured`` is a cheaper frame
+    with the same keys and order, from which hot keys are found when ``df`` has been widened since.
     """
     keys, order = list(keys), list(order)
-    hot = _hot_keys(df, keys, policy)
-    split = _split_points(df, hot, keys, order, policy)
+    source = (df if measured is None else measured).select(*dict.fromkeys([*keys, *order]))
+    hot = _hot_keys(source, keys, policy)
+    split = _split_points(source, hot, keys, order, policy)
     position = _position(order)
     chunk = F.size(F.filter(_CUTS, lambda points: F.element_at(points, 1) <= position))
     inner = F.size(F.filter(F.element_at(_CUTS, F.greatest(chunk, F.lit(1))), lambda point: point <= position))
