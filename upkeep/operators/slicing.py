@@ -94,10 +94,10 @@ class Sliced:
 
     def per_slice(self, statistics: DataFrame) -> DataFrame:
         """Replicate per-key rows onto every slice of the key (the small side of a salted join)."""
-        slices = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SLICES) - 1, F.lit(0)).cast("int")))
+        last = F.coalesce(F.col(_SLICES) - 1, F.lit(0)).cast("long")
         return (
             statistics.join(F.broadcast(self.hot_keys.select(*self.keys, _SLICES)), list(self.keys), "left")
-            .withColumn(SLICE, slices.cast("long"))
+            .withColumn(SLICE, F.explode(F.sequence(F.lit(0).cast("long"), last)))
             .drop(_SLICES)
         )
 

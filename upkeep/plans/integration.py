@@ -18,14 +18,21 @@ PLACE = ("site", "zone")
 REQUEST_ORDER = ("date_demande", "id_demande")
 
 
-def part_totals(parts: DataFrame, order: Sequence[str] = REQUEST_ORDER, article_limit: int = 5) -> DataFrame:
-    """Per repair order: request count, quantity, cost, first articles, families and modal status."""
+def part_totals(
+    parts: DataFrame, order: Sequence[str] = REQUEST_ORDER, article_limit: int = 5, texts: bool = True
+) -> DataFrame:
+    """Per repair order: request count, quantity, cost, first articles, families and modal status.
+
+    ``texts=False`` leaves the last three out, for callers that only need the numbers.
+    """
     key = ["id_ot"]
     sums = parts.where(none_null(key)).groupBy(*key).agg(
         F.count("id_demande").alias("num_spare_parts_requests"),
         F.coalesce(F.sum("quantite_demande"), F.lit(0.0)).alias("total_parts_quantity"),
         F.coalesce(F.sum("cout_total"), F.lit(0.0)).alias("total_parts_cost"),
     )
+    if not texts:
+        return sums.withColumnRenamed("id_ot", "id_ordre_travail")
     articles = first_distinct(parts, key, "article", order, "parts_articles", article_limit)
     families = first_distinct(parts, key, "famille", order, "parts_families")
     status = modes(parts, key, ["etat"]).withColumnRenamed("etat", "parts_request_status")
@@ -37,9 +44,11 @@ def part_totals(parts: DataFrame, order: Sequence[str] = REQUEST_ORDER, article_
     )
 
 
-def attach_parts(corrective: DataFrame, parts: DataFrame, order: Sequence[str] = REQUEST_ORDER) -> DataFrame:
+def attach_parts(
+    corrective: DataFrame, parts: DataFrame, order: Sequence[str] = REQUEST_ORDER, texts: bool = True
+) -> DataFrame:
     """Left-join the part totals; orders without requests get zeros."""
-    joined = corrective.join(part_totals(parts, order), "id_ordre_travail", "left")
+    joined = corrective.join(part_totals(parts, order, texts=texts), "id_ordre_travail", "left")
     return joined.withColumns(
         {
             "num_spare_parts_requests": F.coalesce("num_spare_parts_requests", F.lit(0)).cast("long"),
