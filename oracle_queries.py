@@ -654,4 +654,131 @@ Q["code_lookup"] = f"WITH {C} " + " UNION ALL ".join(
     for n in ("site", "famille", "portfolio")
 )
 
+# Schema-only report: the number of numeric features whose name carries each group's fragments.
+Q["feature_groups"] = """SELECT * FROM (VALUES ('Temporelles', 8), ('Equipement', 9), ('Localisation', 5),
+  ('Pieces rechange', 8), ('Prestataire', 3), ('Fenetres glissantes', 4), ('Encodees', 8)) AS g(feature_group, features)"""
+
+# --- anomaly flags ------------------------------------------------------------------------------------------------------------
+
+FLAGGED = f"""{C}, flagged AS (
+  SELECT *, greatest(iso_anomaly, ocsvm_anomaly) AS anomaly_consensus, iso_anomaly + ocsvm_anomaly AS anomaly_confidence
+  FROM (SELECT *, CASE WHEN cout_total > 450000 THEN 1 ELSE 0 END AS iso_anomaly,
+        CASE WHEN duree_intervention_par_heure > 180 THEN 1 ELSE 0 END AS ocsvm_anomaly FROM corrective)
+)"""
+Q["evaluate_anomalies"] = f"""WITH {FLAGGED} SELECT count(*) AS total_samples,
+  sum(iso_anomaly)::BIGINT AS isolation_forest_anomalies, sum(ocsvm_anomaly)::BIGINT AS ocsvm_anomalies,
+  sum(anomaly_consensus)::BIGINT AS consensus_anomalies,
+  count(*) FILTER (WHERE anomaly_confidence = 2) AS high_confidence_anomalies,
+  {r("avg(CASE WHEN iso_anomaly = ocsvm_anomaly THEN 100.0 ELSE 0 END)", "agreement_pct", 2)} FROM flagged"""
+
+
+def grouped_means(name: str) -> str:
+    a, n = f"avg({name}) FILTER (WHERE anomaly_consensus = 1)", f"avg({name}) FILTER (WHERE anomaly_consensus = 0)"
+    return f"""SELECT '{name}' AS feature, {r(n, "normal_mean", 2)}, {r(a, "anomaly_mean", 2)},
+  {r(f"({a} - {n}) / {n} * 100", "difference_pct", 1)} FROM flagged"""
+
+
+Q["compare_anomaly_groups"] = f"WITH {FLAGGED} " + " UNION ALL ".join(
+    grouped_means(n) for n in ("cout_total", "duree_intervention_par_heure", "time_to_closure_hours")
+)
+Q["anomaly_profile"] = f"WITH {FLAGGED} " + " UNION ALL ".join(
+    f"""SELECT '{n}' AS factor, {n} AS value, count(*) AS count,
+  {r("count(*) * 100.0 / sum(count(*)) OVER ()", "share_pct")} FROM flagged WHERE iso_anomaly = 1 GROUP BY {n}"""
+    for n in ("site", "portfolio", "urgence", "etat")
+)
+Q["anomaly_rate_by_site"] = f"""WITH {FLAGGED} SELECT site, sum(iso_anomaly)::BIGINT AS anomalies, count(*) AS orders,
+  {r("sum(iso_anomaly) * 100.0 / count(*)", "rate_pct")} FROM flagged GROUP BY site"""
+Q["method_overlap"] = f"""WITH {FLAGGED} SELECT CASE WHEN anomaly_confidence = 2 THEN 'both'
+  WHEN iso_anomaly = 1 THEN 'only_isolation_forest' WHEN ocsvm_anomaly = 1 THEN 'only_one_class' ELSE 'neither' END
+  AS category, count(*) AS count FROM flagged GROUP BY ALL"""
+Q["flag_correlations"] = f"WITH {FLAGGED} " + " UNION ALL ".join(
+    f"SELECT '{n}' AS feature, {r(f'abs(corr({n}, iso_anomaly))', 'correlation')} FROM flagged" for n in _CORR
+)
+_SHARE = "sum(CASE WHEN anomaly_consensus = 1 THEN cout_total ELSE 0 END)"
+Q["anomaly_cost_share"] = f"""WITH {FLAGGED} SELECT sum(anomaly_consensus)::BIGINT AS anomalous_orders,
+  {r(_SHARE, "anomaly_cost")}, {r("sum(cout_total)", "total_cost")},
+  {r(f"{_SHARE} / sum(cout_total) * 100", "anomaly_cost_pct")} FROM flagged"""
+_ACTIONS = (
+    ("review_anomalous_orders", f"(SELECT {_SHARE} * 0.5 FROM flagged)", "Haute", "Detection anomalies (IF+SVM)"),
+    ("replace_recurring_assets", "(SELECT sum(x) * 0.3 FROM (SELECT sum(cout_total) AS x FROM corrective GROUP BY id_actif "
+     "HAVING count(*) >= 3))", "Haute", "Analyse equipements recurrents"),
+    ("inspect_low_mtbf_families", "NULL", "Moyenne", "Calcul MTBF par famille"),
+    ("renegotiate_slow_providers", "NULL", "Moyenne", "Performance prestataires"),
+    ("safety_stock_pareto_articles", "(SELECT avg(CASE WHEN quantite_dispo = 0 THEN 100.0 ELSE 0 END) FROM parts)", "Haute",
+     "Analyse Pareto + ruptures"),
+    ("track_preventive_compliance", "(SELECT on_time * 100.0 / total FROM comply)", "Haute",
+     "Analyse conformite preventive"),
+)
+Q["improvement_actions"] = f"""WITH {FLAGGED.replace(C, CP, 1)}, {PARTS}, {COMPLY} """ + " UNION ALL ".join(
+    f"SELECT {i + 1}::BIGINT AS rank, '{a}' AS action, {r(x, 'impact')}, '{p}' AS priority, '{s}' AS source"
+    for i, (a, x, p, s) in enumerate(_ACTIONS)
+)
+
+# --- models -----------------------------------------------------------------------------------------------------------------------
+
+_MEASURES = ("cout_total", "duree_intervention_par_heure", "time_to_closure_hours", "time_to_start_hours")
+_FILLED = ", ".join(f"coalesce({n}, (SELECT {med(n)} FROM corrective)) AS x{i}" for i, n in enumerate(_MEASURES))
+_SCALED = ", ".join(r(f"(x{i} - avg(x{i}) OVER ()) / stddev_pop(x{i}) OVER ()", f"x{i}") for i in range(len(_MEASURES)))
+Q["standardized_inputs"] = f"""WITH {C}, filled AS (SELECT id_ordre_travail, {_FILLED} FROM corrective)
+  SELECT id_ordre_travail, {_SCALED} FROM filled"""
+
+RULE = f"""{C}, ruled AS (
+  SELECT id_ordre_travail, CASE WHEN urgence = 'Fort' THEN 1 ELSE 0 END AS label,
+         coalesce(duree_intervention_par_heure, 0) / 500 AS probability,
+         CASE WHEN cout_total > 250000 THEN 1 ELSE 0 END AS prediction FROM corrective
+), cells AS (
+  SELECT count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn, count(*) FILTER (WHERE label = 0 AND prediction = 1)
+         AS fp, count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn,
+         count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp FROM ruled
+)"""
+_AUC = """(SELECT sum(CASE WHEN p.probability > n.probability THEN p.c * n.c
+                            WHEN p.probability = n.probability THEN 0.5 * p.c * n.c ELSE 0 END)
+                  / (sum(p.c * n.c))
+   FROM (SELECT probability, count(*) AS c FROM ruled WHERE label = 1 GROUP BY ALL) p,
+        (SELECT probability, count(*) AS c FROM ruled WHERE label = 0 GROUP BY ALL) n)"""
+_P, _R = "(tp / (tp + fp)::DOUBLE)", "(tp / (tp + fn)::DOUBLE)"
+_NP, _NR = "(tn / (tn + fn)::DOUBLE)", "(tn / (tn + fp)::DOUBLE)"
+
+
+def f1(p: str, q: str) -> str:
+    return f"(2 * {p} * {q} / ({p} + {q}))"
+
+
+Q["classification_metrics"] = f"""WITH {RULE} SELECT tn, fp, fn, tp, tn + fp + fn + tp AS samples,
+  {r("(tp + fn) / (tn + fp + fn + tp)::DOUBLE", "positive_rate")},
+  {r("(tp + tn) / (tn + fp + fn + tp)::DOUBLE", "accuracy")}, {r(_P, "precision")}, {r(_R, "recall")},
+  {r(f1(_P, _R), "f1")}, {r(_AUC, "roc_auc")} FROM cells"""
+_ALL = "(tn + fp + fn + tp)"
+
+
+def averaged(a: str, b: str, weighted: bool) -> str:
+    return f"({a} * (tn + fp) + {b} * (tp + fn)) / {_ALL}" if weighted else f"({a} + {b}) / 2"
+
+
+def report_row(name: str, p: str, q: str, f: str, n: str) -> str:
+    return f"SELECT '{name}' AS class, {r(p, 'precision')}, {r(q, 'recall')}, {r(f, 'f1')}, {n} AS support FROM cells"
+
+
+Q["classification_report"] = f"WITH {RULE} " + " UNION ALL ".join(
+    [
+        report_row("negative", _NP, _NR, f1(_NP, _NR), "tn + fp"),
+        report_row("positive", _P, _R, f1(_P, _R), "tp + fn"),
+        *[
+            report_row(
+                f"{kind} avg",
+                averaged(_NP, _P, kind == "weighted"),
+                averaged(_NR, _R, kind == "weighted"),
+                averaged(f1(_NP, _NR), f1(_P, _R), kind == "weighted"),
+                _ALL,
+            )
+            for kind in ("macro", "weighted")
+        ],
+    ]
+)
+Q["confusion_matrix"] = f"""WITH {RULE} SELECT 0::BIGINT AS label, 0::BIGINT AS prediction, tn AS count FROM cells
+  UNION ALL SELECT 0, 1, fp FROM cells UNION ALL SELECT 1, 0, fn FROM cells UNION ALL SELECT 1, 1, tp FROM cells"""
+Q["stratified_split"] = f"""WITH {RULE}, n AS (SELECT label, count(*) AS n FROM ruled GROUP BY label)
+  SELECT label, f AS fold, CAST(floor((n - 1 - f) / 5) + 1 AS BIGINT) AS orders FROM n, range(5) t(f)
+  UNION ALL SELECT label, -1, CAST(round(n * 0.2) AS BIGINT) FROM n"""
+
 ORACLE_SQL = Q

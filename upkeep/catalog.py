@@ -8,7 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .functions.expressions import quoted
 from .operators.frequency import duplicate_rows
+from .models import anomaly, classifiers, matrix, metrics, scoring, splits
+from .models.boundary import fit_boundary
+from .models.isolation import fit_forest
 from .plans import cleaning, effectiveness as eff, exploration as ex, features as ft, integration as ig, spare_parts as sp
+from .session import materialize
 from .sources import star_tables as star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -647,3 +651,202 @@ def code_lookup(spark, folder):
     return ex.code_lookup(repairs(spark, folder, "site famille portfolio"), ["site", "famille", "portfolio"])
 
 
+
+
+# --- reports on anomaly flags -------------------------------------------------------------------------------------------
+
+@query
+def evaluate_anomalies(spark, folder):
+    return anomaly.evaluate_anomalies(anomaly.anomaly_consensus(flagged(spark, folder)))
+
+
+@query
+def compare_anomaly_groups(spark, folder):
+    return anomaly.compare_groups(anomaly.anomaly_consensus(flagged(spark, folder)))
+
+
+@query
+def anomaly_profile(spark, folder):
+    return anomaly.anomaly_profile(flagged(spark, folder, "site portfolio urgence etat"))
+
+
+@query
+def anomaly_rate_by_site(spark, folder):
+    return anomaly.anomaly_rate_by(flagged(spark, folder, "site"))
+
+
+@query
+def method_overlap(spark, folder):
+    return anomaly.method_overlap(flagged(spark, folder))
+
+
+@query
+def flag_correlations(spark, folder):
+    names = ["cout_total", "duree_intervention_par_heure", "time_to_closure_hours", "nombre_main_doeuvre"]
+    return anomaly.flag_correlations(flagged(spark, folder, "nombre_main_doeuvre"), names)
+
+
+@query
+def anomaly_cost_share(spark, folder):
+    return ex.anomaly_cost_share(anomaly.anomaly_consensus(flagged(spark, folder)))
+
+
+@query
+def improvement_actions(spark, folder):
+    return ex.improvement_actions(
+        anomaly.anomaly_consensus(flagged(spark, folder)),
+        repairs(spark, folder, "id_actif cout_total est_reouvert"),
+        sp.stock_out_overview(requests(spark, folder, "famille quantite_dispo cout_total")),
+        eff.preventive_compliance(planned(spark, folder, "numero_ot days_deviation_from_plan")),
+    )
+
+
+# --- models ------------------------------------------------------------------------------------------------------------------
+
+MEASURES = ["cout_total", "duree_intervention_par_heure", "time_to_closure_hours", "time_to_start_hours"]
+
+
+def measures(spark, folder) -> DataFrame:
+    return repairs(spark, folder, ["id_ordre_travail", *MEASURES])
+
+
+def scaled_measures(spark, folder) -> tuple[DataFrame, list[str]]:
+    rows = measures(spark, folder)
+    scaler = matrix.Standardizer.fit(rows, MEASURES)
+    scaled = materialize(rows.select("id_ordre_travail", *scaler.columns()))
+    return scaled, [f"x{i}" for i in range(len(MEASURES))]
+
+
+@query
+def standardized_inputs(spark, folder):
+    """Median fill and scaling of the model inputs."""
+    return scaled_measures(spark, folder)[0]
+
+
+@query
+def model_matrix(spark, folder):
+    """Zero-filled, scaled vectors of all numeric features."""
+    rows = features(spark, folder)
+    scaled, _ = matrix.model_matrix(rows, matrix.numeric_inputs(rows))
+    return scaled.select("id_ordre_travail", F.size(classifiers.vector_to_array("scaled")).alias("inputs"))
+
+
+@query
+def isolation_forest(spark, folder):
+    scaled, names = scaled_measures(spark, folder)
+    forest = fit_forest(scaled, "id_ordre_travail", names)
+    return scaled.select("id_ordre_travail", forest.score_column(spark, names).alias("iso_score"))
+
+
+@query
+def one_class_boundary(spark, folder):
+    scaled, names = scaled_measures(spark, folder)
+    model = fit_boundary(scaled, names)
+    score = model.score_column(names) - F.lit(model.rho)
+    return scaled.select("id_ordre_travail", score.alias("ocsvm_score")).withColumn(
+        "ocsvm_anomaly", (F.col("ocsvm_score") < 0).cast("long")
+    )
+
+
+@query
+def anomaly_detector(spark, folder):
+    """Both methods on the sixteen features of the feature table, with consensus."""
+    rows = materialize(features(spark, folder).select("id_ordre_travail", *anomaly.ANOMALY_FEATURES))
+    model = anomaly.AnomalyDetector().fit(rows)
+    return model.transform(rows).select(
+        "id_ordre_travail", "iso_score", "iso_anomaly", "ocsvm_score", "ocsvm_anomaly", "anomaly_consensus", "anomaly_confidence"
+    )
+
+
+# Smaller than the published settings: the queries show the operators, the functions default to the full models.
+QUICK_FOREST = classifiers.ModelSettings(trees=10, depth=6, min_leaf=5, balanced=True, folds=2)
+QUICK_BOOST = classifiers.ModelSettings(trees=5, depth=4, learning_rate=0.1, folds=0)
+
+
+@query
+def failure_model(spark, folder):
+    return classifiers.train_failure_model(materialize(features(spark, folder)), QUICK_FOREST).metrics
+
+
+@query
+def failure_importances(spark, folder):
+    quick = classifiers.ModelSettings(trees=10, depth=6, min_leaf=5, balanced=True, folds=0)
+    return classifiers.train_failure_model(materialize(features(spark, folder)), quick).classifier.importances()
+
+
+@query
+def parts_model(spark, folder):
+    return classifiers.train_parts_model(materialize(features(spark, folder)), QUICK_BOOST).metrics
+
+
+@query
+def effectiveness_model(spark, folder):
+    return classifiers.train_effectiveness_model(labels(spark, folder), QUICK_FOREST).metrics
+
+
+@query
+def score_orders(spark, folder):
+    """Every repair order re-entered as a new, partly described one and scored by the three models."""
+    orders = materialize(integrated(spark, folder, FEATURE_INPUT))
+    table = materialize(ft.feature_table(orders))
+    failure = classifiers.train_failure_model(table, classifiers.ModelSettings(trees=5, depth=5, balanced=True, folds=0))
+    parts = classifiers.train_parts_model(table, classifiers.ModelSettings(trees=3, depth=3, learning_rate=0.1, folds=0))
+    ensemble = anomaly.AnomalyDetector(steps=5).fit(table)
+    profile = scoring.ScoringProfile.fit(orders, table)
+    return scoring.score_orders(new_orders(orders), profile, failure.classifier, parts.classifier, ensemble).drop(
+        "previous_failures", "days_since_last_maintenance"
+    )
+
+
+def new_orders(orders: DataFrame) -> DataFrame:
+    return orders.select(
+        *"id_ordre_travail site famille portfolio urgence anomalie cout_total duree_intervention_par_heure".split(),
+        "nombre_main_doeuvre",
+        F.hour("date_creation_ot").alias("creation_hour"),
+        F.weekday("date_creation_ot").alias("creation_day_of_week"),
+        F.lit(1).alias("previous_failures"),
+        F.lit(15.0).alias("days_since_last_maintenance"),
+        "date_creation_ot",
+    )
+
+
+def rule_predictions(spark, folder) -> DataFrame:
+    """Label, score and class by rule, the deterministic input of the quality measures."""
+    rows = repairs(spark, folder, "id_ordre_travail urgence cout_total duree_intervention_par_heure")
+    score = F.coalesce(F.col("duree_intervention_par_heure"), F.lit(0.0)) / 500
+    return rows.select(
+        "id_ordre_travail",
+        (F.col("urgence") == "Fort").cast("int").alias("label"),
+        score.alias("probability"),
+        (F.col("cout_total") > 250000).cast("int").alias("prediction"),
+    )
+
+
+@query
+def classification_metrics(spark, folder):
+    return metrics.classification_metrics(rule_predictions(spark, folder))
+
+
+@query
+def classification_report(spark, folder):
+    return metrics.classification_report(rule_predictions(spark, folder))
+
+
+@query
+def confusion_matrix(spark, folder):
+    return metrics.confusion_matrix(rule_predictions(spark, folder))
+
+
+@query
+def stratified_split(spark, folder):
+    """Sizes of the test part and of the folds per label."""
+    split = splits.stratify(rule_predictions(spark, folder), "label", "id_ordre_travail")
+    return split.groupBy("label", "fold").agg(F.count("*").alias("orders")).unionByName(
+        split.where("is_test").groupBy("label").agg(F.lit(-1).alias("fold"), F.count("*").alias("orders"))
+    )
+
+
+@query
+def principal_components(spark, folder):
+    rows, _ = matrix.project(measures(spark, folder), MEASURES, ["id_ordre_travail"])
+    return rows
