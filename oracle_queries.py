@@ -76,11 +76,12 @@ EVENT_TIMES = """times AS (
 
 
 def r(expression: str, name: str = "", digits: int | None = None) -> str:
-    """Output column on the comparison grid of 0.0001, optionally rounded by the report itself first."""
+    """Output column on the comparison grid, optionally rounded by the report itself first."""
     value = f"CAST({expression} AS DOUBLE)"
     if digits is not None:
         value = f"round({value}, {digits})"
-    return f"floor({value} * 10000.0::DOUBLE + 0.5003::DOUBLE) / 10000.0::DOUBLE AS {name or expression}"
+    step = f"(CASE WHEN abs({value}) < 1e7 THEN 1e4 ELSE 1e2 END)::DOUBLE"
+    return f"floor({value} * {step} + 0.5003::DOUBLE) / {step} AS {name or expression}"
 
 
 def rr(*names: str) -> str:

@@ -17,13 +17,19 @@ from .sources import star_tables as star
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-GRID = 10_000.0
+LARGE = 1e7
 
 
 def on_grid(value: Column) -> Column:
-    """Nearest multiple of 0.0001.  The odd offset keeps short decimals such as x.xxxx5 off the rounding border,
-    where engines that add in different orders would disagree."""
-    return F.floor(value * F.lit(GRID) + F.lit(0.5003)) / F.lit(GRID)
+    """Nearest multiple of 0.0001 (0.01 for large totals, whose last digits depend on the order of addition).
+
+    The odd offset keeps short decimals such as x.xxxx5 off the rounding border, where engines that add in
+    different orders would disagree.
+    """
+    def nearest(steps: float) -> Column:
+        return F.floor(value * F.lit(steps) + F.lit(0.5003)) / F.lit(steps)
+
+    return F.when(F.abs(value) < LARGE, nearest(10_000.0)).otherwise(nearest(100.0))
 
 
 def presentable(df: DataFrame) -> DataFrame:
@@ -240,7 +246,8 @@ FEATURE_INPUT = (
 
 
 def features(spark, folder) -> DataFrame:
-    return ft.feature_table(integrated(spark, folder, FEATURE_INPUT))
+    """Feature table over the stored integrated orders, as in the pipeline, where one step reads the other's table."""
+    return ft.feature_table(materialize(integrated(spark, folder, FEATURE_INPUT)))
 
 
 @query

@@ -69,7 +69,7 @@ def category_codes(
     count, so a column with very many values is still ranked in parallel.
     """
     pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), text_or_nan(n).alias("value")) for n in names]))
-    distinct = (
+    distinct = materialize(
         df.select(pairs.alias("_pair"))
         .groupBy(F.col("_pair.name").alias("name"), F.col("_pair.value").alias("value"))
         .agg(F.lit(1).cast("long").alias("_one"))

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from ..functions.expressions import none_null
-from .slicing import DEFAULT_POLICY, GHOST, HOT, SLICE, SlicePolicy, Sliced, slice_rows
+from .slicing import DEFAULT_POLICY, GHOST, HOT, SLICE, SlicePlan, SlicePolicy, Sliced, slice_rows
 
 _ALL_ROWS = "_all_rows"
 
@@ -26,9 +26,8 @@ def add_row_windows(
     spec = sliced.window()
     keyed = none_null(sliced.keys)
     windows = [F.when(keyed, build(spec)).alias(name) for name, build in outputs.items()]
-    return (
-        sliced.with_halo(carried, before, after).select("*", *windows).where(~F.col(GHOST)).drop(GHOST)
-    )
+    rows = sliced.with_halo(carried, before, after).select("*", *windows)
+    return rows.where(~F.col(GHOST)).drop(GHOST) if sliced.is_split else rows
 
 
 def with_row_windows(
@@ -40,8 +39,10 @@ def with_row_windows(
     before: int = 0,
     after: int = 0,
     policy: SlicePolicy = DEFAULT_POLICY,
+    plan: SlicePlan | None = None,
 ) -> DataFrame:
-    sliced = slice_rows(df, keys, order, policy)
+    """:func:`add_row_windows` for one use; ``plan`` is a measurement made before."""
+    sliced = plan.apply(df) if plan else slice_rows(df, keys, order, policy)
     return add_row_windows(sliced, outputs, carried, before, after).drop(SLICE, HOT)
 
 
@@ -63,6 +64,13 @@ def running_totals(
         df, grouped = df.withColumn(_ALL_ROWS, F.lit(0)), [_ALL_ROWS]
     sliced = slice_rows(df, grouped, order, policy)
     up_to_row = sliced.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if not sliced.is_split:
+        whole = sliced.whole()
+        return sliced.rows.select(
+            "*",
+            *[F.sum(source).over(up_to_row).alias(name) for name, source in sums.items()],
+            *[F.sum(source).over(whole).alias(name) for name, source in totals.items()],
+        ).drop(_ALL_ROWS)
     earlier = sliced.across_slices().rowsBetween(Window.unboundedPreceding, -1)
     over_key = Window.partitionBy(*grouped)
 
@@ -142,25 +150,24 @@ def next_match(
     both = marked.unionByName(followers, allowMissingColumns=True)
     sliced = slice_rows(both, [key], [moment, side, tie], policy)
     later_rows = sliced.window(descending=True).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    later_slices = sliced.across_slices().rowsBetween(1, Window.unboundedFollowing)
-    first_in_slice = sliced.carry({"_first": F.min(candidate)})
-    carry = first_in_slice.select(
-        *sliced.slice_keys,
-        F.min("_first").over(later_slices).alias("_later"),
-        F.min("_first").over(Window.partitionBy(key)).alias("_any"),
-    )
     scanned = sliced.rows.select(
         "*",
         F.min(candidate).over(later_rows).alias("_local"),
         F.min(candidate).over(sliced.whole()).alias("_local_any"),
     ).where(F.col(side) == 1)
     usable = F.col(key).isNotNull() & F.col(left_time).isNotNull()
-    result = sliced.attach_carry(scanned, carry).withColumn(
-        match_time, F.when(usable, F.coalesce("_local", "_later"))
-    )
-    if key_has_match:
-        result = result.withColumn(
-            key_has_match,
-            F.when(F.col(key).isNotNull(), F.coalesce("_local_any", "_any").isNotNull()).otherwise(F.lit(False)),
+    if sliced.is_split:
+        later_slices = sliced.across_slices().rowsBetween(1, Window.unboundedFollowing)
+        carry = sliced.carry({"_first": F.min(candidate)}).select(
+            *sliced.slice_keys,
+            F.min("_first").over(later_slices).alias("_later"),
+            F.min("_first").over(Window.partitionBy(key)).alias("_any"),
+        )
+        scanned = sliced.attach_carry(scanned, carry).withColumns(
+            {"_local": F.coalesce("_local", "_later"), "_local_any": F.coalesce("_local_any", "_any")}
         )
+    result = scanned.withColumn(match_time, F.when(usable, F.col("_local")))
+    if key_has_match:
+        found = F.col(key).isNotNull() & F.col("_local_any").isNotNull()
+        result = result.withColumn(key_has_match, found)
     return result.drop(SLICE, HOT, side, moment, tie, candidate, "_local", "_local_any", "_later", "_any")

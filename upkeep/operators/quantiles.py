@@ -1,8 +1,13 @@
-"""Exact, interpolated quantiles without a per-group value map.
+"""Exact, interpolated quantiles whose groups may hold any share of the rows.
 
-``percentile`` / ``median`` hold every distinct value of a group in one task.  Here equal values are counted
-first (with map-side combine), a sliced running count gives each value its rank range, and the wanted ranks are
-picked with an ordinary aggregate.
+``percentile`` keeps every distinct value of a group in one task, which is right for small groups only.  So the
+values per group are counted first.  While all groups are small the built-in aggregate is used.  Otherwise:
+
+1. a quantile sketch (map-side merged) brackets the wanted ranks with a safe margin;
+2. values below the bracket are only counted, values inside it are counted one by one (map-side combined);
+3. the wanted ranks are picked from those few values by a sliced running count.
+
+The rows are never shuffled by value, and a bracket that misses its rank raises instead of answering wrongly.
 """
 
 from __future__ import annotations
@@ -11,12 +16,16 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.expressions import column, none_null, safe_ratio
-from .lookups import with_summary
+from ..functions.expressions import column, none_null
+from ..session import materialize
+from .lookups import Lookup, with_summary
 from .ordered import running_totals
 from .slicing import DEFAULT_POLICY, SlicePolicy
 
-MEDIAN = {"median": 0.5}
+# Largest group for the built-in aggregate, and rank accuracy of the sketch beyond it.
+SMALL_GROUP = 150_000
+ACCURACY = 10_000
+MARGIN = 5.0 / ACCURACY
 
 
 def exact_quantiles(
@@ -28,43 +37,95 @@ def exact_quantiles(
     count: str | None = None,
     total: str | None = None,
     policy: SlicePolicy = DEFAULT_POLICY,
+    small_group: int = SMALL_GROUP,
 ) -> DataFrame:
     """Quantiles of the non-null values per key (one row overall when ``keys`` is empty).
 
-    ``mean``, ``count`` and ``total`` name extra outputs taken from the same value counts.  Groups whose values
-    are all NULL do not appear; rows with a missing key are dropped, as in every grouped report.
+    ``mean``, ``count`` and ``total`` name extra outputs.  Groups whose values are all NULL do not appear; rows
+    with a missing key are dropped, as in every grouped report.
     """
     keys = list(keys)
-    counted = (
-        df.select(*keys, column(value).cast("double").alias("_value"))
-        .where(none_null(keys) & F.col("_value").isNotNull())
-        .groupBy(*keys, "_value")
+    data = df.select(*keys, column(value).cast("double").alias("_value"))
+    data = data.where(none_null(keys) & F.col("_value").isNotNull())
+    extras = {
+        name: build
+        for name, build in (
+            (count, F.count("_value")),
+            (total, F.sum("_value")),
+            (mean, F.avg("_value")),
+        )
+        if name
+    }
+    sizes = data.groupBy(*keys).agg(F.count("_value").alias("_n"))
+    largest = sizes.agg(F.max("_n")).first()[0] or 0
+    if largest <= small_group:
+        builtin = {name: F.percentile("_value", F.lit(float(share))) for name, share in quantiles.items()}
+        result = data.groupBy(*keys).agg(*[agg.alias(name) for name, agg in {**extras, **builtin}.items()])
+        # Over no rows at all a global aggregate still yields a row; a missing group yields none.
+        return result if keys or largest else result.limit(0)
+    return _bracketed_quantiles(data, keys, quantiles, extras, policy)
+
+
+def _bracketed_quantiles(
+    data: DataFrame, keys: list[str], quantiles: Mapping[str, float], extras: Mapping[str, Column], policy: SlicePolicy
+) -> DataFrame:
+    def bound(share: float) -> Column:
+        return F.percentile_approx("_value", min(1.0, max(0.0, share)), ACCURACY)
+
+    names = list(quantiles)
+    brackets = materialize(
+        data.groupBy(*keys).agg(
+            F.count("_value").alias("_n"),
+            F.min("_value").alias("_min"),
+            F.max("_value").alias("_max"),
+            *[bound(quantiles[q] - MARGIN).alias(f"_lo{i}") for i, q in enumerate(names)],
+            *[bound(quantiles[q] + MARGIN).alias(f"_hi{i}") for i, q in enumerate(names)],
+            *[agg.alias(f"_extra_{name}") for name, agg in extras.items()],
+        )
+    )
+    edges = brackets.select(
+        *keys,
+        "_n",
+        *[
+            F.struct(
+                F.lit(i).alias("q"),
+                (F.col("_min") if quantiles[q] <= MARGIN else F.col(f"_lo{i}")).alias("lo"),
+                (F.col("_max") if quantiles[q] >= 1 - MARGIN else F.col(f"_hi{i}")).alias("hi"),
+            ).alias(f"_edge{i}")
+            for i, q in enumerate(names)
+        ],
+    )
+    if keys:
+        placed = Lookup(edges, tuple(keys), brackets.count()).attach(data)
+    else:
+        placed = with_summary(data, edges)
+    # A row matters to a quantile when it is below its bracket (counted) or inside it (kept by value).
+    near = F.filter(F.array(*[F.col(f"_edge{i}") for i in range(len(names))]), lambda e: F.col("_value") <= e["hi"])
+    inside = F.when(F.col("_edge.lo") <= F.col("_value"), F.col("_value"))
+    counted = materialize(
+        placed.select(*keys, "_n", "_value", F.explode(near).alias("_edge"))
+        .groupBy(*keys, "_n", F.col("_edge.q").alias("_q"), inside.alias("_value"))
         .agg(F.count(F.lit(1)).alias("_weight"))
     )
-    ranked = running_totals(counted, keys, ["_value"], {"_upto": "_weight"}, {"_size": "_weight"}, policy)
-
-    def wanted(position: Column) -> Column:
-        return F.min(F.when(F.col("_upto") > position, F.col("_value")))
-
-    aggregates = [F.max("_size").alias("_size")]
-    for name, share in quantiles.items():
-        place = (F.col("_size") - 1) * F.lit(float(share))
-        aggregates += [wanted(F.floor(place)).alias(f"_low_{name}"), wanted(F.ceil(place)).alias(f"_high_{name}")]
-    weighted = F.sum(F.col("_value") * F.col("_weight"))
-    picked = ranked.groupBy(*keys).agg(*aggregates, weighted.alias("_total"))
-
-    outputs = []
-    if count:
-        outputs.append(F.coalesce("_size", F.lit(0)).alias(count))
-    if total:
-        outputs.append(F.col("_total").alias(total))
-    if mean:
-        outputs.append(safe_ratio("_total", "_size").alias(mean))
-    for name, share in quantiles.items():
-        place = (F.col("_size") - 1) * F.lit(float(share))
-        low, high = F.col(f"_low_{name}"), F.col(f"_high_{name}")
-        outputs.append((low + (high - low) * (place - F.floor(place))).alias(name))
-    return picked.select(*keys, *outputs)
+    # The one row without a value is everything below the bracket, and sorts first.
+    ordered = counted.select("*", F.coalesce("_value", F.lit(float("-inf"))).alias("_place"))
+    ranked = running_totals(ordered, [*keys, "_q"], ["_place"], {"_upto": "_weight"}, policy=policy)
+    rank = (F.col("_n") - 1) * F.element_at(F.array(*[F.lit(float(quantiles[q])) for q in names]), F.col("_q") + 1)
+
+    def at(place: Column) -> Column:
+        return F.min(F.when(F.col("_upto") > place, F.col("_place")))
+
+    picked = ranked.groupBy(*keys, "_q", "_n").agg(at(F.floor(rank)).alias("_low"), at(F.ceil(rank)).alias("_high"))
+    bracketed = F.col("_low").isNotNull() & F.col("_high").isNotNull() & (F.col("_low") > F.lit(float("-inf")))
+    exact = F.col("_low") + (F.col("_high") - F.col("_low")) * (rank - F.floor(rank))
+    checked = F.when(bracketed, exact).otherwise(F.raise_error(F.lit("quantile outside its bracket")).cast("double"))
+    values = picked.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("_q") == i, checked)).alias(q) for i, q in enumerate(names)]
+    )
+    base = brackets.select(*keys, *[F.col(f"_extra_{name}").alias(name) for name in extras])
+    if keys:
+        return base.join(values, keys)
+    return with_summary(base, values) if extras else values
 
 
 def describe(

@@ -1,8 +1,10 @@
 """Ordered per-key work that survives hot keys.
 
 A window over ``partitionBy(key)`` sends every row of one key to one task.  When a single asset holds a third
-of the table that task never ends.  Here the order range of such a *hot* key is cut into slices, so that the
-window runs over ``(key, _slice)``.  Cold keys keep one slice and therefore the plain plan.
+of the table that task never ends.  So the rows per key are counted first (a narrow, map-side combined pass):
+
+* no hot key - the plain window plan, partitioned by the key;
+* hot keys - their order range is cut into slices, and the window runs over ``(key, _slice)``.
 
 What crosses a slice border is repaired in one of two ways, both over hot keys only:
 
@@ -11,8 +13,8 @@ What crosses a slice border is repaired in one of two ways, both over hot keys o
 
 Sizes: a key is hot when it has more than ``cut = max(rows_per_slice, rows / max_slices)`` rows.  There are at
 most ``max_slices`` hot keys and at most ``2 * max_slices`` slices, whatever the size of the input, which is the
-bound behind each ``broadcast`` in this module.  Split points only steer the distribution: they come from a
-hash sample of the hot keys, and no result depends on them.
+bound behind each ``broadcast`` and ``collect`` in this module.  Split points only steer the distribution: they
+come from a hash sample of the hot keys, and no result depends on them.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec, functions as F, types as T
 
 from ..functions.expressions import none_null
 
@@ -54,16 +56,20 @@ def _position(order: Sequence[str]) -> Column:
 
 @dataclass(frozen=True)
 class Sliced:
-    """Rows with ``_slice`` and ``_hot`` columns, plus the (bounded) table of hot keys and slice counts."""
+    """Rows ready for ordered work; with hot keys also ``_slice`` and ``_hot`` columns and the hot-key table."""
 
     rows: DataFrame
-    hot_keys: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
+    hot_keys: DataFrame | None = None
+
+    @property
+    def is_split(self) -> bool:
+        return self.hot_keys is not None
 
     @property
     def slice_keys(self) -> list[str]:
-        return [*self.keys, SLICE]
+        return [*self.keys, SLICE] if self.is_split else list(self.keys)
 
     def ordering(self, descending: bool = False) -> list[Column]:
         if descending:
@@ -94,6 +100,8 @@ class Sliced:
 
     def per_slice(self, statistics: DataFrame) -> DataFrame:
         """Replicate per-key rows onto every slice of the key (the small side of a salted join)."""
+        if not self.is_split:
+            return statistics
         last = F.coalesce(F.col(_SLICES) - 1, F.lit(0)).cast("long")
         return (
             statistics.join(F.broadcast(self.hot_keys.select(*self.keys, _SLICES)), list(self.keys), "left")
@@ -112,6 +120,8 @@ class Sliced:
         at plan time, and the row-number filters run as window group limits before the shuffle.
         """
         payload = [*self.order, *[name for name in carried if name not in self.order and name not in self.keys]]
+        if not self.is_split:
+            return self.rows
         rows = self.rows.withColumn(GHOST, F.lit(False))
         for count, backward in ((before, True), (after, False)):
             if count:
@@ -144,23 +154,22 @@ class Sliced:
         )
 
 
-def _hot_keys(df: DataFrame, keys: Sequence[str], policy: SlicePolicy) -> DataFrame:
-    counts = df.where(none_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+def _count_rows(df: DataFrame, keys: Sequence[str], policy: SlicePolicy) -> tuple[list[Row], int, int]:
+    """(hot keys with their row counts, cut, rows without a key); at most ``max_slices`` + 1 rows are collected."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n").alias("_n")).scalar()
     cut = F.greatest(F.lit(policy.rows_per_slice).cast("long"), F.ceil(total / F.lit(float(policy.max_slices))))
-    return (
-        counts.withColumn("_cut", F.coalesce(cut, F.lit(policy.rows_per_slice).cast("long")))
-        .where(F.col("_n") > F.col("_cut"))
-        .select(*keys, F.ceil(F.col("_n") / F.col("_cut")).alias(_SLICES), "_cut")
-    )
+    large = counts.withColumn("_cut", cut).where(F.col("_n") > F.col("_cut")).collect()
+    hot = [row for row in large if None not in [row[key] for key in keys]]
+    missing = sum(row["_n"] for row in large if None in [row[key] for key in keys])
+    return hot, (large[0]["_cut"] if large else policy.rows_per_slice), missing
 
 
-def _split_points(df: DataFrame, hot: DataFrame, keys: list[str], order: list[str], policy: SlicePolicy) -> DataFrame:
+def _split_points(df: DataFrame, hot: DataFrame, keys: list[str], order: list[str], one_in: int) -> DataFrame:
     """Per hot key, nested arrays of ascending split positions (two levels keep the lookup short)."""
-    one_in = F.greatest(F.floor(F.col("_cut") / policy.samples_per_slice), F.lit(1))
     sampled = (
         df.join(F.broadcast(hot), keys)
-        .where(F.pmod(F.xxhash64(*keys, *order), one_in) == 0)
+        .where(F.pmod(F.xxhash64(*keys, *order), F.lit(one_in)) == 0)
         .groupBy(*keys, _SLICES)
         .agg(F.sort_array(F.collect_list(_position(order))).alias("_sample"))
     )
@@ -176,35 +185,60 @@ def _split_points(df: DataFrame, hot: DataFrame, keys: list[str], order: list[st
     return sampled.withColumn("_points", points).select(*keys, _SLICES, chunks.alias(_CUTS))
 
 
-def slice_rows(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    policy: SlicePolicy = DEFAULT_POLICY,
-    measured: DataFrame | None = None,
-) -> Sliced:
-    """Add ``_slice`` so that no ``(key, _slice)`` group is unbounded.
+@dataclass(frozen=True)
+class SlicePlan:
+    """Measured once, applicable to any frame with the same keys and order columns."""
+
+    keys: tuple[str, ...]
+    order: tuple[str, ...]
+    split: DataFrame | None
+    scatter: int
+
+    def apply(self, df: DataFrame) -> Sliced:
+        """Add ``_slice`` where needed so that no window group is unbounded."""
+        if self.split is None:
+            return Sliced(df, self.keys, self.order)
+        position = _position(self.order)
+        chunk = F.size(F.filter(_CUTS, lambda points: F.element_at(points, 1) <= position))
+        inner = F.size(F.filter(F.element_at(_CUTS, F.greatest(chunk, F.lit(1))), lambda point: point <= position))
+        number = (
+            F.when(~none_null(self.keys), F.pmod(F.xxhash64(*self.order), F.lit(self.scatter)))
+            .when(F.col(_CUTS).isNull() | (chunk == 0), F.lit(0))
+            .otherwise((chunk - 1) * _CHUNK + inner)
+        )
+        rows = (
+            df.join(F.broadcast(self.split.select(*self.keys, _CUTS)), list(self.keys), "left")
+            .withColumn(SLICE, number.cast("long"))
+            .withColumn(HOT, F.col(_CUTS).isNotNull())
+            .drop(_CUTS)
+        )
+        return Sliced(rows, self.keys, self.order, self.split.select(*self.keys, _SLICES))
+
+
+def plan_slices(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], policy: SlicePolicy = DEFAULT_POLICY
+) -> SlicePlan:
+    """Count the rows per key and choose the split points of the hot ones (a job on keys and order only).
 
     ``order`` names ascending columns (nulls last) that identify a row within its key.  Rows with a missing key
-    belong to no group; they are scattered, and the caller masks their results.  ``measured`` is a cheaper frame
-    with the same keys and order, from which hot keys are found when ``df`` has been widened since.
+    belong to no group; many of them are scattered, and the caller masks their results.
     """
     keys, order = list(keys), list(order)
-    source = (df if measured is None else measured).select(*dict.fromkeys([*keys, *order]))
-    hot = _hot_keys(source, keys, policy)
-    split = _split_points(source, hot, keys, order, policy)
-    position = _position(order)
-    chunk = F.size(F.filter(_CUTS, lambda points: F.element_at(points, 1) <= position))
-    inner = F.size(F.filter(F.element_at(_CUTS, F.greatest(chunk, F.lit(1))), lambda point: point <= position))
-    number = (
-        F.when(~none_null(keys), F.pmod(F.xxhash64(*order), F.lit(policy.max_slices)))
-        .when(F.col(_CUTS).isNull() | (chunk == 0), F.lit(0))
-        .otherwise((chunk - 1) * _CHUNK + inner)
-    )
-    rows = (
-        df.join(F.broadcast(split.select(*keys, _CUTS)), keys, "left")
-        .withColumn(SLICE, number.cast("long"))
-        .withColumn(HOT, F.col(_CUTS).isNotNull())
-        .drop(_CUTS)
+    source = df.select(*dict.fromkeys([*keys, *order]))
+    hot, cut, missing = _count_rows(source, keys, policy)
+    if not hot and not missing:
+        return SlicePlan(tuple(keys), tuple(order), None, 1)
+    schema = T.StructType([*[source.schema[key] for key in keys], T.StructField(_SLICES, T.LongType())])
+    table = df.sparkSession.createDataFrame([(*[row[k] for k in keys], -(-row["_n"] // cut)) for row in hot], schema)
+    split = _split_points(source, table, keys, order, max(1, cut // policy.samples_per_slice))
+    # At most 2 * max_slices positions: kept on the driver, so that every use sees the same split.
+    found = split.collect()
+    return SlicePlan(
+        tuple(keys), tuple(order), df.sparkSession.createDataFrame(found, split.schema), max(1, -(-missing // cut))
     )
-    return Sliced(rows, split.select(*keys, _SLICES), tuple(keys), tuple(order))
+
+
+def slice_rows(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], policy: SlicePolicy = DEFAULT_POLICY
+) -> Sliced:
+    return plan_slices(df, keys, order, policy).apply(df)

@@ -16,7 +16,7 @@ from ..functions.expressions import days_between, flag_name, guarded_ratio, indi
 from ..operators.lookups import Lookup, attach_codes, category_codes, key_statistics, with_summary
 from ..operators.ordered import add_row_windows, running_totals, with_row_windows
 from ..operators.quantiles import exact_quantiles
-from ..operators.slicing import DEFAULT_POLICY, HOT, SLICE, SlicePolicy, slice_rows
+from ..operators.slicing import DEFAULT_POLICY, HOT, SLICE, SlicePlan, SlicePolicy, plan_slices
 from ..sources.readers import read_table
 from ..sources.writers import feature_metadata, write_summary, write_table
 
@@ -63,11 +63,12 @@ def calendar_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def days_since_previous(df: DataFrame, policy: SlicePolicy = DEFAULT_POLICY) -> DataFrame:
-    """(asset, family, order, days since the asset's previous order); the base of MTBF and its median."""
-    return with_row_windows(
-        df, [ASSET], TIME_ORDER, {"days_since_previous": _days_since_previous}, [], before=1, policy=policy
-    )
+def days_since_previous(
+    df: DataFrame, policy: SlicePolicy = DEFAULT_POLICY, plan: SlicePlan | None = None
+) -> DataFrame:
+    """Add the days since the asset's previous order; the base of MTBF and of the elapsed-time feature."""
+    outputs = {"days_since_previous": _days_since_previous}
+    return with_row_windows(df, [ASSET], TIME_ORDER, outputs, [], before=1, policy=policy, plan=plan)
 
 
 def _days_since_previous(spec) -> Column:
@@ -82,8 +83,9 @@ def _fill_with_median(df: DataFrame, narrow: DataFrame, name: str, policy: Slice
 def time_features(df: DataFrame, policy: SlicePolicy = DEFAULT_POLICY) -> DataFrame:
     """Calendar columns and days since the asset's previous order, first orders filled with the overall median."""
     name = "days_since_last_maintenance"
-    lagged = days_since_previous(calendar_columns(df), policy).withColumnRenamed("days_since_previous", name)
-    narrow = days_since_previous(df.select(ASSET, *TIME_ORDER), policy).select(F.col("days_since_previous").alias(name))
+    plan = plan_slices(df, [ASSET], TIME_ORDER, policy)
+    lagged = days_since_previous(calendar_columns(df), plan=plan).withColumnRenamed("days_since_previous", name)
+    narrow = days_since_previous(df.select(ASSET, *TIME_ORDER), plan=plan).select(F.col("days_since_previous").alias(name))
     return _fill_with_median(lagged, narrow, name, policy)
 
 
@@ -112,7 +114,7 @@ def _with_age(df: DataFrame) -> DataFrame:
 
 def _join_per_asset(df: DataFrame, base: DataFrame, statistics: DataFrame, policy: SlicePolicy) -> DataFrame:
     """Attach one-row-per-asset statistics by the salted join, safe for an asset with a large share of the rows."""
-    sliced = slice_rows(df, [ASSET], TIME_ORDER, policy, measured=base)
+    sliced = plan_slices(base, [ASSET], TIME_ORDER, policy).apply(df)
     return sliced.join_statistics(sliced.rows, statistics).drop(SLICE, HOT)
 
 
@@ -367,13 +369,14 @@ def all_features(
     rows = attach_codes(rows, statistics.codes, {**encoded, "anomalie": "anomaly_type_encoded"})
 
     since = "days_since_last_maintenance"
-    sliced = slice_rows(rows, [ASSET], TIME_ORDER, policy, measured=df)
+    plan = plan_slices(df, [ASSET], TIME_ORDER, policy)
+    sliced = plan.apply(rows)
     windows = {since: _days_since_previous, "next_failure_date": _next_failure, **_rolling_windows()}
     rows = add_row_windows(sliced, windows, ["cout_total"], max(ROLLING_ROWS.values()) - 1, 1)
     per_asset = _asset_statistics(df).join(_asset_recurrence(df), ASSET, "left")
     rows = _with_age(sliced.join_statistics(rows, per_asset).drop(SLICE, HOT))
 
-    narrow = days_since_previous(df.select(ASSET, *TIME_ORDER), policy).select(F.col("days_since_previous").alias(since))
+    narrow = days_since_previous(df.select(ASSET, *TIME_ORDER), plan=plan).select(F.col("days_since_previous").alias(since))
     return _target_columns(_fill_with_median(rows, narrow, since, policy))
 
 
