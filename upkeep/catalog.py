@@ -12,7 +12,7 @@ from .models import anomaly, classifiers, matrix, metrics, scoring, splits
 from .models.boundary import fit_boundary
 from .models.isolation import fit_forest
 from .plans import cleaning, effectiveness as eff, exploration as ex, features as ft, integration as ig, spare_parts as sp
-from .session import materialize
+from .session import materialize, spread
 from .sources import star_tables as star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -718,9 +718,9 @@ def measures(spark, folder) -> DataFrame:
 
 
 def scaled_measures(spark, folder) -> tuple[DataFrame, list[str]]:
-    rows = measures(spark, folder)
+    rows = spread(materialize(measures(spark, folder)))
     scaler = matrix.Standardizer.fit(rows, MEASURES)
-    scaled = materialize(rows.select("id_ordre_travail", *scaler.columns()))
+    scaled = rows.select("id_ordre_travail", *scaler.columns())
     return scaled, [f"x{i}" for i in range(len(MEASURES))]
 
 

@@ -12,7 +12,7 @@ from ..functions.expressions import none_null, percent, present, safe_ratio
 from ..operators.frequency import value_counts
 from ..operators.quantiles import exact_quantiles
 from ..operators.slicing import DEFAULT_POLICY, SlicePolicy
-from ..session import materialize
+from ..session import materialize, spread
 from .boundary import BoundaryModel, fit_boundary
 from .isolation import IsolationForestModel, fit_forest
 from .matrix import Standardizer
@@ -36,15 +36,16 @@ class AnomalyDetector:
     trees: int = 100
     sample_size: int = 256
     map_size: int = 256
-    steps: int = 15
+    steps: int = 10
     seed: int = 42
     policy: SlicePolicy = DEFAULT_POLICY
 
     def fit(self, df: DataFrame, identity: str = "id_ordre_travail") -> AnomalyModel:
         features = present(df, ANOMALY_FEATURES)
-        scaler = Standardizer.fit(df, features, self.policy)
-        # The narrow scaled matrix is read once per step, so it is written once.
-        scaled = materialize(df.select(identity, *scaler.columns()))
+        # The narrow input is read once per step, so it is written once.
+        rows = spread(materialize(df.select(identity, *features)))
+        scaler = Standardizer.fit(rows, features, self.policy)
+        scaled = rows.select(identity, *scaler.columns())
         names = [c for c in scaled.columns if c != identity]
         forest = fit_forest(scaled, identity, names, self.trees, self.sample_size, self.seed)
         scores = scaled.select(forest.score_column(df.sparkSession, names).alias("_score"))

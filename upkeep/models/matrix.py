@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..functions.expressions import finite, quoted
 from ..operators.quantiles import exact_quantiles
 from ..operators.slicing import DEFAULT_POLICY, SlicePolicy
+from ..session import materialize, spread
 
 # Identifiers, targets and model outputs are never inputs.
 NEVER_INPUTS = frozenset(
@@ -108,6 +109,7 @@ def project(df: DataFrame, names: Sequence[str], keep: Sequence[str], policy: Sl
 
     Returns (rows with ``pc1`` / ``pc2``, explained variance shares).
     """
+    df = spread(materialize(df.select(*dict.fromkeys([*keep, *names]))))
     scaler = Standardizer.fit(df, names, policy)
     scaled = df.select(*keep, F.array(*scaler.columns()).alias("_x"))
     vectors = scaled.select(*keep, array_to_vector("_x").alias("_vector"))

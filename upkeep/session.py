@@ -38,3 +38,13 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder once, so that later jobs survive lost executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core for work that computes much on few bytes.
+
+    Adaptive execution packs a small stored table into very few partitions, which is right for reading it and
+    wrong for iterating over it.  Large tables have more partitions than cores and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else materialize(df.repartition(cores))
