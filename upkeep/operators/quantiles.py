@@ -22,10 +22,9 @@ from .lookups import Lookup, with_summary
 from .ordered import running_totals
 from .slicing import DEFAULT_POLICY, SlicePolicy
 
-# Largest group for the built-in aggregate, and rank accuracy of the sketch beyond it.
+# Largest group for the built-in aggregate, and rank accuracy of the sketch beyond it (error at most 1/accuracy).
 SMALL_GROUP = 150_000
 ACCURACY = 10_000
-MARGIN = 5.0 / ACCURACY
 
 
 def exact_quantiles(
@@ -38,6 +37,7 @@ def exact_quantiles(
     total: str | None = None,
     policy: SlicePolicy = DEFAULT_POLICY,
     small_group: int = SMALL_GROUP,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """Quantiles of the non-null values per key (one row overall when ``keys`` is empty).
 
@@ -63,14 +63,23 @@ def exact_quantiles(
         result = data.groupBy(*keys).agg(*[agg.alias(name) for name, agg in {**extras, **builtin}.items()])
         # Over no rows at all a global aggregate still yields a row; a missing group yields none.
         return result if keys or largest else result.limit(0)
-    return _bracketed_quantiles(data, keys, quantiles, extras, policy)
+    return _bracketed_quantiles(data, keys, quantiles, extras, policy, accuracy)
 
 
 def _bracketed_quantiles(
-    data: DataFrame, keys: list[str], quantiles: Mapping[str, float], extras: Mapping[str, Column], policy: SlicePolicy
+    data: DataFrame,
+    keys: list[str],
+    quantiles: Mapping[str, float],
+    extras: Mapping[str, Column],
+    policy: SlicePolicy,
+    accuracy: int,
 ) -> DataFrame:
+    margin = 5.0 / accuracy
+    # With fewer rows the margin would be below the two ranks an interpolation needs; such a group keeps all values.
+    whole = F.col("_n") <= 10 * accuracy
+
     def bound(share: float) -> Column:
-        return F.percentile_approx("_value", min(1.0, max(0.0, share)), ACCURACY)
+        return F.percentile_approx("_value", min(1.0, max(0.0, share)), accuracy)
 
     names = list(quantiles)
     brackets = materialize(
@@ -78,8 +87,8 @@ def _bracketed_quantiles(
             F.count("_value").alias("_n"),
             F.min("_value").alias("_min"),
             F.max("_value").alias("_max"),
-            *[bound(quantiles[q] - MARGIN).alias(f"_lo{i}") for i, q in enumerate(names)],
-            *[bound(quantiles[q] + MARGIN).alias(f"_hi{i}") for i, q in enumerate(names)],
+            *[bound(quantiles[q] - margin).alias(f"_lo{i}") for i, q in enumerate(names)],
+            *[bound(quantiles[q] + margin).alias(f"_hi{i}") for i, q in enumerate(names)],
             *[agg.alias(f"_extra_{name}") for name, agg in extras.items()],
         )
     )
@@ -89,8 +98,8 @@ def _bracketed_quantiles(
         *[
             F.struct(
                 F.lit(i).alias("q"),
-                (F.col("_min") if quantiles[q] <= MARGIN else F.col(f"_lo{i}")).alias("lo"),
-                (F.col("_max") if quantiles[q] >= 1 - MARGIN else F.col(f"_hi{i}")).alias("hi"),
+                F.when(whole | F.lit(quantiles[q] <= margin), F.col("_min")).otherwise(F.col(f"_lo{i}")).alias("lo"),
+                F.when(whole | F.lit(quantiles[q] >= 1 - margin), F.col("_max")).otherwise(F.col(f"_hi{i}")).alias("hi"),
             ).alias(f"_edge{i}")
             for i, q in enumerate(names)
         ],
