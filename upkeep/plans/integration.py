@@ -103,9 +103,17 @@ def unified_timeline(corrective_integrated: DataFrame, preventive: DataFrame, or
     ``ordered`` sorts by creation time (missing last, then kind and order id): a range-partitioned sort that a
     sink may skip.
     """
-    repairs = corrective_integrated.withColumnsRenamed(
-        {"id_ordre_travail": "order_id", "date_creation_ot": "date_created", "anomalie": "description"}
-    ).withColumns({"maintenance_type": F.lit("corrective"), "frequence": F.lit(None).cast("string")})
+    repairs = corrective_integrated.select(
+        F.col("id_ordre_travail").alias("order_id"),
+        F.col("date_creation_ot").alias("date_created"),
+        "date_cloture",
+        "etat",
+        F.col("anomalie").alias("description"),
+        *["urgence", "site", "zone", "famille", "actif", "id_actif", "cout_total", "duree_intervention_par_heure"],
+        *["prestataire", "num_spare_parts_requests", "total_parts_cost"],
+        F.lit("corrective").alias("maintenance_type"),
+        F.lit(None).cast("string").alias("frequence"),
+    )
     duration = "intervention_duration_hours"
     planned = preventive.select(
         F.col("numero_ot").alias("order_id"),

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F, types as T
 
-from ..functions.expressions import finite, parse_mixed_time, present
+from ..functions.expressions import parse_mixed_time, present
 from .schemas import RAW_TABLES
 
 _FORMATS = ("parquet", "csv")
@@ -52,35 +52,31 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns({name: F.nanvl(F.col(name), F.lit(None)) for name in doubles}) if doubles else df
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with header in UTF-8 (a leading byte-order mark is skipped); columns are matched to the header."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("encoding", "UTF-8")
-        .option("multiLine", True)
-        .option("enforceSchema", False)
-        .csv(path)
-    )
+def csv_reader(spark: SparkSession, multiline: bool) -> DataFrameReader:
+    """Header, doubled quotes, UTF-8.  Line breaks inside quotes need ``multiline``, which reads each file in one task."""
+    return spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multiline)
 
 
-def read_raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The three exports as declared in :mod:`schemas`, from Parquet or CSV; lazy."""
+def read_raw_tables(spark: SparkSession, folder: str, multiline: bool = True) -> dict[str, DataFrame]:
+    """The three exports as declared in :mod:`schemas`, from Parquet or CSV; lazy.
+
+    ``multiline=False`` lets Spark split large CSV files; use it for exports without line breaks in their texts.
+    """
     tables = {}
     for name, schema in RAW_TABLES.items():
         kind, path = locate(spark, folder, name)
-        table = spark.read.parquet(path) if kind == "parquet" else _read_exported_csv(spark, path, schema)
+        table = spark.read.parquet(path) if kind == "parquet" else _read_exported_csv(spark, path, schema, multiline)
         tables[name] = nan_to_null(table)
     return tables
 
 
-def _read_exported_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _read_exported_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bool) -> DataFrame:
     """Exports may order or omit columns, so types are applied by header name."""
-    header = spark.read.option("header", True).csv(path).columns
+    header = csv_reader(spark, multiline).csv(path).columns
     known = {field.name: field for field in schema.fields}
     clean = [name.lstrip("\ufeff") for name in header]
     ordered = T.StructType([known.get(name, T.StructField(name, T.StringType())) for name in clean])
-    return spark.read.schema(ordered).option("header", True).option("multiLine", True).csv(path)
+    return csv_reader(spark, multiline).schema(ordered).csv(path)
 
 
 def read_table(
@@ -90,7 +86,7 @@ def read_table(
     kind, path = locate(spark, folder, name)
     if kind == "parquet":
         return spark.read.parquet(path)
-    table = spark.read.option("header", True).option("inferSchema", True).option("multiLine", True).csv(path)
+    table = csv_reader(spark, True).option("inferSchema", True).csv(path)
     times = [n for n in present(table, time_columns) if not isinstance(table.schema[n].dataType, T.TimestampType)]
     return table.withColumns({n: parse_mixed_time(F.col(n).cast("string")) for n in times}) if times else table
 
@@ -100,6 +96,3 @@ def read_summary(spark: SparkSession, folder: str, name: str) -> DataFrame | Non
     path = f"{folder}/{name}.json"
     return spark.read.json(path) if path_exists(spark, path) else None
 
-
-def numeric_clean(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return df.withColumns({name: finite(name) for name in names})
