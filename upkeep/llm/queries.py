@@ -5,8 +5,20 @@ from __future__ import annotations
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from upkeep.llm import bpe, packing, token_files
+from upkeep.llm import bpe, grace, hosts, packing, token_files, warc
+
+#: Rules of the url query (fixed values).
+URL_RULES = [
+    hosts.Rule("allow", "org", "/"),
+    hosts.Rule("block", "example.org", "/es/"),
+    hosts.Rule("block", "example.org", "/en/1"),
+    hosts.Rule("allow", "com", "/fr/"),
+    hosts.Rule("block", "com", "/de/"),
+]
+#: The document that a page shows is the number at the end of its path.
+PAGE_DOCUMENT = "/([0-9]{1,18})(/|[.]html)?$"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +51,44 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), library_tokenizer(), end_id=0)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_token_files, op6_packing)}
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read(spark, warc.write(table(spark, sf_dir, "pages"), least=0))
+
+
+def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grace.duplicates(table(spark, sf_dir, "documents"))
+
+
+def page_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host of every page, and whether the document it shows is labelled as good and not toxic (null: no label)."""
+    host, path = hosts.host_and_path(F.col("url"))
+    pages = table(spark, sf_dir, "pages").select(host.alias("host"), path.alias("path"))
+    shown = pages.select("host", F.expr(f"try_cast(nullif(regexp_extract(path, '{PAGE_DOCUMENT}', 1), '') AS BIGINT)").alias("doc_id"))
+    good = ((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int")
+    labels = table(spark, sf_dir, "labels").select("doc_id", good.alias("good"))
+    return shown.join(labels, "doc_id", "left").select("host", "good")
+
+
+def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hosts.judge(table(spark, sf_dir, "pages"), page_outcomes(spark, sf_dir), URL_RULES)
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_token_files, op5_warc, op6_packing, op9_exact_dedup, op10_url_reputation)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first, sha1(html) AS hex FROM p)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+    (('0x' || substr(hex, 1 + 5 * (i // 4)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31)::INT, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM f""",
+    "op9_exact_dedup": """
+WITH n AS (SELECT doc_id, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '[ \\t-\\r]', '', 'g') AS plain FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY plain) AS group_size,
+  row_number() OVER w = 1 AS kept, sha256(plain) AS text_sha256
+FROM n WINDOW w AS (PARTITION BY plain ORDER BY length(text) DESC, doc_id)""",
+    "op10_url_reputation": hosts.judge_sql(URL_RULES),
+}
