@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upkeep.llm import bpe, grace, hosts, packing, token_files, warc
+from upkeep.llm import bpe, grace, hosts, minhash, packing, token_files, vptree, warc
 
 #: Rules of the url query (fixed values).
 URL_RULES = [
@@ -55,6 +55,15 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, warc.write(table(spark, sf_dir, "pages"), least=0))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return vptree.nearest(rows, rows.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grace.duplicates(table(spark, sf_dir, "documents"))
 
@@ -73,7 +82,7 @@ def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hosts.judge(table(spark, sf_dir, "pages"), page_outcomes(spark, sf_dir), URL_RULES)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_token_files, op5_warc, op6_packing, op9_exact_dedup, op10_url_reputation)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_token_files, op5_warc, op6_packing, op7_minhash, op8_nearest, op9_exact_dedup, op10_url_reputation)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_warc": """
@@ -85,6 +94,14 @@ SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
 FROM f""",
+    "op8_nearest": """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, round(list_cosine_similarity(q.e, c.e), 9) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e))
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5""",
     "op9_exact_dedup": """
 WITH n AS (SELECT doc_id, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '[ \\t-\\r]', '', 'g') AS plain FROM documents)
 SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY plain) AS group_size,

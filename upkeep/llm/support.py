@@ -7,6 +7,7 @@ import posixpath
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,3 +85,22 @@ def slices(sizes, most: int):
         total += size
     if start < len(sizes):
         yield start, len(sizes)
+
+
+def whole_groups(batches, column: int):
+    """Arrow tables that hold complete groups, from batches sorted by ``column`` (not null)."""
+    pending = []
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        keys = batch.column(column).to_numpy(zero_copy_only=False)
+        last = int((keys != keys[-1]).sum())  # sorted, so the last group is at the end
+        if pending and keys[0] != pending[-1].column(column)[0].as_py() and last == 0:
+            yield pa.Table.from_batches(pending)
+            pending = []
+        if last:
+            yield pa.Table.from_batches([*pending, batch.slice(0, last)])
+            pending = []
+        pending.append(batch.slice(last))
+    if pending:
+        yield pa.Table.from_batches(pending)
