@@ -1,8 +1,7 @@
 """Byte-level BPE encoding and decoding with the tokenizers library over Arrow batches.
 
-A text is cut into chunks at each space that follows a visible character.  No match of the splitting pattern reaches over
-such a place (only the start of a match can be a space after something visible), so encoding chunk by chunk gives the ids
-of the whole text.  Chunks repeat a lot: each is encoded by the library once and kept in a bounded table per worker.
+Merges never cross a match of the splitting pattern, and matches repeat a lot: each is encoded by the library once and kept
+in a bounded table per worker.  Texts of code points outside the settled ranges go through the library as a whole.
 
 Defined results: null text counts as empty and gives no ids; strings of special tokens in a text are ordinary text;
 repeated rows are encoded each for itself; only the named columns are read, so further columns cannot clash.
@@ -15,6 +14,7 @@ import hashlib
 import json
 import os
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,14 +24,34 @@ from pyspark.sql import functions as F
 
 from upkeep.llm.support import map_batches, slices, text_of
 
-#: Chunks kept per worker, and the longest that are kept.
-KEPT_CHUNKS = 400_000
+#: Matches in a table's younger half (at most twice as many in all, of about 150 bytes), and the longest that are kept.
+KEPT_MATCHES = 500_000
 KEPT_LENGTH = 48
 #: Characters handed to the library, and worked on, at a time.
 BATCH_CHARACTERS = 1_500_000
 
-SPACED = re.compile(r"\s ")
-BOUNDARY = re.compile(r"(?<!\s)(?= )")
+#: Code points whose letters, numbers and spaces have long been settled: Latin to Cyrillic, punctuation and symbols.
+SETTLED = ((0, 0x530), (0x2010, 0x2BFF), (0x1F300, 0x1F650))
+#: White space among them (fixed value).
+SPACES = "\t\n\x0b\x0c\r \x85\xa0\u2028\u2029\u202f\u205f"
+
+
+def character_class(kind: str) -> str:
+    """Ranges, for a regular expression, of the settled code points of a general category."""
+    points = [c for a, b in SETTLED for c in range(a, b) if unicodedata.category(chr(c))[0] == kind]
+    starts = [c for c, before in zip(points, [-2, *points]) if c != before + 1]
+    ends = [c for c, after in zip(points, [*points[1:], -2]) if c + 1 != after]
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts, ends))
+
+
+def settled_pattern() -> re.Pattern:
+    """The splitting pattern (letters, numbers, other marks, white space) for texts of settled code points."""
+    letters, numbers, spaces = character_class("L"), character_class("N"), SPACES
+    runs = f" ?[{letters}]+| ?[{numbers}]+| ?[^{spaces}{letters}{numbers}]+"
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|{runs}|[{spaces}]+(?![^{spaces}])|[{spaces}]+")
+
+
+UNSETTLED = re.compile("[^" + "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in SETTLED) + "]")
 
 
 def byte_characters() -> list[str]:
@@ -88,6 +108,29 @@ def token_bytes(definition: str) -> dict[int, bytes]:
     return {i: bytes(back[c] for c in word) for word, i in vocabulary.items() if all(c in back for c in word)}
 
 
+class Recent(dict):
+    """Bounded table: when the younger half is full it becomes the older one; what is found there is taken over."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.older = most, {}
+
+    def recall(self, keys) -> list:
+        """Takes over what the older half has of ``keys``; returns the rest."""
+        older, missing = self.older, []
+        for key in keys:
+            if (value := older.get(key)) is None:
+                missing.append(key)
+            else:
+                self[key] = value
+        return missing
+
+    def age(self) -> None:
+        if len(self) > self.most:
+            self.older = dict(self)
+            self.clear()
+
+
 class Encoder:
     """Whole texts to ids, as little-endian unsigned 32-bit integers."""
 
@@ -97,36 +140,57 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
-        self.kept: dict[str, bytes] = {}
+        self.model = Tokenizer(self.tokenizer.model)  # without splitting: for single matches of the pattern
+        self.spelling = dict(enumerate(byte_characters()))
+        self.pattern = settled_pattern()
+        self.matches = Recent(KEPT_MATCHES)
 
-    def _library(self, texts: list[str]) -> list[bytes]:
+    def _texts(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts by the library."""
         out = []
         for a, b in slices([len(t) for t in texts], BATCH_CHARACTERS):
             encoded = self.tokenizer.encode_batch_fast(texts[a:b], add_special_tokens=False)
             out += [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
         return out
 
+    def _single_matches(self, matches: list[str]) -> list[bytes]:
+        """Ids of strings that are one match of the pattern each, by the library's merges alone."""
+        out = []
+        for a in range(0, len(matches), 4096):
+            spelled = [m.encode().decode("latin-1").translate(self.spelling) for m in matches[a : a + 4096]]
+            encoded = self.model.encode(spelled, is_pretokenized=True, add_special_tokens=False)
+            packed = np.array(encoded.ids, dtype="<u4").tobytes()
+            ends = (4 * np.cumsum(np.bincount(encoded.word_ids, minlength=len(spelled)))).tolist()
+            out += [packed[start:end] for start, end in zip([0, *ends], ends)]
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         return [ids for a, b in slices([len(t) for t in texts], BATCH_CHARACTERS) for ids in self._encode(texts[a:b])]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.kept) > KEPT_CHUNKS:
-            self.kept = {}
-        heads, tails = [], []
-        for text in texts:
-            if SPACED.search(text) is None:
-                head, *tail = text.split(" ")
+        self.matches.age()
+        known, out, split = self.matches, [b""] * len(texts), {}
+        missing, whole = set(), []
+        for i, text in enumerate(texts):
+            if UNSETTLED.search(text):
+                whole.append(i)
+                continue
+            matches = self.pattern.findall(text)
+            ids = list(map(known.get, matches))
+            if None in ids:
+                missing.update([m for m, x in zip(matches, ids) if x is None])
+                split[i] = matches, ids
             else:
-                head, *tail = BOUNDARY.split(text)
-                tail = [chunk[1:] for chunk in tail]
-            heads.append(head)
-            tails.append(tail)
-        kept, passing = self.kept, {}
-        missing = list(set().union(*tails).difference(kept))
-        for chunk, ids in zip(missing, self._library([f" {chunk}" for chunk in missing])):
-            (kept if len(chunk) <= KEPT_LENGTH else passing)[chunk] = ids
-        find = kept.__getitem__ if not passing else lambda chunk: kept.get(chunk) or passing[chunk]
-        return [head + b"".join(map(find, tail)) for head, tail in zip(self._library(heads), tails)]
+                out[i] = b"".join(ids)
+        fresh = known.recall(missing)
+        learnt = dict(zip(fresh, self._single_matches(fresh)))
+        learnt.update((m, known[m]) for m in missing.difference(fresh))
+        known.update((m, ids) for m, ids in learnt.items() if len(m) <= KEPT_LENGTH)
+        for i, (matches, ids) in split.items():
+            out[i] = b"".join([learnt[m] if x is None else x for m, x in zip(matches, ids)])
+        for i, ids in zip(whole, self._texts([texts[i] for i in whole])):
+            out[i] = ids
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}

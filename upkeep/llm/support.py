@@ -18,6 +18,7 @@ def shared_folder(spark: SparkSession) -> str:
     With no such setting a temporary folder is made for a single-process session (``local[...]``), whose tasks all see
     it.  On a cluster the setting is required, because executors do not share their local folders.
     """
+    ship_code(spark)
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if base is None:
@@ -29,12 +30,16 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/run-{uuid.uuid4().hex}"
 
 
-def map_batches(df: DataFrame, work, schema: str) -> DataFrame:
-    """``mapInArrow`` whose workers can import this package from the driver's place; a cluster ships it by --py-files."""
-    environment, root = df.sparkSession.sparkContext.environment, os.path.abspath(f"{__file__}/../../..")
+def ship_code(spark: SparkSession) -> None:
+    """Lets Python workers import this package from the driver's place; a cluster ships it by --py-files."""
+    environment, root = spark.sparkContext.environment, os.path.abspath(f"{__file__}/../../..")
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *paths]))
+
+
+def map_batches(df: DataFrame, work, schema: str) -> DataFrame:
+    ship_code(df.sparkSession)
     return df.mapInArrow(work, schema)
 
 
