@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upkeep.llm import bpe, grace, hosts, minhash, packing, token_files, vptree, warc
+from upkeep.llm import bpe, grace, hosts, minhash, packing, quality, token_files, toxicity, training, vptree, warc
 
 #: Rules of the url query (fixed values).
 URL_RULES = [
@@ -51,6 +51,25 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), library_tokenizer(), end_id=0)
 
 
+def classified(scores: DataFrame, threshold: float) -> DataFrame:
+    return scores.select(
+        "doc_id",
+        training.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return classified(toxicity.scores(docs, labels), toxicity.THRESHOLD)
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return classified(quality.scores(docs, labels), quality.THRESHOLD)
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, warc.write(table(spark, sf_dir, "pages"), least=0))
 
@@ -82,7 +101,7 @@ def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hosts.judge(table(spark, sf_dir, "pages"), page_outcomes(spark, sf_dir), URL_RULES)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_token_files, op5_warc, op6_packing, op7_minhash, op8_nearest, op9_exact_dedup, op10_url_reputation)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_token_files, op3_toxicity, op4_quality, op5_warc, op6_packing, op7_minhash, op8_nearest, op9_exact_dedup, op10_url_reputation)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_warc": """
