@@ -37,7 +37,7 @@ INDEX = np.dtype(
     [("key", "<i8"), ("valid", "u1"), ("place", "<u8"), ("size", "<u8"), ("start", "<u8"), ("ids", "<u8")]
 )
 
-#: The dictionary sample: documents with the smallest hashes, this many, this many characters of each.
+#: The dictionary sample: about this many documents, drawn from the whole table, this many characters of each.
 DICTIONARY_DOCUMENTS = 1000
 DICTIONARY_CHARACTERS = 4096
 DICTIONARY_BYTES = 64 << 10
@@ -50,15 +50,12 @@ def train_dictionary(df: DataFrame, definition: str, end_id: int, width: int) ->
     """A zstandard dictionary from the sample; the sample is a few megabytes whatever the size of the table."""
     import zstandard
 
-    sample = (
-        df.select("doc_id", F.substring(text_of(df), 1, DICTIONARY_CHARACTERS).alias("text"))
-        .where(F.length("text") > 0)
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(DICTIONARY_DOCUMENTS)
-        .collect()
-    )
-    ids = encoder(definition).encode([row.text for row in sample])
-    arrays = [serialised(x, end_id, width) for x in ids]
+    share = min(1.0, DICTIONARY_DOCUMENTS / max(1, df.count()))
+    beginnings = df.select(F.substring(text_of(df), 1, DICTIONARY_CHARACTERS).alias("text")).where(F.rand(11) < share)
+    ids = encoder(definition).encode([row.text for row in beginnings.limit(2 * DICTIONARY_DOCUMENTS).collect()])
+    arrays = [serialised(x, end_id, width) for x in ids if x]
+    if len(arrays) < 8:
+        return b""
     try:
         return zstandard.train_dictionary(min(DICTIONARY_BYTES, sum(map(len, arrays)) // 8), arrays).as_bytes()
     except zstandard.ZstdError:
