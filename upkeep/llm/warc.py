@@ -32,7 +32,8 @@ SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:upkeep:page")
 
 ARCHIVE_BYTES = 64 << 20
 SPLIT_BYTES = 8 << 20
-CHUNK = 256 << 10
+CHUNK = 64 << 10
+WINDOW = 1 << 20
 LEVEL = 5
 
 
@@ -105,17 +106,29 @@ def write(pages: DataFrame, least: int = 0, folder: str | None = None) -> DataFr
 
 
 class Archive:
-    """Members of one archive that start in a byte range."""
+    """Members of one archive that start in a byte range; read through one window."""
 
     def __init__(self, uri: str):
         system, path = file_system(uri)
         self.uri, self.file = uri, system.open_input_file(path)
         self.size = self.file.size()
+        self.window, self.window_at = b"", 0
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        self.file.close()
 
     def _bytes(self, at: int, count: int) -> bytes:
-        return self.file.read_at(min(count, self.size - at), at) if at < self.size else b""
+        count = max(0, min(count, self.size - at))
+        if not self.window_at <= at <= at + count <= self.window_at + len(self.window):
+            self.window, self.window_at = self.file.read_at(max(count, min(WINDOW, self.size - at)), at), at
+        return self.window[at - self.window_at : at - self.window_at + count]
 
     def _next_magic(self, at: int, end: int) -> int | None:
+        if at < end and self._bytes(at, len(MAGIC)) == MAGIC:  # right after a member
+            return at
         while at < end:
             window = self._bytes(at, min(CHUNK, end - at) + len(MAGIC) - 1)
             if (found := window.find(MAGIC)) >= 0:
@@ -127,7 +140,7 @@ class Archive:
         """Record and end of the member at a place; None if decoding shows no WARC header there."""
         unpacker, out, place = zlib.decompressobj(31), [], at
         while not unpacker.eof:
-            chunk = self._bytes(place, CHUNK if out else 4096)
+            chunk = self._bytes(place, CHUNK)
             if not chunk:
                 break
             place += len(chunk)
@@ -191,14 +204,17 @@ def read(spark: SparkSession, manifest: DataFrame, split_bytes: int = SPLIT_BYTE
     def work(batches):
         for batch in batches:
             for part in batch.to_pylist():
-                archive, rows, size = Archive(part["path"]), [], 0
-                for _, headers, block in archive.records(part["start"], part["start"] + split_bytes):
-                    if headers["WARC-Type"] in ("response", "revisit"):
-                        rows.append(page_row(headers, block))
-                        size += len(block) if payloads else 200
-                    if size > 4 << 20:
-                        yield made(rows)
-                        rows, size = [], 0
+                rows, size = [], 0
+                with Archive(part["path"]) as archive:
+                    for _, headers, block in archive.records(part["start"], part["start"] + split_bytes):
+                        if headers["WARC-Type"] not in ("response", "revisit"):
+                            continue
+                        row = page_row(headers, block)
+                        rows.append(row if payloads else {**row, "html": None})
+                        size += 200 + len(block) * payloads
+                        if size > 4 << 20:
+                            yield made(rows)
+                            rows, size = [], 0
                 if rows:
                     yield made(rows)
 
