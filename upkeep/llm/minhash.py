@@ -7,7 +7,8 @@
    unbounded bucket and no pair becomes a row.
 3. In a group, all pairs are compared by bit counts of the packed signatures: chance agreement is taken off, and a pair goes
    on if its estimate may still belong to a link, and only in the first band that it shares.
-4. The full sets of the documents left are computed again and compared; a group emits a spanning forest of its links.
+4. The full sets of the documents left (found by a filter of fixed size, so that texts need no shuffle) are computed again
+   and compared; a group emits a spanning forest of its links.
    Links that would close a circle are left out, which no component notices.
 5. Components of the links; every document finds its component by its fingerprint.
 
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from upkeep.llm.components import connected_components
@@ -34,6 +35,8 @@ WORDS = 5
 BITS = 4
 SLACK = 0.17
 BLOCK = 512
+#: Size of the filter for rows whose full sets are wanted; fuller, it lets more rows through, and loses none.
+FILTER_BITS = 1 << 24
 PAIRS_AT_ONCE = 100_000
 ROW = "__upkeep_row"
 
@@ -206,13 +209,30 @@ def candidates(members: DataFrame, count: int, percent: int) -> DataFrame:
     return map_batches(dealt, work, "group long, row long, partners array<long>")
 
 
+def place_of(row: str) -> Column:
+    return F.pmod(F.xxhash64(row), F.lit(FILTER_BITS))
+
+
+def row_filter(rows: DataFrame) -> np.ndarray:
+    """Bits set at the places of the wanted rows, as 64-bit words: a bloom filter of fixed size with one hash."""
+    words = rows.select(place_of("row").alias("place")).groupBy(F.expr("place div 64").alias("word"))
+    found = words.agg(F.expr("bit_or(shiftleft(1L, cast(place % 64 as int)))").alias("bits")).collect()
+    bits = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    bits[[r.word for r in found]] = [r.bits for r in found]
+    return bits
+
+
 def full_sets(df: DataFrame, rows: DataFrame, text: str) -> DataFrame:
-    """row, shingles (sorted 64-bit hashes) of the wanted rows."""
-    source = df.select(F.col(ROW).alias("row"), text_of(df, text).cast("binary").alias("content")).join(rows, "row", "left_semi")
+    """row, shingles (sorted 64-bit hashes) of the wanted rows, and of a few more that the filter lets through."""
+    shared = df.sparkSession.sparkContext.broadcast(row_filter(rows))
+    source = df.select(F.col(ROW).alias("row"), place_of(ROW).alias("place"), text_of(df, text).cast("binary").alias("content"))
 
     def work(batches):
+        bits = shared.value
         for batch in batches:
-            sets = [shingle_set(c.as_py()).tobytes() for c in batch.column(1)]
+            place = batch.column(1).to_numpy()
+            batch = batch.filter(pa.array((bits[place // 64] >> (place % 64)) & 1 == 1))
+            sets = [shingle_set(c.as_py()).tobytes() for c in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["row", "shingles"])
 
     return map_batches(source, work, "row long, shingles binary")
@@ -271,7 +291,7 @@ def components(df: DataFrame, key: str, text: str, percent: int, bands: int, row
     first = described.join(classes.select(F.col("class").alias("row")), "row", "left_semi")
     first = stored(first.select("row", "n", "bands", "signature"), folder, "first")
     wanted = stored(candidates(members_of_groups(first), bands * rows, percent), folder, "candidates")
-    needed = full_sets(df, wanted.select("row").distinct(), text)
+    needed = full_sets(df, wanted, text)
     found = connected_components(links(wanted, needed, percent))
     whole = classes.join(found.withColumnRenamed("node", "class"), "class", "left")
     whole = whole.withColumn("root", F.coalesce("root", "class"))
