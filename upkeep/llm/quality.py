@@ -16,6 +16,7 @@ from __future__ import annotations
 import pickle
 import re
 from collections import Counter
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -94,18 +95,13 @@ def word_vectors(sequences: list[np.ndarray], words: int, seed: int = 3) -> np.n
     index = np.zeros((words + 1, SIZE))
     for row in index:
         row[draw.choice(SIZE, NONZERO, replace=False)] = draw.choice([-1.0, 1.0], NONZERO) / np.sqrt(NONZERO)
-    together = Counter()
+    together = np.zeros((words + 1) ** 2, dtype=np.float32)  # how often one word follows another, nearer ones counting more
     for ids in sequences:
         for gap in range(1, WINDOW + 1):
-            pairs, counts = np.unique(ids[gap:] * (words + 1) + ids[:-gap], return_counts=True)
-            together.update(dict(zip(pairs.tolist(), (counts / gap).tolist())))
-    context = np.zeros_like(index)
-    if together:
-        pairs = np.fromiter(together.keys(), np.int64, len(together))
-        weight = np.fromiter(together.values(), float, len(together))[:, None]
-        a, b = np.divmod(pairs, words + 1)
-        np.add.at(context, a, index[b] * weight)
-        np.add.at(context, b, index[a] * weight)
+            pairs, counts = np.unique(ids[gap:].astype(np.int64) * (words + 1) + ids[:-gap], return_counts=True)
+            together[pairs] += counts / gap
+    together = together.reshape(words + 1, words + 1)
+    context = together @ index + together.T @ index
     return np.hstack([context / np.maximum(np.linalg.norm(context, axis=1, keepdims=True), 1e-12), index])
 
 
@@ -142,16 +138,19 @@ class Network:
         return sigmoid(self.logits(inputs) / self.temperature)
 
 
-def fit(texts: list[list[str]], labels: np.ndarray) -> dict:
+def fit(texts: Iterable[list[str]], labels: np.ndarray) -> dict:
     """A model from tokenised texts: token numbers, vectors and network, or a constant share."""
     share = float(labels.mean()) if len(labels) else 0.5
     if share in (0.0, 1.0) or not len(labels):
         return {"share": share}
-    documents = Counter(t for text in texts for t in set(text))
+    first, documents, sequences = {}, Counter(), []
+    for text in texts:  # one at a time: numbers take far less room than words
+        documents.update(set(text))
+        sequences.append(np.array([first.setdefault(t, len(first)) for t in text], dtype=np.int32))
     numbers = numbered_tokens(documents)
     of = Pooler(numbers, np.zeros((len(numbers) + 1, 1))).number
-    table = {t: of(t) for t in documents}
-    sequences = [np.array([table[t] for t in text], dtype=np.int64) for text in texts]
+    final = np.array([of(t) for t in first], dtype=np.int32)
+    sequences = [final[s] for s in sequences]
     vectors = word_vectors(sequences, len(numbers))
     counts = [np.bincount(s, minlength=len(numbers) + 1) for s in sequences]
     inputs = np.array([c @ vectors / max(1, c.sum()) for c in counts])
@@ -167,7 +166,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> dict:
     texts = labelled_texts(docs, labels, "quality", most)
     texts = texts.select(texts["doc_id"].cast("long").alias("doc_id"), texts["label"].cast("int").alias("label"), "text")
     found = bounded(map_batches(texts, work, "doc_id long, label int, content binary"), most)
-    return fit([pickle.loads(row.content) for row in found], np.array([row.label for row in found], dtype=float))
+    return fit((pickle.loads(row.content) for row in found), np.array([row.label for row in found], dtype=float))
 
 
 class Scorer:
