@@ -80,7 +80,8 @@ def r(expression: str, name: str = "", digits: int | None = None) -> str:
     value = f"CAST({expression} AS DOUBLE)"
     if digits is not None:
         value = f"round({value}, {digits})"
-    step = f"(CASE WHEN abs({value}) < 1e7 THEN 1e4 ELSE 1e2 END)::DOUBLE"
+    digits = f"least(6, 8 - floor(log10(nullif(abs({value}), 0))))"
+    step = f"pow(10::DOUBLE, coalesce({digits}, 6)::DOUBLE)"
     return f"floor({value} * {step} + 0.5003::DOUBLE) / {step} AS {name or expression}"
 
 
@@ -217,7 +218,8 @@ Q["data_quality_report"] = f"WITH {C} " + " UNION ALL ".join(
 )
 
 Q["duplicate_part_lines"] = f"""WITH {PARTS} SELECT coalesce(sum(n - 1), 0)::BIGINT AS duplicates
-  FROM (SELECT count(*) AS n FROM parts GROUP BY id_ot, id_demande, etat)"""
+  FROM (SELECT count(*) AS n FROM parts GROUP BY id_demande, id_ot, article, code_article, famille, magasinier,
+  quantite_demande, quantite_dispo, cout_total, etat, motif_rejet, date_demande)"""
 
 # --- features -------------------------------------------------------------------------------------------------------
 
@@ -429,7 +431,10 @@ Q["compliance_by_site"] = f"""WITH {CP} SELECT site, count(*) AS total,
 Q["deviation_by_frequency"] = f"""WITH {CP} SELECT frequence, {r("avg(days_deviation_from_plan)", "mean")},
   {r(med("days_deviation_from_plan"), "median")}, count(days_deviation_from_plan) AS count FROM preventive
   GROUP BY frequence"""
-Q["preventive_status_distribution"] = """SELECT o_orderpriority AS frequence, count(*) AS count FROM orders
+Q["preventive_status_distribution"] = """SELECT o_orderstatus AS etat, count(*) AS count FROM orders
+  WHERE o_orderstatus = 'F' GROUP BY o_orderstatus"""
+
+Q["preventive_frequency_distribution"] = """SELECT o_orderpriority AS frequence, count(*) AS count FROM orders
   WHERE o_orderstatus = 'F' GROUP BY o_orderpriority"""
 
 LABELS = f"""{NEXT_CORRECTIVE}, labels AS (

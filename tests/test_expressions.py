@@ -17,6 +17,20 @@ def test_times_parse_unpadded_numbers_and_never_raise(spark):
     assert got == [at("2025-01-05"), at("2025-01-05 09:05:01"), at("2025-01-05 09:05"), None]
 
 
+def test_mixed_times_know_days_first_and_month_names(spark):
+    known = {
+        "25/12/2025 10:00": "2025-12-25 10:00",
+        "25/12/2025": "2025-12-25",
+        "12/5/2025": "2025-12-05",  # month first wherever that is a date
+        "25 Dec 2025": "2025-12-25",
+        "25 December 2025 08:09:10": "2025-12-25 08:09:10",
+        "Dec 25, 2025": "2025-12-25",
+        "31/31/2025": None,
+    }
+    rows = spark.createDataFrame([(t,) for t in known], "t string").select("t", ex.parse_mixed_time("t").alias("v"))
+    assert {r.t: r.v for r in rows.collect()} == {t: at(v) for t, v in known.items()}
+
+
 def test_whole_days_are_completed_24_hour_periods(spark):
     rows = spark.createDataFrame([(at("2025-01-01 23:00"), at("2025-02-18 22:00"))], "a timestamp, b timestamp")
     assert rows.select(ex.whole_days_between("a", "b"), F.datediff("b", "a")).first()[:] == (47, 48)

@@ -8,7 +8,7 @@ from upkeep.models.anomaly import AnomalyDetector, AnomalyModel
 from upkeep.models.run import run_models
 from upkeep.models.scoring import ScoringProfile, score_orders
 from upkeep.plans.effectiveness import run_effectiveness
-from upkeep.plans.features import run_features
+from upkeep.plans.features import feature_table, run_features
 from upkeep.plans.integration import run_preprocessing
 from upkeep.plans.spare_parts import run_spare_parts
 from upkeep.sources.readers import read_raw_tables, read_summary, read_table
@@ -86,7 +86,7 @@ def work(spark, tmp_path_factory):
     base = str(tmp_path_factory.mktemp("pipeline"))
     for name, df in exports(spark):
         df.coalesce(1).write.option("header", True).option("escape", '"').csv(f"{base}/raw/{name}.csv")
-    run_preprocessing(spark, f"{base}/raw", f"{base}/processed", csv=True)
+    run_preprocessing(spark, f"{base}/raw", f"{base}/processed", csv=True, multiline=True)
     return base
 
 
@@ -110,6 +110,43 @@ def test_missing_table_names_what_is_there(spark, folder):
         read_raw_tables(spark, folder)
 
 
+def test_csv_files_with_another_column_order_are_an_error(spark, folder):
+    parts = dict(exports(spark))["spare_parts"]
+    raw = f"{folder}/raw"
+    for name, df in exports(spark):
+        if name != "corrective":
+            df.write.option("header", True).csv(f"{raw}/{name}.csv")
+    orders = dict(exports(spark))["corrective"].drop("commentaire_cloture")
+    orders.coalesce(1).write.option("header", True).csv(f"{raw}/corrective.csv")
+    assert read_raw_tables(spark, raw)["corrective"].where("site like 'S%' and famille like 'F%'").count() == 160
+    parts.select(*reversed(parts.columns)).coalesce(1).write.mode("append").option("header", True).csv(f"{raw}/spare_parts.csv")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw_tables(spark, raw)["spare_parts"].collect()
+
+
+def test_scoring_uses_the_codes_of_training(spark, work):
+    orders = read_table(spark, f"{work}/processed", "corrective_integrated")
+    # families below all others, known from orders without a site only: every later code moves by one
+    moved = orders.withColumns(
+        {
+            "site": F.when(F.col("id_ordre_travail") % 7 == 0, None).otherwise(F.col("site")),
+            "famille": F.when(F.col("id_ordre_travail") % 7 == 0, "A0").otherwise(F.col("famille")),
+        }
+    )
+    trained = feature_table(moved)
+    new = moved.select(
+        *"id_ordre_travail site famille portfolio urgence anomalie cout_total duree_intervention_par_heure nombre_main_doeuvre date_creation_ot".split(),
+        F.lit(9).alias("creation_hour"),
+        F.lit(2).alias("creation_day_of_week"),
+        F.lit(2).alias("previous_failures"),
+        F.lit(15.0).alias("days_since_last_maintenance"),
+    )
+    codes = ["id_ordre_travail", "site_encoded", "famille_encoded", "portfolio_encoded"]
+    completed = ScoringProfile.fit(moved, trained).complete(new).select(codes)
+    assert completed.count() == 160
+    assert completed.select([F.col(c).cast("long") for c in codes]).exceptAll(trained.select([F.col(c).cast("long") for c in codes])).count() == 0
+
+
 def test_processed_csv_times_are_parsed_again(spark, folder):
     rows = spark.createDataFrame([("2025-01-05",), ("2025-01-05 09:05:00",), ("1/5/2025 9:05",), ("?",)], "date_creation_ot string")
     rows.write.option("header", True).csv(f"{folder}/orders.csv")

@@ -73,11 +73,11 @@ def test_next_match_equals_brute_force(rows, policy):
     assert len(got) == left.count()
 
 
-@pytest.mark.parametrize("policy,small", [(DEFAULT_POLICY, 10**6), (DEFAULT_POLICY, 10), (SlicePolicy(rows_per_slice=5), 10)])
+@pytest.mark.parametrize("policy,accuracy", [(DEFAULT_POLICY, 10_000), (DEFAULT_POLICY, 4), (SlicePolicy(rows_per_slice=5), 4)])
 @pytest.mark.parametrize("keys", [["k"], []])
-def test_quantiles(rows, policy, small, keys):
+def test_quantiles(rows, policy, accuracy, keys):
     wanted = {"low": 0.0, "q10": 0.1, "median": 0.5, "q75": 0.75, "high": 1.0}
-    got = exact_quantiles(rows, keys, "v", wanted, mean="mean", count="n", policy=policy, small_group=small, accuracy=100)
+    got = exact_quantiles(rows, keys, "v", wanted, mean="mean", count="n", policy=policy, accuracy=accuracy)
     known = rows.where("k is not null") if keys else rows
     want = known.groupBy(*keys).agg(
         *[F.percentile("v", F.lit(q)).alias(n) for n, q in wanted.items()], F.avg("v").alias("mean"), F.count("v").alias("n")
@@ -88,9 +88,19 @@ def test_quantiles(rows, policy, small, keys):
 
 def test_quantiles_of_skewed_large_group_use_narrow_brackets(spark):
     rows = spark.range(60_000).select((F.col("id") * F.col("id")).cast("double").alias("v"))
-    got = exact_quantiles(rows, [], "v", {"median": 0.5, "q": 0.9}, small_group=1_000, accuracy=1_000).first()
     want = rows.agg(F.percentile("v", F.lit(0.5)), F.percentile("v", F.lit(0.9))).first()
-    assert tuple(got) == tuple(want)
+    for margin in (5.0, 0.0):  # without a margin brackets miss, and are widened
+        got = exact_quantiles(rows, [], "v", {"median": 0.5, "q": 0.9}, accuracy=1_000, margin=margin).first()
+        assert tuple(got) == tuple(want)
+
+
+@pytest.mark.parametrize("accuracy", [10_000, 5])
+def test_quantiles_of_infinities_and_ties(spark, accuracy):
+    inf = float("inf")
+    values = [-inf] * 60 + [1.0] * 25 + [2.0] * 10 + [inf] * 4 + [float("nan")]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    got = exact_quantiles(rows, [], "v", {"a": 0.1, "b": 0.5, "c": 0.7, "d": 0.9, "e": 0.97}, accuracy=accuracy).first()
+    assert tuple(got) == (-inf, -inf, 1.0, 2.0, inf)
 
 
 def test_no_values_no_row(spark):

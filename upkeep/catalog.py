@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -17,19 +18,18 @@ from .sources import star_tables as star
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-LARGE = 1e7
+DIGITS, DECIMALS = 9, 6
 
 
 def on_grid(value: Column) -> Column:
-    """Nearest multiple of 0.0001 (0.01 for large totals, whose last digits depend on the order of addition).
+    """Nine significant digits, six decimals at most: what is left of a double whatever the order of addition.
 
     The odd offset keeps short decimals such as x.xxxx5 off the rounding border, where engines that add in
     different orders would disagree.
     """
-    def nearest(steps: float) -> Column:
-        return F.floor(value * F.lit(steps) + F.lit(0.5003)) / F.lit(steps)
-
-    return F.when(F.abs(value) < LARGE, nearest(10_000.0)).otherwise(nearest(100.0))
+    size = F.floor(F.log10(F.abs(value)))  # null for zero
+    steps = F.pow(F.lit(10.0), F.coalesce(F.least(F.lit(DECIMALS), F.lit(DIGITS - 1) - size), F.lit(DECIMALS)).cast("double"))
+    return F.when(F.isnan(value) | (F.abs(value) == float("inf")), value).otherwise(F.floor(value * steps + F.lit(0.5003)) / steps)
 
 
 def presentable(df: DataFrame) -> DataFrame:
@@ -163,7 +163,8 @@ def data_quality_report(spark, folder):
 
 @query
 def duplicate_part_lines(spark, folder):
-    return duplicate_rows(requests(spark, folder, "id_ot id_demande etat"))
+    """Rows that repeat another in every column."""
+    return duplicate_rows(star.spare_parts(spark, folder))
 
 
 # --- features ---------------------------------------------------------------------------------------------------
@@ -357,6 +358,11 @@ def deviation_by_frequency(spark, folder):
 
 @query
 def preventive_status_distribution(spark, folder):
+    return eff.status_distribution(planned(spark, folder, "numero_ot etat"), "etat")
+
+
+@query
+def preventive_frequency_distribution(spark, folder):
     return eff.status_distribution(planned(spark, folder, "numero_ot frequence"), "frequence")
 
 
@@ -738,16 +744,24 @@ def model_matrix(spark, folder):
     return scaled.select("id_ordre_travail", F.size(classifiers.vector_to_array("scaled")).alias("inputs"))
 
 
+def scaled_features(spark, folder) -> tuple[DataFrame, list[str]]:
+    """The sixteen inputs of the ensemble, filled and scaled."""
+    inputs = list(anomaly.ANOMALY_FEATURES)
+    rows = spread(materialize(features(spark, folder).select("id_ordre_travail", *inputs)))
+    scaler = matrix.Standardizer.fit(rows, inputs)
+    return rows.select("id_ordre_travail", *scaler.columns()), [f"x{i}" for i in range(len(inputs))]
+
+
 @query
 def isolation_forest(spark, folder):
-    scaled, names = scaled_measures(spark, folder)
+    scaled, names = scaled_features(spark, folder)
     forest = fit_forest(scaled, "id_ordre_travail", names)
     return scaled.select("id_ordre_travail", forest.score_column(spark, names).alias("iso_score"))
 
 
 @query
 def one_class_boundary(spark, folder):
-    scaled, names = scaled_measures(spark, folder)
+    scaled, names = scaled_features(spark, folder)
     model = fit_boundary(scaled, names)
     score = model.score_column(names) - F.lit(model.rho)
     return scaled.select("id_ordre_travail", score.alias("ocsvm_score")).withColumn(
@@ -765,30 +779,27 @@ def anomaly_detector(spark, folder):
     )
 
 
-# Smaller than the published settings: the queries show the operators, the functions default to the full models.
-QUICK_FOREST = classifiers.ModelSettings(trees=10, depth=6, min_leaf=5, balanced=True, folds=2)
-QUICK_BOOST = classifiers.ModelSettings(trees=5, depth=4, learning_rate=0.1, folds=0)
-
-
 @query
 def failure_model(spark, folder):
-    return classifiers.train_failure_model(materialize(features(spark, folder)), QUICK_FOREST).metrics
+    return classifiers.train_failure_model(materialize(features(spark, folder))).metrics
 
 
 @query
 def failure_importances(spark, folder):
-    quick = classifiers.ModelSettings(trees=10, depth=6, min_leaf=5, balanced=True, folds=0)
-    return classifiers.train_failure_model(materialize(features(spark, folder)), quick).classifier.importances()
+    """Of the same model; cross-validation would not change it."""
+    settings = replace(classifiers.FAILURE_SETTINGS, folds=0)
+    return classifiers.train_failure_model(materialize(features(spark, folder)), settings).classifier.importances()
 
 
 @query
 def parts_model(spark, folder):
-    return classifiers.train_parts_model(materialize(features(spark, folder)), QUICK_BOOST).metrics
+    return classifiers.train_parts_model(materialize(features(spark, folder))).metrics
 
 
 @query
 def effectiveness_model(spark, folder):
-    return classifiers.train_effectiveness_model(labels(spark, folder), QUICK_FOREST).metrics
+    trained = classifiers.train_effectiveness_model(labels(spark, folder))
+    return trained.metrics if trained else spark.createDataFrame([], classifiers.METRICS_SCHEMA)
 
 
 @query
@@ -796,9 +807,9 @@ def score_orders(spark, folder):
     """Every repair order re-entered as a new, partly described one and scored by the three models."""
     orders = materialize(integrated(spark, folder, FEATURE_INPUT))
     table = materialize(ft.feature_table(orders))
-    failure = classifiers.train_failure_model(table, classifiers.ModelSettings(trees=5, depth=5, balanced=True, folds=0))
-    parts = classifiers.train_parts_model(table, classifiers.ModelSettings(trees=3, depth=3, learning_rate=0.1, folds=0))
-    ensemble = anomaly.AnomalyDetector(steps=5).fit(table)
+    failure = classifiers.train_failure_model(table, replace(classifiers.FAILURE_SETTINGS, folds=0))
+    parts = classifiers.train_parts_model(table, replace(classifiers.PARTS_SETTINGS, folds=0))
+    ensemble = anomaly.AnomalyDetector().fit(table)
     profile = scoring.ScoringProfile.fit(orders, table)
     return scoring.score_orders(new_orders(orders), profile, failure.classifier, parts.classifier, ensemble).drop(
         "previous_failures", "days_since_last_maintenance"
@@ -855,5 +866,15 @@ def stratified_split(spark, folder):
 
 @query
 def principal_components(spark, folder):
-    rows, _ = matrix.project(measures(spark, folder), MEASURES, ["id_ordre_travail"])
+    rows, _ = matrix.project(features(spark, folder), anomaly.ANOMALY_FEATURES, ["id_ordre_travail"])
     return rows
+
+
+@query
+def explained_variance(spark, folder):
+    """Share of the variance that each axis of the projection explains, as the spread of the projected rows."""
+    rows, shares = matrix.project(features(spark, folder), anomaly.ANOMALY_FEATURES, ["id_ordre_travail"])
+    axes = F.inline(
+        F.array(*[F.struct(F.lit(i + 1).alias("axis"), F.lit(s).alias("share"), F.col(f"pc{i + 1}").alias("place")) for i, s in enumerate(shares)])
+    )
+    return rows.select(axes).groupBy("axis", "share").agg(F.var_samp("place").alias("variance"))

@@ -17,7 +17,8 @@ MICROS_PER_DAY = 24 * MICROS_PER_HOUR
 # both padded and unpadded numbers.
 ORDER_TIME_FORMAT = "d/M/yyyy H:m"
 REQUEST_TIME_FORMAT = "d/M/yyyy, H:m:s"
-MIXED_TIME_FORMATS = ("M/d/yyyy H:m:s", "M/d/yyyy H:m", "M/d/yyyy")
+DATE_FORMATS = ("M/d/yyyy", "d/M/yyyy", "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy", "d-M-yyyy", "d.M.yyyy")
+MIXED_TIME_FORMATS = tuple(f"{date}{time}" for date in DATE_FORMATS for time in (" H:m:s", " H:m", ""))
 
 # The weekday labels of the dashboards, Monday first.
 WEEKDAY_LABELS = ("Lun", "Mar", "Mer", "Jeu", "Ven", "Sam", "Dim")
@@ -66,7 +67,7 @@ def parse_time(text: Column | str, *formats: str) -> Column:
 
 
 def parse_mixed_time(text: Column | str) -> Column:
-    """ISO text first, then month-first slashed dates."""
+    """ISO text first, then month-first dates, then day-first dates and month names."""
     raw = column(text)
     return F.coalesce(F.try_to_timestamp(raw), *[F.try_to_timestamp(raw, F.lit(f)) for f in MIXED_TIME_FORMATS])
 

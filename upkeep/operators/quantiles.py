@@ -1,13 +1,13 @@
 """Exact, interpolated quantiles whose groups may hold any share of the rows.
 
-``percentile`` keeps every distinct value of a group in one task, which is right for small groups only.  So the
-values per group are counted first.  While all groups are small the built-in aggregate is used.  Otherwise:
+``percentile`` keeps every distinct value of a group in one task, which is right for small groups only.  One way serves
+every size:
 
 1. a quantile sketch (map-side merged) brackets the wanted ranks with a safe margin;
 2. values below the bracket are only counted, values inside it are counted one by one (map-side combined);
 3. the wanted ranks are picked from those few values by a sliced running count.
 
-The rows are never shuffled by value, and a bracket that misses its rank raises instead of answering wrongly.
+The rows are never shuffled by value.  Should a bracket miss its rank, it is widened, in the end to all values.
 """
 
 from __future__ import annotations
@@ -22,8 +22,8 @@ from .lookups import Lookup, with_summary
 from .ordered import running_totals
 from .slicing import DEFAULT_POLICY, SlicePolicy
 
-# Largest group for the built-in aggregate, and rank accuracy of the sketch beyond it (error at most 1/accuracy).
-SMALL_GROUP = 150_000
+# Rank accuracy of the sketch (error at most 1/accuracy), and the first half-width of a bracket in such errors.
+MARGIN = 5.0
 ACCURACY = 10_000
 
 
@@ -36,8 +36,8 @@ def exact_quantiles(
     count: str | None = None,
     total: str | None = None,
     policy: SlicePolicy = DEFAULT_POLICY,
-    small_group: int = SMALL_GROUP,
     accuracy: int = ACCURACY,
+    margin: float = MARGIN,
 ) -> DataFrame:
     """Quantiles of the non-null values per key (one row overall when ``keys`` is empty).
 
@@ -56,25 +56,40 @@ def exact_quantiles(
         )
         if name
     }
-    sizes = data.groupBy(*keys).agg(F.count("_value").alias("_n"))
-    largest = sizes.agg(F.max("_n")).first()[0] or 0
-    if largest <= small_group:
-        builtin = {name: F.percentile("_value", F.lit(float(share))) for name, share in quantiles.items()}
-        result = data.groupBy(*keys).agg(*[agg.alias(name) for name, agg in {**extras, **builtin}.items()])
-        # Over no rows at all a global aggregate still yields a row; a missing group yields none.
-        return result if keys or largest else result.limit(0)
-    return _bracketed_quantiles(data, keys, quantiles, extras, policy, accuracy)
+    while True:
+        brackets, picked = _picked_values(data, keys, quantiles, extras, policy, accuracy, margin / accuracy)
+        if picked.where(~F.col("_low._inside") | ~F.col("_high._inside") | F.col("_high").isNull()).isEmpty():
+            break
+        margin = max(10 * margin, 1.0 / accuracy)
+    rank = _rank(quantiles)
+    low, high = F.col("_low._value"), F.col("_high._value")
+    exact = F.when(low == high, low).otherwise(low + (high - low) * (rank - F.floor(rank)))
+    values = picked.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("_q") == i, exact)).alias(q) for i, q in enumerate(quantiles)]
+    )
+    base = brackets.select(*keys, *[F.col(f"_extra_{name}").alias(name) for name in extras])
+    if keys:
+        return base.join(values, keys)
+    # Over no rows at all a global aggregate still yields a row; a missing group yields none.
+    found = values if not extras else with_summary(base, values)
+    return found if not picked.isEmpty() else found.limit(0)
+
+
+def _rank(quantiles: Mapping[str, float]) -> Column:
+    shares = F.array(*[F.lit(float(share)) for share in quantiles.values()])
+    return (F.col("_n") - 1) * F.element_at(shares, F.col("_q") + 1)
 
 
-def _bracketed_quantiles(
+def _picked_values(
     data: DataFrame,
     keys: list[str],
     quantiles: Mapping[str, float],
     extras: Mapping[str, Column],
     policy: SlicePolicy,
     accuracy: int,
-) -> DataFrame:
-    margin = 5.0 / accuracy
+    margin: float,
+) -> tuple[DataFrame, DataFrame]:
+    """Brackets and extras per key; and per key and quantile the two values its rank lies between, if inside."""
     # With fewer rows the margin would be below the two ranks an interpolation needs; such a group keeps all values.
     whole = F.col("_n") <= 10 * accuracy
 
@@ -110,31 +125,21 @@ def _bracketed_quantiles(
         placed = with_summary(data, edges)
     # A row matters to a quantile when it is below its bracket (counted) or inside it (kept by value).
     near = F.filter(F.array(*[F.col(f"_edge{i}") for i in range(len(names))]), lambda e: F.col("_value") <= e["hi"])
-    inside = F.when(F.col("_edge.lo") <= F.col("_value"), F.col("_value"))
+    inside = F.col("_edge.lo") <= F.col("_value")
     counted = materialize(
         placed.select(*keys, "_n", "_value", F.explode(near).alias("_edge"))
-        .groupBy(*keys, "_n", F.col("_edge.q").alias("_q"), inside.alias("_value"))
+        .groupBy(*keys, "_n", F.col("_edge.q").alias("_q"), inside.alias("_inside"), F.when(inside, F.col("_value")).alias("_value"))
         .agg(F.count(F.lit(1)).alias("_weight"))
     )
-    # The one row without a value is everything below the bracket, and sorts first.
-    ordered = counted.select("*", F.coalesce("_value", F.lit(float("-inf"))).alias("_place"))
-    ranked = running_totals(ordered, [*keys, "_q"], ["_place"], {"_upto": "_weight"}, policy=policy)
-    rank = (F.col("_n") - 1) * F.element_at(F.array(*[F.lit(float(quantiles[q])) for q in names]), F.col("_q") + 1)
+    # The one row outside is everything below the bracket, and sorts first.
+    ranked = running_totals(counted, [*keys, "_q"], ["_inside", "_value"], {"_upto": "_weight"}, policy=policy)
+    rank = _rank(quantiles)
 
     def at(place: Column) -> Column:
-        return F.min(F.when(F.col("_upto") > place, F.col("_place")))
+        return F.min(F.when(F.col("_upto") > place, F.struct("_inside", "_value")))
 
     picked = ranked.groupBy(*keys, "_q", "_n").agg(at(F.floor(rank)).alias("_low"), at(F.ceil(rank)).alias("_high"))
-    bracketed = F.col("_low").isNotNull() & F.col("_high").isNotNull() & (F.col("_low") > F.lit(float("-inf")))
-    exact = F.col("_low") + (F.col("_high") - F.col("_low")) * (rank - F.floor(rank))
-    checked = F.when(bracketed, exact).otherwise(F.raise_error(F.lit("quantile outside its bracket")).cast("double"))
-    values = picked.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_q") == i, checked)).alias(q) for i, q in enumerate(names)]
-    )
-    base = brackets.select(*keys, *[F.col(f"_extra_{name}").alias(name) for name in extras])
-    if keys:
-        return base.join(values, keys)
-    return with_summary(base, values) if extras else values
+    return brackets, materialize(picked)
 
 
 def describe(

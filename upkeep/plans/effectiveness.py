@@ -20,6 +20,7 @@ from ..operators.lookups import with_summary
 from ..operators.ordered import next_match
 from ..operators.quantiles import exact_quantiles
 from ..operators.slicing import DEFAULT_POLICY, SlicePolicy
+from ..session import materialize
 from ..sources.readers import read_table
 from ..sources.writers import write_summary, write_table
 
@@ -231,6 +232,7 @@ def maintenance_intervals(
 
 def recommended_interval(intervals: DataFrame, share: float = 0.75) -> DataFrame:
     """One row: interpolated quantile of the intervals and their number (no row when there are none)."""
+    intervals = materialize(intervals.select("days_until_failure"))  # read twice
     return exact_quantiles(intervals, [], "days_until_failure", {"optimal_interval_days": share}, count="intervals")
 
 

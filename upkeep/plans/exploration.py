@@ -11,6 +11,7 @@ from ..operators.frequency import histogram, top_counts, value_counts
 from ..operators.lookups import category_codes, with_summary
 from ..operators.quantiles import describe, exact_quantiles
 from ..operators.slicing import DEFAULT_POLICY, SlicePolicy
+from ..session import materialize
 from .features import days_since_previous
 
 ASSET, FAMILY, ORDER_ID = "id_actif", "famille", "id_ordre_travail"
@@ -120,6 +121,7 @@ def mtbf_by_family(
 ) -> DataFrame:
     """Mean and median days between failures of one asset, per family, least reliable first."""
     gaps = days_since_previous(corrective.select(ASSET, FAMILY, "date_creation_ot", ORDER_ID), policy)
+    gaps = materialize(gaps.select(FAMILY, "days_since_previous"))  # read twice
     stats = exact_quantiles(
         gaps, [FAMILY], "days_since_previous", {"median_days": 0.5}, mean="mtbf_days", count="observations", policy=policy
     )

@@ -17,14 +17,13 @@ from ..operators.lookups import Lookup, attach_codes, category_codes, key_statis
 from ..operators.ordered import add_row_windows, running_totals, with_row_windows
 from ..operators.quantiles import exact_quantiles
 from ..operators.slicing import DEFAULT_POLICY, HOT, SLICE, SlicePlan, SlicePolicy, plan_slices
+from ..session import materialize
 from ..sources.readers import read_table
 from ..sources.writers import feature_metadata, write_summary, write_table
 
 ASSET, CREATED, ORDER_ID = "id_actif", "date_creation_ot", "id_ordre_travail"
 TIME_ORDER = (CREATED, ORDER_ID)
 TOP_ANOMALIES = 20
-# Generated one-hot columns live in the schema, so their number must stay small.
-MAX_ONE_HOT = 1_000
 
 # Encoded text columns, targets and the columns that never reach the feature table.
 ENCODED_COLUMNS = ("portfolio", "site", "zone", "famille", "groupe", "prestataire", "etat")
@@ -75,8 +74,10 @@ def _days_since_previous(spec) -> Column:
     return days_between(F.lag(CREATED).over(spec), F.col(CREATED))
 
 
-def _fill_with_median(df: DataFrame, narrow: DataFrame, name: str, policy: SlicePolicy) -> DataFrame:
-    median = exact_quantiles(narrow, [], name, {"_median": 0.5}, policy=policy)
+def _fill_with_median(df: DataFrame, name: str, policy: SlicePolicy) -> DataFrame:
+    """Stores the rows once, so that their windows are not run again for the median."""
+    df = materialize(df)
+    median = exact_quantiles(df, [], name, {"_median": 0.5}, policy=policy)
     return with_summary(df, median).withColumn(name, F.coalesce(name, "_median")).drop("_median")
 
 
@@ -85,8 +86,7 @@ def time_features(df: DataFrame, policy: SlicePolicy = DEFAULT_POLICY) -> DataFr
     name = "days_since_last_maintenance"
     plan = plan_slices(df, [ASSET], TIME_ORDER, policy)
     lagged = days_since_previous(calendar_columns(df), plan=plan).withColumnRenamed("days_since_previous", name)
-    narrow = days_since_previous(df.select(ASSET, *TIME_ORDER), plan=plan).select(F.col("days_since_previous").alias(name))
-    return _fill_with_median(lagged, narrow, name, policy)
+    return _fill_with_median(lagged, name, policy)
 
 
 # --- per-key statistics ---------------------------------------------------------------------------------------
@@ -238,10 +238,8 @@ def anomaly_features(df: DataFrame, policy: SlicePolicy = DEFAULT_POLICY) -> Dat
 
 
 def _urgency_levels(distinct: DataFrame) -> tuple[str, ...]:
-    levels = [row["urgence"] for row in distinct.select("urgence").orderBy("urgence").limit(MAX_ONE_HOT + 1).collect()]
-    if len(levels) > MAX_ONE_HOT:
-        raise ValueError(f"more than {MAX_ONE_HOT} urgency levels: not a category for one-hot columns")
-    return tuple(levels)
+    """The levels in order; each becomes a column, so they are as many as the schema they make."""
+    return tuple(row["urgence"] for row in distinct.select("urgence").orderBy("urgence").collect())
 
 
 def _urgency_flags(df: DataFrame, levels: Sequence[str]) -> DataFrame:
@@ -376,8 +374,7 @@ def all_features(
     per_asset = _asset_statistics(df).join(_asset_recurrence(df), ASSET, "left")
     rows = _with_age(sliced.join_statistics(rows, per_asset).drop(SLICE, HOT))
 
-    narrow = days_since_previous(df.select(ASSET, *TIME_ORDER), plan=plan).select(F.col("days_since_previous").alias(since))
-    return _target_columns(_fill_with_median(rows, narrow, since, policy))
+    return _target_columns(_fill_with_median(rows, since, policy))
 
 
 def feature_table(

@@ -241,9 +241,14 @@ def integrate(corrective: DataFrame, preventive: DataFrame, parts: DataFrame) ->
     }
 
 
-def run_preprocessing(spark: SparkSession, raw_folder: str, processed_folder: str, csv: bool = False) -> dict[str, str]:
-    """Read, clean, write, then integrate from the written (typed, columnar) tables; returns the paths."""
-    raw = read_raw_tables(spark, raw_folder)
+def run_preprocessing(
+    spark: SparkSession, raw_folder: str, processed_folder: str, csv: bool = False, multiline: bool = False
+) -> dict[str, str]:
+    """Read, clean, write, then integrate from the written (typed, columnar) tables; returns the paths.
+
+    ``csv`` adds CSV twins; ``multiline`` is for CSV exports with line breaks in their texts.
+    """
+    raw = read_raw_tables(spark, raw_folder, multiline)
     cleaned = {
         "corrective_cleaned": clean_corrective(raw["corrective"]),
         "preventive_cleaned": clean_preventive(raw["preventive"]),

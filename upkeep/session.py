@@ -14,6 +14,7 @@ def build_session(app_name: str = "upkeep", master: str | None = None, **conf: s
         builder = builder.master(master)
     settings = {
         "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -25,12 +26,19 @@ def build_session(app_name: str = "upkeep", master: str | None = None, **conf: s
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is configured."""
+    """The shared checkpoint folder that ``spark.checkpoint.dir`` names.
+
+    Executors of a cluster do not share their local folders, so there the setting is required.  A session in one
+    process (``local[...]``) without it gets a temporary folder, which all its tasks see.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="upkeep-checkpoint-")
-        )
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+            folder = tempfile.mkdtemp(prefix="upkeep-checkpoint-")
+        context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 

@@ -53,14 +53,18 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 def csv_reader(spark: SparkSession, multiline: bool) -> DataFrameReader:
-    """Header, doubled quotes, UTF-8.  Line breaks inside quotes need ``multiline``, which reads each file in one task."""
-    return spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multiline)
+    """Header, doubled quotes, UTF-8.  Line breaks inside quotes need ``multiline``, which reads each file in one task.
+
+    The header of every file must name the columns in the order of the schema; a file that differs is an error.
+    """
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("enforceSchema", False)
+    return reader.option("multiLine", multiline)
 
 
-def read_raw_tables(spark: SparkSession, folder: str, multiline: bool = True) -> dict[str, DataFrame]:
+def read_raw_tables(spark: SparkSession, folder: str, multiline: bool = False) -> dict[str, DataFrame]:
     """The three exports as declared in :mod:`schemas`, from Parquet or CSV; lazy.
 
-    ``multiline=False`` lets Spark split large CSV files; use it for exports without line breaks in their texts.
+    Large CSV files are split; ``multiline=True`` is for exports with line breaks in their texts.
     """
     tables = {}
     for name, schema in RAW_TABLES.items():
@@ -80,13 +84,22 @@ def _read_exported_csv(spark: SparkSession, path: str, schema: T.StructType, mul
 
 
 def read_table(
-    spark: SparkSession, folder: str, name: str, time_columns: Sequence[str] = ()
+    spark: SparkSession,
+    folder: str,
+    name: str,
+    time_columns: Sequence[str] = (),
+    schema: T.StructType | None = None,
+    multiline: bool = False,
 ) -> DataFrame:
-    """A processed table: Parquet when present, else CSV whose listed time columns are parsed again."""
+    """A processed table: Parquet when present, else CSV whose listed time columns are parsed again.
+
+    With ``schema`` the CSV is read once; without, its types are inferred by a scan before.
+    """
     kind, path = locate(spark, folder, name)
     if kind == "parquet":
         return spark.read.parquet(path)
-    table = csv_reader(spark, True).option("inferSchema", True).csv(path)
+    reader = csv_reader(spark, multiline)
+    table = (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
     times = [n for n in present(table, time_columns) if not isinstance(table.schema[n].dataType, T.TimestampType)]
     return table.withColumns({n: parse_mixed_time(F.col(n).cast("string")) for n in times}) if times else table
 

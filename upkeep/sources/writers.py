@@ -13,7 +13,8 @@ def write_table(df: DataFrame, folder: str, name: str, csv: bool = False, partit
     writer = df.write.mode("overwrite")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     if csv:
-        df.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{folder}/{name}.csv")
+        stored = df.sparkSession.read.parquet(path)
+        stored.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{folder}/{name}.csv")
     return path
 
 
