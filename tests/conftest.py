@@ -10,8 +10,14 @@ from upkeep.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("tests", "local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false")
+def spark(tmp_path_factory):
+    session = build_session(
+        "tests",
+        "local[4]",
+        spark__sql__shuffle__partitions="4",
+        spark__ui__enabled="false",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")),
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from upkeep.models import classifiers as cl, metrics
 from upkeep.models.anomaly import AnomalyDetector, AnomalyModel, anomaly_consensus, evaluate_anomalies
+from upkeep.models.boundary import fit_boundary
 from upkeep.models.isolation import average_path, fit_forest
 from upkeep.models.matrix import Standardizer, model_matrix, numeric_inputs, project
 from upkeep.models.splits import balanced_weights, stratify
@@ -139,3 +140,19 @@ def test_scaling_and_projection(cloud, features):
     assert scaled.first()["scaled"].size == 2
     rows, shares = project(cloud, ["cout_total", "duree_intervention_par_heure"], ["id_ordre_travail"])
     assert rows.columns == ["id_ordre_travail", "pc1", "pc2"] and sum(shares) == pytest.approx(1.0)
+
+
+def test_boundary_is_settled(spark):
+    rng = np.random.default_rng(3)
+    points = rng.normal(size=(1500, 3)) ** 3
+    rows = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(points)], "id long, a double, b double, c double").checkpoint()
+
+    def outside(tolerance):
+        model = fit_boundary(rows, ["a", "b", "c"], size=64, tolerance=tolerance, steps=150)
+        score = model.score_column(["a", "b", "c"]) - model.rho
+        return {r[0] for r in rows.select("id", score.alias("s")).where("s < 0").collect()}
+
+    usual, longer = outside(1e-3), outside(2e-4)
+    assert len(usual) == 150 and len(usual & longer) >= 0.99 * len(usual)
+    empty = fit_boundary(rows.limit(0), ["a", "b", "c"], size=8)
+    assert empty.rho == 0.0
