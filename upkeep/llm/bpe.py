@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upkeep.llm.support import map_batches, slices, text_of
+from upkeep.llm.support import kept, map_batches, parts, slices, text_of
 
 #: Matches in a table's younger half (at most twice as many in all, of about 150 bytes), and the longest that are kept.
 KEPT_MATCHES = 500_000
@@ -109,21 +109,22 @@ def token_bytes(definition: str) -> dict[int, bytes]:
 
 
 class Recent(dict):
-    """Bounded table: when the younger half is full it becomes the older one; what is found there is taken over."""
+    """Bounded table: when the younger half is full it becomes the older one; what is found there is taken over.
+
+    Looking up what is in neither gives None and notes it in ``wanted``.
+    """
 
     def __init__(self, most: int):
         super().__init__()
-        self.most, self.older = most, {}
-
-    def recall(self, keys) -> list:
-        """Takes over what the older half has of ``keys``; returns the rest."""
-        older, missing = self.older, []
-        for key in keys:
-            if (value := older.get(key)) is None:
-                missing.append(key)
-            else:
-                self[key] = value
-        return missing
+        self.most, self.older, self.wanted = most, {}, set()
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            self.wanted.add(key)
+        else:
+            self[key] = value
+        return value
 
     def age(self) -> None:
         if len(self) > self.most:
@@ -141,7 +142,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
         self.model = Tokenizer(self.tokenizer.model)  # without splitting: for single matches of the pattern
-        self.spelling = dict(enumerate(byte_characters()))
+        self.spelling = "".join(byte_characters())
         self.pattern = settled_pattern()
         self.matches = Recent(KEPT_MATCHES)
 
@@ -153,11 +154,18 @@ class Encoder:
             out += [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
         return out
 
+    def _spelled(self, matches: list[str]) -> list[str]:
+        """The strings that stand for the bytes of each match."""
+        spelled = "\0".join(matches).encode().decode("latin-1").translate(self.spelling).split(self.spelling[0])
+        if len(spelled) == len(matches):
+            return spelled
+        return [m.encode().decode("latin-1").translate(self.spelling) for m in matches]  # some hold a zero byte
+
     def _single_matches(self, matches: list[str]) -> list[bytes]:
         """Ids of strings that are one match of the pattern each, by the library's merges alone."""
         out = []
         for a in range(0, len(matches), 4096):
-            spelled = [m.encode().decode("latin-1").translate(self.spelling) for m in matches[a : a + 4096]]
+            spelled = self._spelled(matches[a : a + 4096])
             encoded = self.model.encode(spelled, is_pretokenized=True, add_special_tokens=False)
             packed = np.array(encoded.ids, dtype="<u4").tobytes()
             ends = (4 * np.cumsum(np.bincount(encoded.word_ids, minlength=len(spelled)))).tolist()
@@ -169,22 +177,20 @@ class Encoder:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         self.matches.age()
-        known, out, split = self.matches, [b""] * len(texts), {}
-        missing, whole = set(), []
+        known, out, split, whole = self.matches, [b""] * len(texts), {}, []
         for i, text in enumerate(texts):
-            if UNSETTLED.search(text):
+            if not text.isascii() and UNSETTLED.search(text):
                 whole.append(i)
                 continue
             matches = self.pattern.findall(text)
-            ids = list(map(known.get, matches))
+            ids = list(map(known.__getitem__, matches))
             if None in ids:
-                missing.update([m for m, x in zip(matches, ids) if x is None])
                 split[i] = matches, ids
             else:
                 out[i] = b"".join(ids)
-        fresh = known.recall(missing)
-        learnt = dict(zip(fresh, self._single_matches(fresh)))
-        learnt.update((m, known[m]) for m in missing.difference(fresh))
+        wanted = list(known.wanted)
+        known.wanted.clear()
+        learnt = dict(zip(wanted, self._single_matches(wanted)))
         known.update((m, ids) for m, ids in learnt.items() if len(m) <= KEPT_LENGTH)
         for i, (matches, ids) in split.items():
             out[i] = b"".join([learnt[m] if x is None else x for m, x in zip(matches, ids)])
@@ -193,16 +199,9 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(definition: str) -> Encoder:
     """This worker's encoder for a definition; kept, as workers serve many tasks."""
-    key = hashlib.sha256(definition.encode()).hexdigest()
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(definition)
-    return _ENCODERS[key]
+    return kept(("encoder", hashlib.sha256(definition.encode()).digest()), lambda: Encoder(definition))
 
 
 class Decoder:
@@ -233,15 +232,8 @@ class Decoder:
         return (character[first] - 1, character[last]) if len(content) else (ends, ends)
 
 
-_DECODERS: dict[str, Decoder] = {}
-
-
 def decoder(definition: str) -> Decoder:
-    key = hashlib.sha256(definition.encode()).hexdigest()
-    if key not in _DECODERS:
-        _DECODERS.clear()
-        _DECODERS[key] = Decoder(definition)
-    return _DECODERS[key]
+    return kept(("decoder", hashlib.sha256(definition.encode()).digest()), lambda: Decoder(definition))
 
 
 def encode(df: DataFrame, definition: str, key: str = "doc_id", text: str = "text", offsets: bool = False) -> DataFrame:
@@ -255,10 +247,9 @@ def encode(df: DataFrame, definition: str, key: str = "doc_id", text: str = "tex
     def work(batches):
         made, back = encoder(shared.value), decoder(shared.value) if offsets else None
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in slices([len(t) for t in texts], BATCH_CHARACTERS):
-                ids = [np.frombuffer(x, dtype="<u4").astype(np.int32) for x in made.encode(texts[a:b])]
-                columns = [batch.column(0).slice(a, b - a), pa.array(ids, pa.list_(pa.int32()))]
+            for part in parts(batch, 1):
+                ids = [np.frombuffer(x, dtype="<u4").astype(np.int32) for x in made.encode(part.column(1).to_pylist())]
+                columns = [part.column(0), pa.array(ids, pa.list_(pa.int32()))]
                 if offsets:
                     spans = [back.offsets(x.tolist()) for x in ids]
                     columns += [pa.array([s[k].astype(np.int32) for s in spans], pa.list_(pa.int32())) for k in (0, 1)]
@@ -290,10 +281,9 @@ def round_trip_digests(df: DataFrame, definition: str) -> DataFrame:
         made, back = encoder(shared.value), decoder(shared.value)
         decimal = {i: str(i) for i in back.table}
         for batch in batches:
-            texts = batch.column(1).to_pylist()
             counts, ids_hex, bytes_hex = [], [], []
-            for a, b in slices([len(t) for t in texts], BATCH_CHARACTERS):
-                for packed in made.encode(texts[a:b]):
+            for part in parts(batch, 1):
+                for packed in made.encode(part.column(1).to_pylist()):
                     ids = np.frombuffer(packed, dtype="<u4").tolist()
                     counts.append(len(ids))
                     ids_hex.append(hashlib.sha256(" ".join(map(decimal.__getitem__, ids)).encode()).hexdigest())

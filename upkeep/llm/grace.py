@@ -26,12 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upkeep.llm.support import map_batches, slices, text_of
+from upkeep.llm.support import map_batches, parts, slices, text_of
 
 #: Deleted before comparing (fixed value).
 WHITE_SPACE = b" \t\n\x0b\x0c\r"
 #: Content that a task's table may hold before it spills or, on the scan side, is emitted.
-TABLE_BYTES = 48 << 20
+TABLE_BYTES = 32 << 20
 FANOUT_BITS = 4
 
 ROW = "__upkeep_row"
@@ -151,13 +151,13 @@ def classes(df: DataFrame, key: str, text: str, budget: int = TABLE_BYTES) -> Da
     def merge(batches):
         table = ContentTable()
         for batch in batches:
-            keys, rows, sizes, texts = (c.to_pylist() for c in batch.columns)
-            for k, row, size, content in zip(keys, rows, sizes, texts):
-                plain = content.translate(None, WHITE_SPACE)
-                table.add(hashlib.sha256(plain).digest(), plain, (-size, k is None, k, row), 1)
-                if table.bytes > budget:
-                    yield from emit(table.entries, batch.schema.field(0).type)
-                    table = ContentTable()
+            for part in parts(batch, 3, 4 << 20):
+                for k, row, size, content in zip(*(c.to_pylist() for c in part.columns)):
+                    plain = content.translate(None, WHITE_SPACE)
+                    table.add(hashlib.sha256(plain).digest(), plain, (-size, k is None, k, row), 1)
+                    if table.bytes > budget:
+                        yield from emit(table.entries, batch.schema.field(0).type)
+                        table = ContentTable()
         yield from emit(table.entries, None if not table.entries else batch.schema.field(0).type)
 
     def emit(entries, key_type, texts=True):
@@ -175,8 +175,9 @@ def classes(df: DataFrame, key: str, text: str, budget: int = TABLE_BYTES) -> Da
         def stream():
             for batch in batches:
                 key_type[:] = [batch.schema.field(3).type]
-                for digest, content, size, k, row, count in zip(*(c.to_pylist() for c in batch.columns)):
-                    yield [digest, content, (-size, k is None, k, row), count]
+                for part in parts(batch, 1, 4 << 20):
+                    for digest, content, size, k, row, count in zip(*(c.to_pylist() for c in part.columns)):
+                        yield [digest, content, (-size, k is None, k, row), count]
 
         ready = []
         for entry in grace(stream(), budget):
@@ -199,7 +200,7 @@ def digests(df: DataFrame, key: str, text: str) -> DataFrame:
 
     def work(batches):
         for batch in batches:
-            found = [hashlib.sha256(c.translate(None, WHITE_SPACE)).digest() for c in batch.column(3).to_pylist()]
+            found = [hashlib.sha256(c.as_py().translate(None, WHITE_SPACE)).digest() for c in batch.column(3)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.binary())], ["key", "row", "digest"])
 
     return map_batches(contents(df, key, text), work, f"key {kind}, row long, digest binary")

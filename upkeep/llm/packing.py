@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upkeep.llm.bpe import BATCH_CHARACTERS, encoder
-from upkeep.llm.support import map_batches, shared_folder, slices, stored, text_of
+from upkeep.llm.bpe import encoder
+from upkeep.llm.support import map_batches, parts, shared_folder, stored, text_of
 
 CAPACITY = 1024
 GROUP_PIECES = 8192
@@ -78,10 +78,9 @@ def cut(df: DataFrame, definition: str, end_id: int, capacity: int) -> DataFrame
     def work(batches):
         made, end, step = encoder(shared.value), struct.pack("<I", end_id), 4 * capacity
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices([len(t) for t in texts], BATCH_CHARACTERS):
+            for part in parts(batch, 1):
                 rows = []
-                for key, ids in zip(keys[a:b], made.encode(texts[a:b])):
+                for key, ids in zip(part.column(0).to_pylist(), made.encode(part.column(1).to_pylist())):
                     ids += end
                     for at in range(0, len(ids), step):
                         piece = ids[at : at + step]

@@ -32,7 +32,7 @@ SIZE, NONZERO, WINDOW = 64, 8, 2
 HIDDEN, ROUNDS, RATE, SHRINK = 32, 300, 0.01, 1e-3
 CALIBRATION = 5  # every fifth training row
 THRESHOLD = 0.7
-KEPT_WORDS = 400_000
+KEPT_WORDS = 100_000
 
 TOKEN = re.compile(r"\w+|[^\w\s]|\n")
 REPEATED = "<again>"

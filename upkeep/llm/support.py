@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,9 +39,41 @@ def ship_code(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *paths]))
 
 
-def map_batches(df: DataFrame, work, schema: str) -> DataFrame:
+#: What a worker keeps between tasks (tokenizers and their tables), and the operator it last worked for.
+KEPT: dict = {}
+OWNER: list[str] = [""]
+
+
+def turn_to(operator: str) -> None:
+    """A worker that turns to another operator gives back what it kept for the one before."""
+    if OWNER[0] != operator:
+        KEPT.clear()
+        OWNER[0] = operator
+
+
+def kept(key, make):
+    if key not in KEPT:
+        KEPT[key] = make()
+    return KEPT[key]
+
+
+def map_batches(df: DataFrame, work, schema) -> DataFrame:
+    """``mapInArrow`` for a function of one of this package's modules."""
     ship_code(df.sparkSession)
-    return df.mapInArrow(work, schema)
+    operator = work.__module__
+
+    def begin(batches):
+        turn_to(operator)
+        return work(batches)
+
+    return df.mapInArrow(begin, schema)
+
+
+def parts(batch: pa.RecordBatch, column: int, most: int = 1_500_000):
+    """A batch in parts whose texts are of about ``most`` bytes together, so that few are Python objects at a time."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    for start, end in slices(sizes, most):
+        yield batch.slice(start, end - start)
 
 
 def stored(df: DataFrame, folder: str, name: str) -> DataFrame:

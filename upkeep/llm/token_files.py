@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upkeep.llm.bpe import BATCH_CHARACTERS, encoder
-from upkeep.llm.support import file_system, map_batches, shared_folder, slices, spread, stored, text_of, write_file
+from upkeep.llm.bpe import encoder
+from upkeep.llm.support import file_system, map_batches, parts, shared_folder, slices, spread, stored, text_of, write_file
 
 MAGIC = b"UPKIDS01"
 HEADER = "<8sI32s"
@@ -43,7 +43,7 @@ DICTIONARY_CHARACTERS = 4096
 DICTIONARY_BYTES = 64 << 10
 #: A file is closed once it holds this much.
 FILE_BYTES = 64 << 20
-LEVEL = 3
+LEVEL = 1
 
 
 def train_dictionary(df: DataFrame, definition: str, end_id: int, width: int) -> bytes:
@@ -94,16 +94,15 @@ def write(df: DataFrame, definition: str, end_id: int = 0, folder: str | None =
         made = encoder(words)
         zstd = zstandard.ZstdCompressor(LEVEL, dict_data=zstandard.ZstdCompressionDict(trained) if trained else None)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            keys = batch.column(0)
-            bucket = np.searchsorted(borders, np.array([-np.inf if k is None else k for k in keys.to_pylist()]), "left")
-            for a, b in slices([len(t) for t in texts], BATCH_CHARACTERS):
-                packed = made.encode(texts[a:b])
+            for part in parts(batch, 1):
+                keys = part.column(0)
+                bucket = np.searchsorted(borders, np.array([-np.inf if k is None else k for k in keys.to_pylist()]), "left")
+                packed = made.encode(part.column(1).to_pylist())
                 frames = [zstd.compress(serialised(x, end_id, width)) for x in packed]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(bucket[a:b], pa.int32()),
-                        keys.slice(a, b - a),
+                        pa.array(bucket, pa.int32()),
+                        keys,
                         pa.array([len(x) // 4 + 1 for x in packed], pa.int64()),
                         pa.array([zlib.crc32(f) for f in frames], pa.int64()),
                         pa.array(frames, pa.binary()),

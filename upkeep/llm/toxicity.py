@@ -29,7 +29,7 @@ CHANCE = 50
 THRESHOLD = 0.3
 HASHES = 1 << 20
 ROUNDS, RATE, SHRINK, COUNTERFACTUAL = 300, 0.05, 1e-4, 1.0
-KEPT_WORDS = 400_000
+KEPT_WORDS = 100_000
 
 WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[^.!?\n]+")

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from upkeep.llm.support import map_batches, text_of
+from upkeep.llm.support import map_batches, parts, text_of
 
 #: Remainder of the checksum that keeps a row out of training.
 FOLDS, HELD_OUT = 4, 2
@@ -45,8 +45,9 @@ def scored(docs: DataFrame, scorer) -> DataFrame:
     def work(batches):
         score = scorer()
         for batch in batches:
-            values = np.asarray(score(batch.column(1).to_pylist()), dtype=np.float64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], ["doc_id", "score"])
+            for part in parts(batch, 1):
+                values = np.asarray(score(part.column(1).to_pylist()), dtype=np.float64)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(values)], ["doc_id", "score"])
 
     return map_batches(source, work, "doc_id long, score double")
 
@@ -58,8 +59,9 @@ def filtered(docs: DataFrame, scorer, keep) -> DataFrame:
     def work(batches):
         score = scorer()
         for batch in batches:
-            texts = [t or "" for t in batch.column(place).to_pylist()]
-            yield batch.filter(pa.array(keep(np.asarray(score(texts), dtype=np.float64))))
+            for part in parts(batch, place):
+                texts = [t or "" for t in part.column(place).to_pylist()]
+                yield part.filter(pa.array(keep(np.asarray(score(texts), dtype=np.float64))))
 
     return map_batches(docs, work, docs.schema)
 
