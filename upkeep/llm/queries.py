@@ -117,7 +117,8 @@ FROM f""",
 WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, round(list_cosine_similarity(q.e, c.e), 9) AS score
+s AS (SELECT q.vec_id AS query_id, c.vec_id,
+    list_inner_product(q.e, c.e) / (sqrt(list_inner_product(q.e, q.e)) * sqrt(list_inner_product(c.e, c.e))) AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e))
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score
 FROM s QUALIFY rank <= 5""",

@@ -39,9 +39,17 @@ def unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Cosine of each row pair, from the vectors as given, always added up in the same order: equal vectors tie."""
-    a, b = a / np.abs(a).max(axis=1, keepdims=True), b / np.abs(b).max(axis=1, keepdims=True)
-    return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
+    """Cosine of each row pair, from the vectors as given, added up component by component: equal vectors tie.
+
+    Scaling by a power of two changes no digit; it keeps squares from overflowing or vanishing.
+    """
+    a, b = (np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1]) for v in (a, b))
+    ab, aa, bb = np.zeros(len(a)), np.zeros(len(a)), np.zeros(len(a))
+    for x, y in zip(a.T, b.T):
+        ab += x * y
+        aa += x * x
+        bb += y * y
+    return ab / (np.sqrt(aa) * np.sqrt(bb))
 
 
 def build(ids: np.ndarray, vectors: np.ndarray, leaf_rows: int = LEAF_ROWS, seed: int = 7) -> dict:
