@@ -787,4 +787,25 @@ Q["stratified_split"] = f"""WITH {RULE}, n AS (SELECT label, count(*) AS n FROM
   SELECT label, f AS fold, CAST(floor((n - 1 - f) / 5) + 1 AS BIGINT) AS orders FROM n, range(5) t(f)
   UNION ALL SELECT label, -1, CAST(round(n * 0.2) AS BIGINT) FROM n"""
 
+# --- the exploration reports behind the site filter --------------------------------------------------------------------
+
+
+def at_site(sql: str, site: str) -> str:
+    """The same report over the orders of one site."""
+    for states in ("IN ('O', 'P')", "= 'F'"):
+        every = f"FROM placed WHERE o_orderstatus {states}"
+        sql = sql.replace(every, f"{every} AND r_name = '{site}'")
+    return sql
+
+
+Q |= {
+    f"{name}_at_site": at_site(Q[name], "EUROPE")
+    for name in (
+        "top_anomaly_types top_families status_distribution urgency_distribution mtbf_by_family failures_by_zone "
+        "recurrence_summary top_recurring_assets provider_performance provider_spread closure_time_summary "
+        "closure_time_histogram cost_by_portfolio cost_per_hour closure_time_by_urgency closure_time_by_family "
+        "evaluate_anomalies compare_anomaly_groups anomaly_profile anomaly_cost_share"
+    ).split()
+}
+
 ORACLE_SQL = Q

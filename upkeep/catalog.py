@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from contextvars import ContextVar
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -55,12 +56,24 @@ def query(build: Query) -> Query:
     return build
 
 
+# The site that a dashboard is filtered to; None shows all.
+SITE: ContextVar[str | None] = ContextVar("site", default=None)
+
+
+def placed_orders(source, spark: SparkSession, folder: str, columns: str | Iterable[str]) -> DataFrame:
+    columns = columns.split() if isinstance(columns, str) else list(columns)
+    site = SITE.get()
+    if site is None:
+        return source(spark, folder, columns)
+    return ex.at_site(source(spark, folder, dict.fromkeys([*columns, "site"])), site).select(*columns)
+
+
 def repairs(spark: SparkSession, folder: str, columns: str | Iterable[str]) -> DataFrame:
-    return star.corrective(spark, folder, columns.split() if isinstance(columns, str) else columns)
+    return placed_orders(star.corrective, spark, folder, columns)
 
 
 def planned(spark: SparkSession, folder: str, columns: str | Iterable[str]) -> DataFrame:
-    return star.preventive(spark, folder, columns.split() if isinstance(columns, str) else columns)
+    return placed_orders(star.preventive, spark, folder, columns)
 
 
 def requests(spark: SparkSession, folder: str, columns: str) -> DataFrame:
@@ -878,3 +891,28 @@ def explained_variance(spark, folder):
         F.array(*[F.struct(F.lit(i + 1).alias("axis"), F.lit(s).alias("share"), F.col(f"pc{i + 1}").alias("place")) for i, s in enumerate(shares)])
     )
     return rows.select(axes).groupBy("axis", "share").agg(F.var_samp("place").alias("variance"))
+
+
+# --- the exploration reports behind the site filter -------------------------------------------------------------------
+
+SITE_REPORTS = (
+    "top_anomaly_types top_families status_distribution urgency_distribution mtbf_by_family failures_by_zone "
+    "recurrence_summary top_recurring_assets provider_performance provider_spread closure_time_summary "
+    "closure_time_histogram cost_by_portfolio cost_per_hour closure_time_by_urgency closure_time_by_family "
+    "evaluate_anomalies compare_anomaly_groups anomaly_profile anomaly_cost_share"
+).split()
+REPORT_SITE = "EUROPE"
+
+
+def at_report_site(report: Query) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        token = SITE.set(REPORT_SITE)
+        try:
+            return report(spark, folder)
+        finally:
+            SITE.reset(token)
+
+    return run
+
+
+QUERIES |= {f"{name}_at_site": at_report_site(QUERIES[name]) for name in SITE_REPORTS}
