@@ -28,7 +28,7 @@ C = f"""{ORDERS}, corrective AS (
          part_name AS anomalie, s_name AS prestataire, o_orderdate AS date_creation_ot, last_ship AS date_cloture,
          o_totalprice AS cout_total, quantity * 50 AS cout_maindoeuvre, line_count AS nombre_main_doeuvre,
          quantity AS duree_intervention_par_heure, returned AS est_reouvert, close_hours AS time_to_closure_hours,
-         start_hours AS time_to_start_hours
+         start_hours AS time_to_start_hours, o_orderdate AS date_declaration, first_ship AS date_debut_reparation
   FROM placed WHERE o_orderstatus IN ('O', 'P')
 )"""
 
@@ -38,7 +38,7 @@ CP = f"""{C}, preventive AS (
          o_orderstatus AS etat, o_orderpriority AS frequence, part_name AS nom_intervention, s_name AS prestataire,
          first_ship AS date_debut_planifiee, o_orderdate AS date_debut, last_ship AS date_cloture,
          o_totalprice AS cout, -start_hours / 24 AS days_deviation_from_plan,
-         close_hours AS intervention_duration_hours
+         close_hours AS intervention_duration_hours, last_ship AS date_fin
   FROM placed WHERE o_orderstatus = 'F'
 )"""
 
@@ -204,17 +204,35 @@ Q["relationship_summary"] = f"""WITH {CP}, {TOTALS}, {BOTH}, {LOCATIONS}, {TIMES
   (SELECT count(*) FROM times WHERE maintenance_type = 'preventive') AS preventive_events,
   (SELECT {whole_days("min(date_created)", "max(date_created)")} FROM times) AS date_range_days FROM s"""
 
+_PLACE = "id_actif bigint, actif string, famille string, groupe string, site string, zone string, localisation string"
 _QUALITY = {
-    "id_ordre_travail": "bigint", "id_actif": "bigint", "famille": "string", "site": "string",
-    "date_cloture": "timestamp", "anomalie": "string", "prestataire": "string", "est_reouvert": "boolean",
-    "cout_total": "double",
+    "corrective": f"""id_ordre_travail bigint, {_PLACE}, portfolio string, etat string, urgence string, anomalie string,
+        prestataire string, date_declaration timestamp, date_creation_ot timestamp, date_debut_reparation timestamp,
+        date_cloture timestamp, cout_total double, cout_maindoeuvre double, nombre_main_doeuvre bigint,
+        duree_intervention_par_heure double, est_reouvert boolean, time_to_closure_hours double, time_to_start_hours double""",
+    "preventive": f"""numero_ot bigint, {_PLACE}, etat string, frequence string, nom_intervention string, prestataire string,
+        date_debut_planifiee timestamp, date_debut timestamp, date_fin timestamp, date_cloture timestamp, cout double,
+        days_deviation_from_plan double, intervention_duration_hours double""",
+    "parts": """id_demande bigint, id_ot bigint, article string, code_article bigint, famille string, magasinier bigint,
+        quantite_demande double, quantite_dispo bigint, cout_total double, etat string, motif_rejet string,
+        date_demande timestamp""",
 }
-Q["data_quality_report"] = f"WITH {C} " + " UNION ALL ".join(
-    f"""SELECT '{name}' AS column_name, '{kind}' AS data_type, count(*) AS total_rows,
+
+
+def quality_rows(table: str, columns: list[list[str]]) -> str:
+    names = ", ".join(name for name, _ in columns)
+    again = f"(SELECT coalesce(sum(n - 1), 0)::BIGINT FROM (SELECT count(*) AS n FROM {table} GROUP BY {names}))"
+    return " UNION ALL ".join(
+        f"""SELECT '{table}' AS table_name, '{name}' AS column_name, '{kind}' AS data_type, count(*) AS total_rows,
   count(*) FILTER (WHERE {name} IS NULL) AS missing_count,
   {r(f"avg(CASE WHEN {name} IS NULL THEN 100.0 ELSE 0 END)", "missing_pct")},
-  {len(_QUALITY)}::BIGINT AS total_columns, 0::BIGINT AS duplicates FROM corrective"""
-    for name, kind in _QUALITY.items()
+  {len(columns)}::BIGINT AS total_columns, {again} AS duplicates FROM {table}"""
+        for name, kind in columns
+    )
+
+
+Q["data_quality_report"] = f"WITH {CP}, {PARTS} " + " UNION ALL ".join(
+    quality_rows(table, [c.split() for c in columns.split(",")]) for table, columns in _QUALITY.items()
 )
 
 Q["duplicate_part_lines"] = f"""WITH {PARTS} SELECT coalesce(sum(n - 1), 0)::BIGINT AS duplicates
@@ -687,6 +705,15 @@ def grouped_means(name: str) -> str:
 Q["compare_anomaly_groups"] = f"WITH {FLAGGED} " + " UNION ALL ".join(
     grouped_means(n) for n in ("cout_total", "duree_intervention_par_heure", "time_to_closure_hours")
 )
+_WIDE = f"""WITH {FLAGGED}, {TOTALS}, wide AS (
+  SELECT flagged.*, coalesce(n, 0) AS num_spare_parts_requests, coalesce(cost, 0.0) AS total_parts_cost
+  FROM flagged LEFT JOIN totals ON id_ordre_travail = id_ot) """
+Q["compare_anomaly_groups_wide"] = _WIDE + " UNION ALL ".join(
+    grouped_means(n).replace("FROM flagged", "FROM wide")
+    for n in (
+        "cout_total", "duree_intervention_par_heure", "time_to_closure_hours", "num_spare_parts_requests", "total_parts_cost",
+    )
+)
 Q["anomaly_profile"] = f"WITH {FLAGGED} " + " UNION ALL ".join(
     f"""SELECT '{n}' AS factor, {n} AS value, count(*) AS count,
   {r("count(*) * 100.0 / sum(count(*)) OVER ()", "share_pct")} FROM flagged WHERE iso_anomaly = 1 GROUP BY {n}"""

@@ -170,8 +170,13 @@ def relationship_summary(spark, folder):
 
 @query
 def data_quality_report(spark, folder):
-    columns = "id_ordre_travail id_actif famille site date_cloture anomalie prestataire est_reouvert cout_total"
-    return ig.data_quality_report(repairs(spark, folder, columns), top=None)
+    """All columns of the three tables."""
+    tables = {"corrective": star.corrective, "preventive": star.preventive, "parts": star.spare_parts}
+    reports = [
+        ig.data_quality_report(source(spark, folder), top=None).withColumn("table_name", F.lit(name))
+        for name, source in tables.items()
+    ]
+    return reports[0].unionByName(reports[1]).unionByName(reports[2])
 
 
 @query
@@ -691,6 +696,14 @@ def compare_anomaly_groups(spark, folder):
     return anomaly.compare_groups(anomaly.anomaly_consensus(flagged(spark, folder)))
 
 
+@query
+def compare_anomaly_groups_wide(spark, folder):
+    """The five measures: those of the orders, and their parts."""
+    rows = anomaly.anomaly_consensus(flagged(spark, folder))
+    parts = requests(spark, folder, "id_demande id_ot quantite_demande cout_total")
+    return anomaly.compare_groups(ig.attach_parts(rows, parts, texts=False), anomaly.COMPARED_WIDE)
+
+
 @query
 def anomaly_profile(spark, folder):
     return anomaly.anomaly_profile(flagged(spark, folder, "site portfolio urgence etat"))
