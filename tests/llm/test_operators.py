@@ -413,6 +413,18 @@ def test_factor_trades_recall_for_work():
     assert recall[1.3] >= 0.9 > recall[4.0]
 
 
+def test_ties_among_many_copies_in_one_shard():
+    draw = np.random.default_rng(12)
+    for seed in range(20):
+        points = np.tile(draw.normal(size=64), (400, 1)) * draw.choice([1.0, 1.0, 3.0, 0.7], 400)[:, None]
+        ids = draw.permutation(400)
+        found = vptree.Search(vptree.build(ids, points, seed=seed), ids[:20], points[:20], 5, 1.0).found
+        for query in range(20):
+            score = vptree.cosines(points, np.tile(points[query], (400, 1)))
+            best = [i for i in ids[np.lexsort((ids, -score))].tolist() if i != ids[query]]
+            assert found[query].tolist() == best[:5]
+
+
 # 9: exact duplicates
 
 

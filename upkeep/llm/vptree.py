@@ -28,8 +28,21 @@ from upkeep.llm.support import map_batches, shared_folder, stored
 SHARD_ROWS = 16_384
 QUERY_BLOCK = 1024
 LEAF_ROWS = 128
-#: Differences of distances below this are rounding.
-SLACK = 1e-9
+
+
+def rounding(size: int) -> float:
+    """Bound on the error of a computed cosine, and of a squared distance ``2 - 2 * cosine``, at this vector length.
+
+    Scaling to length one and the sum of products are off by (2 size + 6) half units in the last place, doubled in the
+    squared distance; this is twice that and more.  Of a distance near zero the root makes about 1e-7 of it, so bounds on
+    distances are taken from the squares.
+    """
+    return 4 * (size + 8) * float(np.finfo(np.float64).eps)
+
+
+def distances(cosine: np.ndarray, error: float = 0.0) -> np.ndarray:
+    """Distance of unit vectors with this cosine; with ``error`` (or its negative) no less (no more) than the true one."""
+    return np.sqrt(np.maximum(0, 2 - 2 * cosine + error))
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -53,7 +66,9 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def build(ids: np.ndarray, vectors: np.ndarray, leaf_rows: int = LEAF_ROWS, seed: int = 7) -> dict:
-    """Tree over the rows: nodes ``(row of the vantage point, radius, inner, outer)`` or leaves ``(rows,)``."""
+    """Tree over the rows: nodes ``(row of the vantage point, radius, inner, outer)`` or leaves ``(rows,)``.
+
+    The radius is kept as a cosine."""
     draw, points, nodes = np.random.default_rng(seed), unit(vectors), []
 
     def grow(rows: np.ndarray) -> int:
@@ -64,10 +79,10 @@ def build(ids: np.ndarray, vectors: np.ndarray, leaf_rows: int = LEAF_ROWS, seed
             return at
         vantage = rows[draw.integers(len(rows))]
         rest = rows[rows != vantage]
-        distances = np.sqrt(np.maximum(0, 2 - 2 * points[rest] @ points[vantage]))
-        order = np.argsort(distances, kind="stable")
+        near = points[rest] @ points[vantage]
+        order = np.argsort(-near, kind="stable")
         half = len(rest) // 2
-        radius = distances[order[half]]
+        radius = near[order[half]]
         inner, outer = grow(rest[order[:half]]), grow(rest[order[half:]])
         nodes[at] = (vantage, radius, inner, outer)
         return at
@@ -84,18 +99,19 @@ class Search:
         self.tree, self.k, self.factor = tree, k, factor
         self.query_ids, self.queries = query_ids, queries
         self.points, self.targets = unit(tree["vectors"]), unit(queries)
+        self.error = rounding(queries.shape[1])
         self.score = np.full((len(queries), k), -np.inf)
         self.found = np.full((len(queries), k), np.iinfo(np.int64).max)
         if tree["nodes"]:
             self._visit(0, np.arange(len(queries)))
 
     def _reach(self, active: np.ndarray) -> np.ndarray:
-        """Distance of the k-th found; two units have a distance of two at most."""
-        return np.sqrt(np.maximum(0, 2 - 2 * np.maximum(self.score[active, -1], -1)))
+        """Distance of the k-th found, or a little more; two units have a distance of two at most."""
+        return distances(np.maximum(self.score[active, -1], -1), self.error)
 
     def _offer(self, active: np.ndarray, rows: np.ndarray, near: np.ndarray) -> None:
         ids = self.tree["ids"][rows]
-        good = (near >= self.score[active, -1][:, None] - SLACK) & (self.query_ids[active][:, None] != ids[None, :])
+        good = (near >= self.score[active, -1][:, None] - self.error) & (self.query_ids[active][:, None] != ids[None, :])
         where, which = np.nonzero(good)
         if not len(where):
             return
@@ -116,13 +132,15 @@ class Search:
         vantage, radius, inner, outer = node
         near = self.targets[active] @ self.points[vantage]
         self._offer(active, np.array([vantage]), near[:, None])
-        gap = np.sqrt(np.maximum(0, 2 - 2 * near)) - radius
+        closer = near > radius
         for inside in (True, False):  # each query takes its own side first, then the other if it may hold something nearer
             own, other = (inner, outer) if inside else (outer, inner)
-            mine = gap < 0 if inside else gap >= 0
+            mine = closer == inside
             if mine.any():
                 self._visit(own, active[mine])
-                wide = np.abs(gap[mine]) * self.factor <= self._reach(active[mine]) + SLACK
+                far, here = (radius, near[mine]) if inside else (near[mine], radius)
+                gap = distances(far, -self.error) - distances(here, self.error)  # no more than the true one
+                wide = gap * self.factor <= self._reach(active[mine])
                 if wide.any():
                     self._visit(other, active[mine][wide])
 
