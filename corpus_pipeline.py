@@ -35,7 +35,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the training sequences."""
-    return packing.pack(docs, library_tokenizer(), end_id=0)
+    return packing.pack(docs, library_tokenizer(), end_id=0, added_tokens=True)
 
 
 STAGES = [

@@ -137,6 +137,20 @@ def test_token_files(spark, awkward, nothing, library, monkeypatch):
     assert token_files.read(spark, few, with_ids=True).count() == len(AWKWARD)
 
 
+def test_added_tokens_as_the_library_gives_them(spark, tmp_path):
+    text = queries.library_tokenizer()
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "\u4e2d<|endoftext|>\u00bd", "a <|endoftext| > b"]
+    plain = Tokenizer.from_str(text)  # as it comes
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [64, 220, 50256, 275]
+    assert bpe.Encoder(text, added_tokens=True).encode(texts) == [packed(x) for x in want]
+    assert [bpe.Decoder(text).decode_bytes(x).decode() for x in want] == texts
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    crc = {i: zlib.crc32(packed(x + [0])) for i, x in enumerate(want)}
+    for query in (queries.op2_token_files, queries.op6_packing):
+        assert {r.doc_id: r.ids_crc32 for r in query(spark, str(tmp_path)).collect()} == crc
+
+
 # 3 and 4: classifiers
 
 

@@ -3,7 +3,8 @@
 Merges never cross a match of the splitting pattern, and matches repeat a lot: each is encoded by the library once and kept
 in a bounded table per worker.  Texts of code points outside the settled ranges go through the library as a whole.
 
-Defined results: null text counts as empty and gives no ids; strings of special tokens in a text are ordinary text;
+Defined results: null text counts as empty and gives no ids; strings of special tokens in a text are ordinary text,
+unless ``added_tokens`` asks for what the library does by itself (each becomes its one id);
 repeated rows are encoded each for itself; only the named columns are read, so further columns cannot clash.
 """
 
@@ -102,10 +103,11 @@ def tokenizer_from_ranks(ranks: dict[bytes, int], pattern: str) -> str:
 
 
 def token_bytes(definition: str) -> dict[int, bytes]:
-    """The bytes of each id: the byte table read backwards."""
-    back = {c: b for b, c in enumerate(byte_characters())}
-    vocabulary = json.loads(definition)["model"]["vocab"]
-    return {i: bytes(back[c] for c in word) for word, i in vocabulary.items() if all(c in back for c in word)}
+    """The bytes of each id: the byte table read backwards; an added token stands for its own text."""
+    back, parsed = {c: b for b, c in enumerate(byte_characters())}, json.loads(definition)
+    vocabulary = parsed["model"]["vocab"]
+    added = {t["id"]: t["content"].encode() for t in parsed.get("added_tokens") or ()}
+    return added | {i: bytes(back[c] for c in word) for word, i in vocabulary.items() if all(c in back for c in word)}
 
 
 class Recent(dict):
@@ -133,14 +135,20 @@ class Recent(dict):
 
 
 class Encoder:
-    """Whole texts to ids, as little-endian unsigned 32-bit integers."""
+    """Whole texts to ids, as little-endian unsigned 32-bit integers.
 
-    def __init__(self, definition: str):
+    With ``added_tokens`` the definition's added tokens are taken out of a text first, as the library does by itself;
+    without, special ones are ordinary text.  Texts that hold one go through the library as a whole.
+    """
+
+    def __init__(self, definition: str, added_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added_tokens
+        added = json.loads(definition).get("added_tokens") or ()
+        self.added = [t["content"] for t in added if t["content"] and (added_tokens or not t["special"])]
         self.model = Tokenizer(self.tokenizer.model)  # without splitting: for single matches of the pattern
         self.spelling = "".join(byte_characters())
         self.pattern = settled_pattern()
@@ -179,7 +187,7 @@ class Encoder:
         self.matches.age()
         known, out, split, whole = self.matches, [b""] * len(texts), {}, []
         for i, text in enumerate(texts):
-            if not text.isascii() and UNSETTLED.search(text):
+            if (not text.isascii() and UNSETTLED.search(text)) or any(t in text for t in self.added):
                 whole.append(i)
                 continue
             matches = self.pattern.findall(text)
@@ -199,9 +207,10 @@ class Encoder:
         return out
 
 
-def encoder(definition: str) -> Encoder:
+def encoder(definition: str, added_tokens: bool = False) -> Encoder:
     """This worker's encoder for a definition; kept, as workers serve many tasks."""
-    return kept(("encoder", hashlib.sha256(definition.encode()).digest()), lambda: Encoder(definition))
+    name = ("encoder", hashlib.sha256(definition.encode()).digest(), added_tokens)
+    return kept(name, lambda: Encoder(definition, added_tokens))
 
 
 class Decoder:

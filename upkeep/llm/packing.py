@@ -69,14 +69,14 @@ def padded(size, capacity: int = CAPACITY):
     return F.when(F.bit_count(size) == 1, size).otherwise(F.lit(capacity).cast("long"))
 
 
-def cut(df: DataFrame, definition: str, end_id: int, capacity: int) -> DataFrame:
+def cut(df: DataFrame, definition: str, end_id: int, capacity: int, added_tokens: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens."""
     shared = df.sparkSession.sparkContext.broadcast(definition)
     source = df.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(df).alias("text"))
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
     def work(batches):
-        made, end, step = encoder(shared.value), struct.pack("<I", end_id), 4 * capacity
+        made, end, step = encoder(shared.value, added_tokens), struct.pack("<I", end_id), 4 * capacity
         for batch in batches:
             for part in parts(batch, 1):
                 rows = []
@@ -91,11 +91,19 @@ def cut(df: DataFrame, definition: str, end_id: int, capacity: int) -> DataFrame
 
 
 def pack(
-    df: DataFrame, definition: str, end_id: int = 0, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES
+    df: DataFrame,
+    definition: str,
+    end_id: int = 0,
+    capacity: int = CAPACITY,
+    group_pieces: int = GROUP_PIECES,
+    added_tokens: bool = False,
 ) -> DataFrame:
-    """One row per piece of ``doc_id``, ``text``, with ``sequence_id``, ``offset`` and the sequence's padded size."""
+    """One row per piece of ``doc_id``, ``text``, with ``sequence_id``, ``offset`` and the sequence's padded size.
+
+    With ``added_tokens`` the text of an added token becomes its one id, as the library gives it.
+    """
     spark = df.sparkSession
-    pieces = stored(cut(df, definition, end_id, capacity), shared_folder(spark), "pieces")
+    pieces = stored(cut(df, definition, end_id, capacity, added_tokens), shared_folder(spark), "pieces")
     names = pieces.columns
     number = F.monotonically_increasing_id()  # steady, as the pieces are stored
     full = pieces.where(F.col("length") == capacity).select(

@@ -44,11 +44,12 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_files.read(spark, token_files.write(table(spark, sf_dir, "documents"), library_tokenizer(), end_id=0))
+    docs = table(spark, sf_dir, "documents")
+    return token_files.read(spark, token_files.write(docs, library_tokenizer(), end_id=0, added_tokens=True))
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), library_tokenizer(), end_id=0)
+    return packing.pack(table(spark, sf_dir, "documents"), library_tokenizer(), end_id=0, added_tokens=True)
 
 
 def classified(scores: DataFrame, threshold: float) -> DataFrame:

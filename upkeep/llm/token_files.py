@@ -46,13 +46,13 @@ FILE_BYTES = 64 << 20
 LEVEL = 1
 
 
-def train_dictionary(df: DataFrame, definition: str, end_id: int, width: int) -> bytes:
+def train_dictionary(df: DataFrame, definition: str, end_id: int, width: int, added_tokens: bool = False) -> bytes:
     """A zstandard dictionary from the sample; the sample is a few megabytes whatever the size of the table."""
     import zstandard
 
     share = min(1.0, DICTIONARY_DOCUMENTS / max(1, df.count()))
     beginnings = df.select(F.substring(text_of(df), 1, DICTIONARY_CHARACTERS).alias("text")).where(F.rand(11) < share)
-    ids = encoder(definition).encode([row.text for row in beginnings.limit(2 * DICTIONARY_DOCUMENTS).collect()])
+    ids = encoder(definition, added_tokens).encode([row.text for row in beginnings.limit(2 * DICTIONARY_DOCUMENTS).collect()])
     arrays = [serialised(x, end_id, width) for x in ids if x]
     if len(arrays) < 8:
         return b""
@@ -71,16 +71,20 @@ def dictionary_hash(dictionary: bytes) -> bytes:
     return hashlib.sha256(dictionary).digest() if dictionary else bytes(32)
 
 
-def write(df: DataFrame, definition: str, end_id: int = 0, folder: str | None = None) -> DataFrame:
+def write(
+    df: DataFrame, definition: str, end_id: int = 0, folder: str | None = None, added_tokens: bool = False
+) -> DataFrame:
     """Encode and write ``doc_id``, ``text``; returns the manifest: bucket, number, path, documents, ids.
 
+    With ``added_tokens`` the text of an added token becomes its one id, as the library gives it.
+
     One shuffle, of the compressed documents.  The borders of the buckets come from a sketch of the keys alone.
     """
     spark = df.sparkSession
     folder = folder or shared_folder(spark)
     source = df.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(df).alias("text"))
-    width = 2 if max(encoder(definition).tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-    dictionary = train_dictionary(source, definition, end_id, width)
+    width = 2 if max(encoder(definition, added_tokens).tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+    dictionary = train_dictionary(source, definition, end_id, width, added_tokens)
     write_file(f"{folder}/dictionary.zstd", [dictionary])
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     steps = [i / buckets for i in range(1, buckets)]
@@ -91,7 +95,7 @@ def write(df: DataFrame, definition: str, end_id: int = 0, folder: str | None =
         import zstandard
 
         words, trained = shared.value
-        made = encoder(words)
+        made = encoder(words, added_tokens)
         zstd = zstandard.ZstdCompressor(LEVEL, dict_data=zstandard.ZstdCompressionDict(trained) if trained else None)
         for batch in batches:
             for part in parts(batch, 1):
