@@ -111,6 +111,22 @@ def test_offsets_and_split_characters(awkward, definition):
     assert {r.doc_id: bytes(r.content).decode() for r in bpe.decode(encoded, definition).collect()}[6] == AWKWARD[7][1]
 
 
+def test_definitions_with_another_split(ranks):
+    import json
+
+    texts = ["it's  12345 words, A\u00e9 b", "", "x <|endoftext|> 7", "\u4e2dA 12"]
+    digits = bpe.tokenizer_from_ranks(ranks, r"\p{N}| ?\p{L}+|[^\p{L}\p{N}]+")
+    lower, prefix, whole = (json.loads(queries.library_tokenizer()) for _ in range(3))
+    lower["normalizer"] = {"type": "Lowercase"}
+    prefix["pre_tokenizer"]["add_prefix_space"] = True
+    whole["pre_tokenizer"]["use_regex"] = False
+    for definition in (digits, json.dumps(lower), json.dumps(prefix), json.dumps(whole)):
+        made, plain = bpe.Encoder(definition, added_tokens=True), Tokenizer.from_str(definition)
+        assert not made.by_matches
+        assert made.encode(texts) == [packed(plain.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert all(bpe.Encoder(x).by_matches for x in (queries.rank_tokenizer(), queries.library_tokenizer()))
+
+
 # 2: token files
 
 

@@ -1,7 +1,8 @@
 """Byte-level BPE encoding and decoding with the tokenizers library over Arrow batches.
 
 Merges never cross a match of the splitting pattern, and matches repeat a lot: each is encoded by the library once and kept
-in a bounded table per worker.  Texts of code points outside the settled ranges go through the library as a whole.
+in a bounded table per worker.  Texts of code points outside the settled ranges go through the library as a whole, and so
+does every text if the definition does anything but split by ``PATTERN`` and merge bytes.
 
 Defined results: null text counts as empty and gives no ids; strings of special tokens in a text are ordinary text,
 unless ``added_tokens`` asks for what the library does by itself (each becomes its one id);
@@ -33,6 +34,8 @@ BATCH_CHARACTERS = 1_500_000
 
 #: Code points whose letters, numbers and spaces have long been settled: Latin to Cyrillic, punctuation and symbols.
 SETTLED = ((0, 0x530), (0x2010, 0x2BFF), (0x1F300, 0x1F650))
+#: The pattern that ``settled_pattern`` spells out (fixed value).
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: White space among them (fixed value).
 SPACES = "\t\n\x0b\x0c\r \x85\xa0\u2028\u2029\u202f\u205f"
 
@@ -52,6 +55,23 @@ def settled_pattern() -> re.Pattern:
     return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|{runs}|[{spaces}]+(?![^{spaces}])|[{spaces}]+")
 
 
+def splits_as_expected(definition: dict) -> bool:
+    """Whether the definition splits by ``PATTERN``, spells bytes and merges, and nothing else changes the ids."""
+    model = definition["model"]
+    others = [definition.get(x) for x in ("normalizer", "truncation", "padding")]
+    others += [model.get(x) for x in ("dropout", "continuing_subword_prefix", "end_of_word_suffix")]
+    if any(others) or model.get("type", "BPE") != "BPE":
+        return False
+    steps = definition.get("pre_tokenizer") or {}
+    *first, last = steps.get("pretokenizers") or [steps]
+    if last.get("type") != "ByteLevel" or last.get("add_prefix_space", True):
+        return False
+    if last.get("use_regex", True):  # by the library's own copy of the pattern
+        return not first
+    split = {"type": "Split", "pattern": {"Regex": PATTERN}, "behavior": "Isolated", "invert": False}
+    return first == [split]
+
+
 UNSETTLED = re.compile("[^" + "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in SETTLED) + "]")
 
 
@@ -147,7 +167,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = not added_tokens
-        added = json.loads(definition).get("added_tokens") or ()
+        parsed = json.loads(definition)
+        self.by_matches = splits_as_expected(parsed)
+        added = parsed.get("added_tokens") or ()
         self.added = [t["content"] for t in added if t["content"] and (added_tokens or not t["special"])]
         self.model = Tokenizer(self.tokenizer.model)  # without splitting: for single matches of the pattern
         self.spelling = "".join(byte_characters())
@@ -184,6 +206,8 @@ class Encoder:
         return [ids for a, b in slices([len(t) for t in texts], BATCH_CHARACTERS) for ids in self._encode(texts[a:b])]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
+        if not self.by_matches:
+            return self._texts(texts)
         self.matches.age()
         known, out, split, whole = self.matches, [b""] * len(texts), {}, []
         for i, text in enumerate(texts):
