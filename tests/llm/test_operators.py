@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -167,6 +168,18 @@ def test_added_tokens_as_the_library_gives_them(spark, tmp_path):
         assert {r.doc_id: r.ids_crc32 for r in query(spark, str(tmp_path)).collect()} == crc
 
 
+def test_dictionary_knows_what_comes_late_in_long_texts(spark, library):
+    draw, late = random.Random(7), "".join(random.Random(8).choices("abcdefghijklmnopqrstuvwxyz ", k=300))
+    noise = lambda n: "".join(draw.choices("0123456789", k=n))
+    docs = table(spark, [(i, noise(4096) + f" {late} " * 12 + noise(400)) for i in range(120)])
+    array = np.array(library.encode(f" {late}", add_special_tokens=False).ids, dtype="<u2").tobytes()
+    trained = zstandard.ZstdCompressionDict(token_files.train_dictionary(docs, library.to_str(), 0, 2))
+    assert len(zstandard.ZstdCompressor(1, dict_data=trained).compress(array)) < len(array) / 2
+    arrays = [token_files.any_slice(packed([i, *range(9000)]), 4) for i in range(50)]
+    starts = {np.frombuffer(a, dtype="<u4")[0] // 2000 for a in arrays}
+    assert len(starts) > 3 and {len(a) for a in arrays} == {token_files.DICTIONARY_SLICE}
+
+
 # 3 and 4: classifiers
 
 

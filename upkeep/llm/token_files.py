@@ -37,9 +37,10 @@ INDEX = np.dtype(
     [("key", "<i8"), ("valid", "u1"), ("place", "<u8"), ("size", "<u8"), ("start", "<u8"), ("ids", "<u8")]
 )
 
-#: The dictionary sample: about this many documents, drawn from the whole table, this many characters of each.
+#: The dictionary sample: about this many documents, drawn from the whole table, each encoded whole; of a longer array
+#: of ids a slice of this many bytes, from anywhere in it.
 DICTIONARY_DOCUMENTS = 1000
-DICTIONARY_CHARACTERS = 4096
+DICTIONARY_SLICE = 8192
 DICTIONARY_BYTES = 64 << 10
 #: A file is closed once it holds this much.
 FILE_BYTES = 64 << 20
@@ -47,13 +48,21 @@ LEVEL = 1
 
 
 def train_dictionary(df: DataFrame, definition: str, end_id: int, width: int, added_tokens: bool = False) -> bytes:
-    """A zstandard dictionary from the sample; the sample is a few megabytes whatever the size of the table."""
+    """A zstandard dictionary from the sample; tasks encode it, and about 8 MB at most reach the driver at any table size."""
     import zstandard
 
     share = min(1.0, DICTIONARY_DOCUMENTS / max(1, df.count()))
-    beginnings = df.select(F.substring(text_of(df), 1, DICTIONARY_CHARACTERS).alias("text")).where(F.rand(11) < share)
-    ids = encoder(definition, added_tokens).encode([row.text for row in beginnings.limit(2 * DICTIONARY_DOCUMENTS).collect()])
-    arrays = [serialised(x, end_id, width) for x in ids if x]
+    shared = df.sparkSession.sparkContext.broadcast(definition)
+
+    def sample(batches):
+        made = encoder(shared.value, added_tokens)
+        for batch in batches:
+            for part in parts(batch, 0):
+                arrays = [serialised(x, end_id, width) for x in made.encode(part.column(0).to_pylist()) if x]
+                yield pa.RecordBatch.from_arrays([pa.array([any_slice(x, width) for x in arrays], pa.binary())], ["ids"])
+
+    drawn = df.select(text_of(df).alias("text")).where(F.rand(11) < share)
+    arrays = [bytes(row.ids) for row in map_batches(drawn, sample, "ids binary").collect()]
     if len(arrays) < 8:
         return b""
     try:
@@ -62,6 +71,13 @@ def train_dictionary(df: DataFrame, definition: str, end_id: int, width: int, ad
         return b""
 
 
+def any_slice(array: bytes, width: int) -> bytes:
+    """At most ``DICTIONARY_SLICE`` bytes of whole ids; where they begin depends on the array alone."""
+    places = max(0, len(array) - DICTIONARY_SLICE) // width + 1
+    start = zlib.crc32(array) % places * width
+    return array[start : start + DICTIONARY_SLICE]
+
+
 def serialised(packed: bytes, end_id: int, width: int) -> bytes:
     ids = np.frombuffer(packed + struct.pack("<I", end_id), dtype="<u4")
     return ids.astype(f"<u{width}").tobytes()
