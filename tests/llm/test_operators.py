@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import math
 import random
 import zlib
 
@@ -392,6 +393,19 @@ def test_estimates_are_corrected_for_chance():
         assert abs(minhash.estimates(a, b, signer.count)[0] - share / (2 - share)) < minhash.SLACK
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_links_at_the_threshold_reach_the_full_sets(spark, percent):
+    agree, below, most = percent / 100 + (1 - percent / 100) / 16, 0.0, 0
+    while (below := below + math.comb(120, most) * agree**most * (1 - agree) ** (120 - most)) <= 3e-7:
+        most += 1
+    nibbles = np.zeros(128, dtype=np.uint64)  # ``most`` of 120 minima agree: fewer are too rare to matter
+    nibbles[most:120] = 1
+    other = np.bitwise_or.reduce(nibbles.reshape(8, 16) << np.arange(0, 64, 4, dtype=np.uint64), axis=1).tobytes()
+    rows = [(1, -1, 0, 1, 100, [5] * 30, bytes(64)), (1, -1, 0, 2, 100, [5] * 30, other)]
+    members = spark.createDataFrame(rows, "group long, side int, band int, row long, n long, bands array<long>, signature binary")
+    assert sorted(r.row for r in minhash.candidates(members, 120, percent).collect()) == [1, 2]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101 + i) for i in range(30)] + [(200, 200)] + [(7, 3), (3, 7)]
     found = components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()

@@ -12,7 +12,8 @@
    Links that would close a circle are left out, which no component notices.
 5. Components of the links; every document finds its component by its fingerprint.
 
-The estimate is cut ``SLACK`` below the threshold, five standard deviations, and the bands miss a link at the threshold
+The estimate is cut ``SLACK`` below the threshold, or lower where a link at the threshold would fall below the cut with a
+probability above ``MISS`` (binomial, by the number of minima; see ``least_estimate``), and the bands miss a link at the threshold
 with a probability below one in a million.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; a set holds the distinct shingles of five words; with fewer words the
@@ -23,6 +24,8 @@ kept (``keep_one`` keeps one row of each component).  ``df`` is read twice and m
 
 from __future__ import annotations
 
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -34,6 +37,7 @@ from upkeep.llm.support import map_batches, shared_folder, slices, stored, text_
 WORDS = 5
 BITS = 4
 SLACK = 0.17
+MISS = 3e-7
 BLOCK = 512
 #: Size of the filter for rows whose full sets are wanted; fuller, it lets more rows through, and loses none.
 FILTER_BITS = 1 << 24
@@ -108,6 +112,17 @@ def estimates(a: np.ndarray, b: np.ndarray, count: int) -> np.ndarray:
     return (share - chance) / (1 - chance)
 
 
+def least_estimate(percent: int, count: int) -> float:
+    """The cut of the estimate: a link at the threshold falls below it with a probability of at most ``MISS``."""
+    chance, below = 0.5**BITS, 0.0
+    agree = percent / 100 + (1 - percent / 100) * chance
+    for most in range(count + 1):  # minima that agree by value or by chance
+        below += comb(count, most) * agree**most * (1 - agree) ** (count - most)
+        if below > MISS:
+            break
+    return min(percent / 100 - SLACK, ((most - 0.5) / count - chance) / (1 - chance))
+
+
 def features(df: DataFrame, key: str, text: str, bands: int, rows: int) -> DataFrame:
     """key, row, n, print (of the set; null if empty), keys of the bands, packed signature."""
     kind = df.schema[key].dataType.simpleString()
@@ -174,7 +189,7 @@ def members_of_groups(classes: DataFrame) -> DataFrame:
 
 def candidates(members: DataFrame, count: int, percent: int) -> DataFrame:
     """group, row, partners: pairs whose estimate may belong to a link, listed at the first of the two rows."""
-    least = percent / 100 - SLACK
+    least = least_estimate(percent, count)
 
     def work(batches):
         for table in whole_groups(batches, 0):
