@@ -230,6 +230,13 @@ def test_accuracy_on_rows_not_learnt_from(spark, name, label, least):
     assert all(zlib.crc32(str(i).encode()) % 4 == 2 for i in got.doc_id)
 
 
+def test_identities_are_a_parameter(spark):
+    docs = table(spark, [(i, "foxes vile here" if i % 2 else f"quiet words {'xyz'[i % 3]}") for i in range(400)] + [(999, "foxes met")])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    score = lambda **more: toxicity.scores(docs, labels, **more).where("doc_id = 999").first().score
+    assert score(identities=[["people", "foxes"]]) < score() - 0.01
+
+
 def test_training_rows_are_bounded_and_not_held_out(spark):
     docs = table(spark, [(i, f"text {i}") for i in range(2000)])
     labels = spark.createDataFrame([(i, i % 2) for i in range(2000)], "doc_id long, toxic int")

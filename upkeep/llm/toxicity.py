@@ -48,10 +48,10 @@ IDENTITIES = [
 ]
 
 
-def swaps() -> dict[str, list[str]]:
+def swaps(identities: list[list[str]] = IDENTITIES) -> dict[str, list[str]]:
     """For each identity word, the other words of its first list."""
     table: dict[str, list[str]] = {}
-    for words in IDENTITIES:
+    for words in identities:
         for word in words[1:]:
             table.setdefault(word, [w for w in words if w != word])
     return table
@@ -66,9 +66,9 @@ def features(words) -> np.ndarray:
     return np.array(sorted({f for word in set(words) for f in word_features(word)}), dtype=np.int64)
 
 
-def counterfactuals(text: str) -> list[tuple[np.ndarray, np.ndarray]]:
+def counterfactuals(text: str, identities: list[list[str]] = IDENTITIES) -> list[tuple[np.ndarray, np.ndarray]]:
     """Features of each sentence that names a group, as it is and with another word for the group."""
-    table, pairs = swaps(), []
+    table, pairs = swaps(identities), []
     for sentence in SENTENCE.findall(text.lower()):
         words = WORD.findall(sentence)
         named = sorted(table.keys() & set(words))
@@ -78,8 +78,8 @@ def counterfactuals(text: str) -> list[tuple[np.ndarray, np.ndarray]]:
     return pairs
 
 
-def described(text: str) -> bytes:
-    return pickle.dumps((features(WORD.findall(text.lower())), counterfactuals(text)), protocol=5)
+def described(text: str, identities: list[list[str]] = IDENTITIES) -> bytes:
+    return pickle.dumps((features(WORD.findall(text.lower())), counterfactuals(text, identities)), protocol=5)
 
 
 def telling(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
@@ -144,10 +144,14 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, pairs: list, strength: float
     return {"weights": dict(zip(kept.tolist(), weights.tolist())), "bias": float(bias[0])}
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> dict:
+def train(
+    docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS, identities: list[list[str]] = IDENTITIES
+) -> dict:
+    """The model; ``identities`` lists words (lower case, a neutral one first) that may stand for one another."""
+
     def work(batches):
         for batch in batches:
-            content = pa.array([described(t) for t in batch.column(2).to_pylist()], pa.binary())
+            content = pa.array([described(t, identities) for t in batch.column(2).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), content], ["doc_id", "label", "content"])
 
     texts = labelled_texts(docs, labels, "toxic", most)
@@ -184,11 +188,13 @@ def scorer(docs: DataFrame, model: dict):
     return lambda: Scorer(shared.value)
 
 
-def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def scores(docs: DataFrame, labels: DataFrame, identities: list[list[str]] = IDENTITIES) -> DataFrame:
     """``doc_id`` and ``score`` of every row."""
-    return scored(docs, scorer(docs, train(docs, labels)))
+    return scored(docs, scorer(docs, train(docs, labels, identities=identities)))
 
 
-def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def keep_clean(
+    docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, identities: list[list[str]] = IDENTITIES
+) -> DataFrame:
     """The rows scored below ``threshold``."""
-    return filtered(docs, scorer(docs, train(docs, labels)), lambda score: score < threshold)
+    return filtered(docs, scorer(docs, train(docs, labels, identities=identities)), lambda score: score < threshold)
