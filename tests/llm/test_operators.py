@@ -549,6 +549,19 @@ def test_rules_and_parts(spark):
     assert hosts.judge(df.limit(0), outcomes.limit(0), []).count() == 0
 
 
+def test_suffixes_of_several_labels(spark):
+    rows = [("www.bad.co.uk", 0)] * 300 + [("new.co.uk", None), ("www.good.uk", 1), ("a.bad.co.uk", None), ("co.uk", None)]
+    df = spark.createDataFrame(rows, "host string, good int")
+    domain, suffix = hosts.levels(F.col("host"), ("co.uk", "uk"))
+    got = {r[0]: (r[1], r[2]) for r in df.select("host", domain, suffix).distinct().collect()}
+    assert got == {
+        "www.bad.co.uk": ("bad.co.uk", "co.uk"), "a.bad.co.uk": ("bad.co.uk", "co.uk"), "new.co.uk": ("new.co.uk", "co.uk"),
+        "www.good.uk": ("good.uk", "uk"), "co.uk": ("co.uk", "co.uk"),
+    }
+    bounds = {r.host: r.good_bound for r in hosts.host_bounds(df, suffixes=("co.uk",)).collect()}
+    assert len(bounds) == 5 and bounds["new.co.uk"] > bounds["a.bad.co.uk"]  # a stranger, not the same registrant
+
+
 def test_reputation_shrinks_small_hosts(spark):
     rows = [("bad.x.test", 0)] * 60 + [("new.x.test", 0)] + [("fine.y.test", 1)] * 300 + [("other.z.test", 1)] * 200 + [("silent.y.test", None)]
     got = {r.host: r.good_bound for r in hosts.host_bounds(spark.createDataFrame(rows, "host string, good int")).collect()}

@@ -73,17 +73,27 @@ def dispersion(groups: DataFrame) -> DataFrame:
     return sums.select((1 / rho - 1).alias("strength"), rate.alias("rate"))
 
 
+def levels(host: Column, suffixes: tuple[str, ...] = ()) -> tuple[Column, Column]:
+    """Registered domain and suffix: the last label is the suffix, unless the host ends in one of ``suffixes`` (longest wins)."""
+    domain, suffix = F.substring_index(host, ".", -2), F.element_at(F.split(host, "\\."), -1)
+    for known in sorted(suffixes, key=lambda s: (len(s), s)):
+        here = (host == known) | host.endswith(f".{known}")
+        domain = F.when(here, F.substring_index(host, ".", -(known.count(".") + 2))).otherwise(domain)
+        suffix = F.when(here, known).otherwise(suffix)
+    return domain, suffix
+
+
 def shrunk(k: Column, n: Column, towards: Column, strength: Column) -> Column:
     return (k + strength * towards) / (n + strength)
 
 
-def host_bounds(outcomes: DataFrame, bound: float = BOUND) -> DataFrame:
+def host_bounds(outcomes: DataFrame, bound: float = BOUND, suffixes: tuple[str, ...] = ()) -> DataFrame:
     """``host`` and the upper bound ``good_bound`` of its posterior rate, from outcomes ``host``, ``good`` (null: not labelled)."""
     hosts = outcomes.groupBy("host").agg(
         F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).cast("long").alias("k")
     )
-    labels = F.split("host", "\\.")
-    hosts = hosts.withColumns({"suffix": F.element_at(labels, -1), "domain": F.substring_index("host", ".", -2)})
+    domain, suffix = levels(F.col("host"), suffixes)
+    hosts = hosts.withColumns({"suffix": suffix, "domain": domain})
     total = lambda by, df: df.groupBy(*by).agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     domains = total(["domain", "suffix"], hosts)
     suffixes = total(["suffix"], domains)
@@ -101,15 +111,21 @@ def host_bounds(outcomes: DataFrame, bound: float = BOUND) -> DataFrame:
 
 
 def judge(
-    pages: DataFrame, outcomes: DataFrame, rules: list[Rule], bound: float = BOUND, threshold: float = THRESHOLD
+    pages: DataFrame,
+    outcomes: DataFrame,
+    rules: list[Rule],
+    bound: float = BOUND,
+    threshold: float = THRESHOLD,
+    suffixes: tuple[str, ...] = (),
 ) -> DataFrame:
     """``page_id``, ``host``, ``path``, ``rule``, ``verdict`` for each row of ``page_id``, ``url``.
 
-    ``outcomes`` holds ``host`` and ``good`` (1, 0 or null).
+    ``outcomes`` holds ``host`` and ``good`` (1, 0 or null).  ``suffixes`` names the suffixes of several labels, such as
+    ``co.uk``, lower case; without them the last label is the suffix and the last two are the domain.
     """
     host, path = host_and_path(pages["url"].cast("string"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
-    rows = rows.join(host_bounds(outcomes, bound), "host", "left")
+    rows = rows.join(host_bounds(outcomes, bound, suffixes), "host", "left")
     rule = longest_rule(rules, F.col("host"), F.col("path"))
     actions = {r.text: r.action for r in rules}
     by_rule = reduce(lambda so_far, t: F.when(F.col("rule") == t, actions[t]).otherwise(so_far), actions, F.lit(None))
