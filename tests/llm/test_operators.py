@@ -451,6 +451,14 @@ def test_exact_search(spark, shard_rows):
     assert vptree.nearest(df.limit(0), asked.limit(0)).count() == 0
 
 
+def test_rows_that_repeat_an_id_all_take_part(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.1]), (3, [0.1, 1.0]), (3, [0.1, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 3)) for r in vptree.nearest(df, df, k=2).collect())
+    want = [(1, 1, 2, 0.995), (1, 2, 3, 0.995), (2, 1, 1, 0.995), (2, 2, 3, 0.198), (3, 1, 1, 0.995), (3, 2, 2, 0.198)]
+    assert got == want
+
+
 def test_factor_trades_recall_for_work():
     draw = np.random.default_rng(9)
     centres = draw.normal(size=(40, 6))

@@ -10,8 +10,9 @@ Trees are built once and stored, and each is shuffled once.  Every block of quer
 against all rows, in blocks); per pair only the k best of each query leave the task.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part; vectors of different
-length are not compared; of rows that repeat an id one (the smallest vector) takes part; ties go to the smaller id; fewer
-than k candidates are all returned; no queries or no rows give no rows.
+length are not compared; rows that repeat an id take part each for itself, as query and as candidate, and the k best
+pairs of an id are returned; of rows that repeat id and vector one takes part; ties go to the smaller id;
+fewer than k candidates are all returned; no queries or no rows give no rows.
 """
 
 from __future__ import annotations
@@ -150,7 +151,7 @@ def usable(df: DataFrame, key: str, vector: str) -> DataFrame:
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where(F.col("id").isNotNull() & finite & F.exists("v", lambda x: x != 0))
-    return rows.groupBy("id").agg(F.min("v").alias("v")).withColumn("size", F.size("v"))
+    return rows.dropDuplicates(["id", "v"]).withColumn("size", F.size("v"))
 
 
 def packed(df: DataFrame, by: str, make) -> DataFrame:
