@@ -18,7 +18,7 @@ filter keeps k before the shuffle, and the shards' results are merged.
 Defined results: vectors that are null or hold null or non-finite components (also after scaling) take no part, zero and
 empty vectors do; vectors of different length are not compared; rows without an id take no part; each row is a
 candidate for itself, so repeated rows are repeated results, and is never found by a query of its own id; ties go to the
-smaller id; scores beyond 64 bits are worked out exactly and given as the nearest 64-bit number; fewer than k candidates
+smaller id; scores beyond 64 bits are worked out exactly and count as the nearest 64-bit number; fewer than k candidates
 are all returned; no queries or no rows give no rows.
 """
 
@@ -121,6 +121,8 @@ class Search:
         return rows, sums
 
     def _keep(self, ids: np.ndarray, sums: np.ndarray, threshold) -> None:
+        if sums.dtype == object:
+            sums = np.array([max(-(2**63), min(2**63 - 1, s)) for s in sums.tolist()], dtype=object)
         good = ids != self.query_id
         if threshold is not None:
             good &= (sums >= threshold).astype(bool)
@@ -193,8 +195,7 @@ def top_products(
                     search = Search(query_id, query, k)
                     for segment in held[name]:
                         search.offer(segment)
-                    score = [max(-(2**63), min(2**63 - 1, int(s))) for s in search.score]
-                    columns = [pa.array([query_id] * len(score), pa.int64()), pa.array(search.found, pa.int64()), pa.array(score, pa.int64())]
+                    columns = [pa.array(x, pa.int64()) for x in ([query_id] * len(search.found), search.found, search.score.tolist())]
                     yield pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score"])
 
     found = map_batches(meetings, work, "query_id long, vec_id long, score long")
