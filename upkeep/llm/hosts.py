@@ -19,6 +19,8 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from upkeep.llm.support import shared_folder, stored
+
 #: Standard normal quantile of the posterior bound, and the rate of good pages that a host must be able to reach.
 BOUND = 1.645
 THRESHOLD = 0.5
@@ -54,16 +56,19 @@ def longest_rule(rules: list[Rule], host: Column, path: Column) -> Column:
 
 
 def dispersion(groups: DataFrame) -> DataFrame:
-    """One row: the prior strength of a level from its groups' ``n`` and ``k``, and the overall rate."""
+    """One row: the prior strength of a level from its groups' ``n`` and ``k``, and the overall rate.
+
+    Groups without an outcome say nothing of how much groups differ, so they are left out.
+    """
     n, k = F.col("n").cast("double"), F.col("k").cast("double")
-    groups = groups.select(n.alias("n"), k.alias("k"))
+    groups = groups.where(F.col("n") > 0).select(n.alias("n"), k.alias("k"))
     n, k = F.col("n"), F.col("k")
     sums = groups.agg(
         F.count("*").alias("g"),
         F.coalesce(F.sum("n"), F.lit(0.0)).alias("n"),
         F.coalesce(F.sum("k"), F.lit(0.0)).alias("k"),
         F.coalesce(F.sum(n * n), F.lit(0.0)).alias("nn"),
-        F.coalesce(F.sum(F.when(n > 0, k * k / n)), F.lit(0.0)).alias("kk"),
+        F.coalesce(F.sum(k * k / n), F.lit(0.0)).alias("kk"),
     )
     rate = (F.col("k") + 1) / (F.col("n") + 2)
     spread = F.col("kk") - 2 * rate * F.col("k") + rate * rate * F.col("n")
@@ -88,12 +93,16 @@ def shrunk(k: Column, n: Column, towards: Column, strength: Column) -> Column:
 
 
 def host_bounds(outcomes: DataFrame, bound: float = BOUND, suffixes: tuple[str, ...] = ()) -> DataFrame:
-    """``host`` and the upper bound ``good_bound`` of its posterior rate, from outcomes ``host``, ``good`` (null: not labelled)."""
+    """``host`` and the upper bound ``good_bound`` of its posterior rate, from outcomes ``host``, ``good`` (null: not labelled).
+
+    The counts per host are stored, so that all levels and their strengths come from one reading of the outcomes.
+    """
     hosts = outcomes.groupBy("host").agg(
         F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).cast("long").alias("k")
     )
     domain, suffix = levels(F.col("host"), suffixes)
     hosts = hosts.withColumns({"suffix": suffix, "domain": domain})
+    hosts = stored(hosts, shared_folder(outcomes.sparkSession), "hosts")
     total = lambda by, df: df.groupBy(*by).agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     domains = total(["domain", "suffix"], hosts)
     suffixes = total(["suffix"], domains)
@@ -151,7 +160,7 @@ def judge_sql(rules: list[Rule], bound: float = BOUND, threshold: float = THRESH
           (kk - 2 * rate * k + rate * rate * n) / (rate * (1 - rate)) - (g - 1) AS excess
         FROM (SELECT *, (k + 1) / (n + 2) AS rate FROM
           (SELECT count(*) AS g, coalesce(sum(n), 0)::DOUBLE AS n, coalesce(sum(k), 0)::DOUBLE AS k, coalesce(sum(n * n), 0)::DOUBLE AS nn,
-             coalesce(sum(CASE WHEN n > 0 THEN k * k / n::DOUBLE END), 0) AS kk FROM {source}))))"""
+             coalesce(sum(k * k / n::DOUBLE), 0) AS kk FROM {source} WHERE n > 0))))"""
 
     return f"""
 WITH rest AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
