@@ -451,6 +451,29 @@ def test_exact_search(spark, shard_rows):
     assert vptree.nearest(df.limit(0), asked.limit(0)).count() == 0
 
 
+def test_an_id_with_most_rows_is_dealt_to_all_shards(spark):
+    draw = np.random.default_rng(1)
+    rows = [(0 if i % 6 else i, draw.normal(size=4).tolist()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    trees = vptree.index(vptree.usable(df, "vec_id", "embedding"), 6, shared_folder(spark))
+    sizes = [len(vptree.pickle.loads(r.content)["ids"]) for r in trees.collect()]
+    assert len(sizes) == 6 and sum(sizes) == 3000 and max(sizes) < 700
+    found = vptree.nearest(df, df.where("vec_id = 6"), shard_rows=500)
+    assert [r.vec_id for r in found.collect()] == [i for q, _, i in brute_all_rows(rows, 6, 5)]
+
+
+def brute_all_rows(rows, query, k):
+    points = vptree.unit(np.array([v for _, v in rows]))
+    near = points @ points[next(i for i, (key, _) in enumerate(rows) if key == query)]
+    return [(query, near[i], rows[i][0]) for i in sorted(range(len(rows)), key=lambda i: (-near[i], rows[i][0])) if rows[i][0] != query][:k]
+
+
+def test_clashing_columns_beside_vectors(spark):
+    df = table(spark, vectors()[:60], "vec_id long, embedding array<double>").select("*", *[F.lit(0).alias(n) for n in ("id", "v", "size", "shard", "block")])
+    got = vptree.nearest(df, df.where("vec_id % 50 = 0")).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in got) == brute_nearest(vectors()[:60], 5)
+
+
 def test_rows_that_repeat_an_id_all_take_part(spark):
     rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.1]), (3, [0.1, 1.0]), (3, [0.1, 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
@@ -575,3 +598,22 @@ def test_reputation_shrinks_small_hosts(spark):
     got = {r.host: r.good_bound for r in hosts.host_bounds(spark.createDataFrame(rows, "host string, good int")).collect()}
     assert got["bad.x.test"] < 0.5 < got["fine.y.test"] and got["silent.y.test"] > 0.5
     assert got["new.x.test"] > got["bad.x.test"]  # one page tells little
+
+
+def test_hosts_without_labels_move_no_bound(spark):
+    rows = [("bad.x.test", 0)] * 80 + [("fine.y.test", 1)] * 90 + [("mixed.y.test", i % 2) for i in range(40)] + [("one.z.test", 1)]
+    silent = [(f"h{i}.d{i % 900}.{'test' if i % 2 else 'other'}", None) for i in range(5000)]
+    alone, among = (
+        {r.host: r.good_bound for r in hosts.host_bounds(spark.createDataFrame(r, "host string, good int")).collect()} for r in (rows, rows + silent)
+    )
+    assert len(among) == 5004 and all(abs(among[host] - bound) < 1e-12 for host, bound in alone.items())
+    pages = spark.createDataFrame([(1, "http://bad.x.test/a"), (2, "http://fine.y.test/"), (2, "http://fine.y.test/"), (3, "http://bad.x.test/" + "z" * 200_000)], "page_id long, url string")
+    got = hosts.judge(pages, spark.createDataFrame(rows + silent, "host string, good int"), []).collect()
+    assert sorted((r.page_id, r.verdict, len(r.path)) for r in got) == [(1, "block", 2), (2, "allow", 1), (2, "allow", 1), (3, "block", 200_001)]
+
+
+def test_counts_of_hosts_are_read_once(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    plan = hosts.judge(pages, queries.page_outcomes(spark, "/root/testdata/sf0.001"), queries.URL_RULES)._jdf.queryExecution().optimizedPlan().toString()
+    leaves = [line for line in plan.splitlines() if "Relation" in line]
+    assert sum("page_id" in line for line in leaves) == 1 and not any("quality" in line for line in leaves)

@@ -6,8 +6,9 @@ vectors.  A block of queries walks a tree together; a branch is skipped for a qu
 the k-th found so far by more than ``factor`` allows: with gap g between query and branch, it is skipped if
 ``g * factor > distance``.  Factor one is exact search; larger factors skip more and may miss neighbours.
 
-Trees are built once and stored, and each is shuffled once.  Every block of queries goes to every tree (a stated query set
-against all rows, in blocks); per pair only the k best of each query leave the task.
+Rows are dealt to shards evenly, whatever their ids.  Trees are built once, with their scaled vectors, and stored.  Every
+block of queries goes to every tree (a stated query set against all rows, in blocks), each meeting in a task of its own;
+only the k best of each query leave it, and a rank filter keeps k of a query before they are shuffled.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part; vectors of different
 length are not compared; rows that repeat an id take part each for itself, as query and as candidate, and the k best
@@ -21,13 +22,13 @@ import pickle
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from upkeep.llm.support import map_batches, shared_folder, stored
+from upkeep.llm.support import kept, map_batches, shared_folder, spread, stored
 
 SHARD_ROWS = 16_384
-QUERY_BLOCK = 1024
+QUERY_BLOCK = 256
 LEAF_ROWS = 128
 
 
@@ -90,7 +91,7 @@ def build(ids: np.ndarray, vectors: np.ndarray, leaf_rows: int = LEAF_ROWS, seed
 
     if len(ids):
         grow(np.arange(len(ids)))
-    return {"ids": ids, "vectors": vectors, "nodes": nodes}
+    return {"ids": ids, "vectors": vectors, "points": points, "nodes": nodes}
 
 
 class Search:
@@ -99,7 +100,7 @@ class Search:
     def __init__(self, tree: dict, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float):
         self.tree, self.k, self.factor = tree, k, factor
         self.query_ids, self.queries = query_ids, queries
-        self.points, self.targets = unit(tree["vectors"]), unit(queries)
+        self.points, self.targets = tree["points"], unit(queries)
         self.error = rounding(queries.shape[1])
         self.score = np.full((len(queries), k), -np.inf)
         self.found = np.full((len(queries), k), np.iinfo(np.int64).max)
@@ -168,7 +169,7 @@ def packed(df: DataFrame, by: str, make) -> DataFrame:
 
 def index(rows: DataFrame, shards: int, folder: str) -> DataFrame:
     """The stored trees, one row per shard and vector length; every usable row is in one of them."""
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("id", "v"), F.lit(shards)).cast("int"))
     return stored(packed(rows, "shard", build), folder, "trees")
 
 
@@ -186,24 +187,27 @@ def nearest(
     shards = max(1, -(-df.count() // shard_rows))
     trees = index(usable(df, key, vector), shards, folder)
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    asked = usable(queries, key, vector).withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    asked = usable(queries, key, vector).withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int"))
     asked = stored(packed(asked, "block", lambda ids, vectors: (ids, vectors)), folder, "queries")
-    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    meetings = trees.withColumnRenamed("content", "tree").join(asked.withColumnRenamed("content", "asked"), ["size", "shard"])
+    meetings = trees.withColumnRenamed("content", "tree").join(asked.withColumnRenamed("content", "asked"), "size")
+    meetings = spread(meetings.select("size", "shard", "tree", "asked"), shards * blocks)
 
     def work(batches):
         for batch in batches:
-            for tree, block in zip(batch.column(0), batch.column(1)):
+            for size, shard, tree, block in zip(*[batch.column(i) for i in range(4)]):
+                name = (folder, size.as_py(), shard.as_py())
+                held = kept("tree", dict)  # the last tree of this worker
+                if name not in held:
+                    held.clear()
+                    held[name] = pickle.loads(tree.as_py())
                 query_ids, vectors = pickle.loads(block.as_py())
-                search = Search(pickle.loads(tree.as_py()), query_ids, vectors, k, factor)
+                search = Search(held[name], query_ids, vectors, k, factor)
                 hit = search.score > -np.inf
                 asked_by = np.broadcast_to(query_ids[:, None], hit.shape)
                 columns = [asked_by[hit], search.found[hit], search.score[hit]]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "vec_id", "score"])
 
-    found = map_batches(meetings.select("tree", "asked"), work, "query_id long, vec_id long, score double")
-    best = found.groupBy("query_id").agg(
-        F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("far"), "vec_id", "score"))), 1, k).alias("best")
-    )
-    ranked = best.select("query_id", F.posexplode("best").alias("place", "hit"))
-    return ranked.select("query_id", (F.col("place") + 1).cast("int").alias("rank"), "hit.vec_id", "hit.score")
+    found = map_batches(meetings, work, "query_id long, vec_id long, score double")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
