@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from ..functions.expressions import none_null, present, whole_days_between
-from ..operators.frequency import duplicate_rows, first_distinct, modes
+from ..functions.expressions import none_null, present, text_or_nan, whole_days_between
+from ..operators.frequency import duplicate_rows, modes
 from ..operators.lookups import with_summary
 from ..sources.readers import read_raw_tables
 from ..sources.writers import write_table, write_timeline
@@ -25,22 +25,51 @@ def part_totals(
 
     ``texts=False`` leaves the last three out, for callers that only need the numbers.
     """
-    key = ["id_ot"]
-    sums = parts.where(none_null(key)).groupBy(*key).agg(
-        F.count("id_demande").alias("num_spare_parts_requests"),
-        F.coalesce(F.sum("quantite_demande"), F.lit(0.0)).alias("total_parts_quantity"),
-        F.coalesce(F.sum("cout_total"), F.lit(0.0)).alias("total_parts_cost"),
-    )
+    requests, quantity, cost = F.count("id_demande"), F.sum("quantite_demande"), F.sum("cout_total")
+    outputs = ("num_spare_parts_requests", "total_parts_quantity", "total_parts_cost")
     if not texts:
+        sums = parts.where(none_null(["id_ot"])).groupBy("id_ot").agg(
+            requests.alias(outputs[0]),
+            F.coalesce(quantity, F.lit(0.0)).alias(outputs[1]),
+            F.coalesce(cost, F.lit(0.0)).alias(outputs[2]),
+        )
         return sums.withColumnRenamed("id_ot", "id_ordre_travail")
-    articles = first_distinct(parts, key, "article", order, "parts_articles", article_limit)
-    families = first_distinct(parts, key, "famille", order, "parts_families")
-    status = modes(parts, key, ["etat"]).withColumnRenamed("etat", "parts_request_status")
-    return (
-        sums.join(articles, key, "left")
-        .join(families, key, "left")
-        .join(status, key, "left")
-        .withColumnRenamed("id_ot", "id_ordre_travail")
+    # One scan: every request counts for its article, its family and its status.  Folded by (order, kind, value), map
+    # side first, an order with very many requests shrinks to its distinct values before it meets in one place.
+    tagged = F.explode(
+        F.array(
+            *[
+                F.struct(F.lit(kind).alias("kind"), value.alias("value"))
+                for kind, value in (("article", text_or_nan("article")), ("famille", text_or_nan("famille")), ("etat", F.col("etat")))
+            ]
+        )
+    )
+    folded = (
+        parts.where(none_null(["id_ot"]))
+        .select("id_ot", "id_demande", "quantite_demande", "cout_total", F.struct(*order).alias("_place"), tagged.alias("_tag"))
+        .groupBy("id_ot", F.col("_tag.kind").alias("_kind"), F.col("_tag.value").alias("_value"))
+        .agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"), requests.alias("_requests"), quantity.alias("_quantity"), cost.alias("_cost"))
+    )
+    # The rank and the last fold share one exchange by order.
+    place = Window.partitionBy("id_ot", "_kind").orderBy("_first", "_value")
+    ranked = folded.repartition("id_ot").withColumn("_rank", F.row_number().over(place))
+    ranked = ranked.where((F.col("_kind") != "article") | (F.col("_rank") <= article_limit))
+
+    def of(kind: str, value: str | Column) -> Column:
+        return F.when(F.col("_kind") == kind, F.col(value) if isinstance(value, str) else value)
+
+    def listed(kind: str) -> Column:
+        found = F.sort_array(F.collect_list(of(kind, F.struct("_rank", "_value"))))
+        return F.array_join(F.transform(found, lambda item: item["_value"]), ", ")
+
+    known = F.when(F.col("_value").isNotNull(), F.struct(-F.col("_n"), F.col("_value")))
+    return ranked.groupBy(F.col("id_ot").alias("id_ordre_travail")).agg(
+        F.sum(of("etat", "_requests")).alias(outputs[0]),
+        F.coalesce(F.sum(of("etat", "_quantity")), F.lit(0.0)).alias(outputs[1]),
+        F.coalesce(F.sum(of("etat", "_cost")), F.lit(0.0)).alias(outputs[2]),
+        listed("article").alias("parts_articles"),
+        listed("famille").alias("parts_families"),
+        F.min_by("_value", of("etat", known)).alias("parts_request_status"),
     )
 
 

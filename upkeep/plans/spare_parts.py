@@ -11,24 +11,63 @@ from ..operators.frequency import top_counts, value_counts
 from ..operators.lookups import with_summary
 from ..operators.ordered import running_totals
 from ..operators.slicing import DEFAULT_POLICY, SlicePolicy
+from ..session import materialize
 from ..sources.readers import read_table
 from ..sources.writers import write_summary, write_table
 
 ARTICLE, FAMILY = "article", "famille"
 REQUEST_ORDER = ("date_demande", "id_demande")
 LEAD_TIME_DAYS = 7
+SAFETY_FACTOR = 1.5
 PARETO_SHARE = 80.0
 
 
+def article_state(parts: DataFrame, order: Sequence[str] = REQUEST_ORDER) -> DataFrame:
+    """One row per article (also the missing one) from which Pareto, forecast, reorder points and health are finished.
+
+    Whoever finishes only some of them reads and aggregates only what these need; Catalyst prunes the rest, and what
+    ``parts`` has no columns for is left out.
+    """
+    aggregates = {
+        "_rows": (F.count(F.lit(1)), ()),
+        "_requests": (F.count("id_demande"), ("id_demande",)),
+        "_cost": (F.sum("cout_total"), ("cout_total",)),
+        "_quantity": (F.sum("quantite_demande"), ("quantite_demande",)),
+        "_mean_quantity": (F.avg("quantite_demande"), ("quantite_demande",)),
+        "_std_quantity": (F.stddev_samp("quantite_demande"), ("quantite_demande",)),
+        FAMILY: (F.min_by(FAMILY, _at(parts, order, FAMILY)), (FAMILY,)),
+        "_stock": (F.max_by("quantite_dispo", _at(parts, order, "quantite_dispo")), ("quantite_dispo",)),
+        "_first_date": (F.min("date_demande"), ("date_demande",)),
+        "_last_date": (F.max("date_demande"), ("date_demande",)),
+        "_short": (F.count_if(_is_short()), ("quantite_dispo", "quantite_demande")),
+        "_rejected": (F.count_if(_is_rejected()), ("etat",)),
+    }
+    usable = {name: fold for name, (fold, needs) in aggregates.items() if set(needs) <= set(parts.columns)}
+    return parts.groupBy(ARTICLE).agg(*[fold.alias(name) for name, fold in usable.items()])
+
+
+def _articles(state: DataFrame) -> DataFrame:
+    return state.where(none_null([ARTICLE]))
+
+
+def _zero(name: str) -> Column:
+    return F.coalesce(name, F.lit(0.0))
+
+
 def pareto_analysis(parts: DataFrame, policy: SlicePolicy = DEFAULT_POLICY) -> DataFrame:
     """Per article: cost, quantity, requests, running cost and cumulative percent, dearest first.
 
     The running total works on one row per article and splits into slices when there are many articles.
     """
-    per_article = parts.where(none_null([ARTICLE])).groupBy(ARTICLE).agg(
-        _sum("cout_total").alias("total_cost"),
-        _sum("quantite_demande").alias("total_quantity"),
-        F.count("id_demande").alias("request_count"),
+    return _pareto(article_state(parts), policy)
+
+
+def _pareto(state: DataFrame, policy: SlicePolicy = DEFAULT_POLICY) -> DataFrame:
+    per_article = _articles(state).select(
+        ARTICLE,
+        _zero("_cost").alias("total_cost"),
+        _zero("_quantity").alias("total_quantity"),
+        F.col("_requests").alias("request_count"),
     )
     ranked = running_totals(
         per_article.withColumn("_rank", -F.col("total_cost")),
@@ -64,10 +103,10 @@ def consumption_by_family(parts: DataFrame) -> DataFrame:
     )
 
 
-def _observed_days(parts: DataFrame) -> DataFrame:
+def _observed_days(rows: DataFrame, first: str = "date_demande", last: str = "date_demande") -> DataFrame:
     """Whole days between first and last request of the table, at least 1."""
-    days = whole_days_between(F.min("date_demande"), F.max("date_demande"))
-    return parts.agg(F.greatest(F.coalesce(days, F.lit(1)), F.lit(1)).alias("_days"))
+    days = whole_days_between(F.min(first), F.max(last))
+    return rows.agg(F.greatest(F.coalesce(days, F.lit(1)), F.lit(1)).alias("_days"))
 
 
 def _at(parts: DataFrame, order: Sequence[str], value: str) -> Column:
@@ -80,15 +119,18 @@ def demand_forecast(
     parts: DataFrame, forecast_days: int = 90, order: Sequence[str] = REQUEST_ORDER
 ) -> DataFrame:
     """Per article: observed daily rate extended over ``forecast_days``, priced at its mean unit cost."""
-    per_article = parts.where(none_null([ARTICLE])).groupBy(ARTICLE).agg(
-        _sum("quantite_demande").alias("total_qty"),
-        _sum("cout_total").alias("total_cost"),
-        F.count("id_demande").alias("n_requests"),
-        F.min_by(FAMILY, _at(parts, order, FAMILY)).alias(FAMILY),
-    )
-    forecast = with_summary(per_article, _observed_days(parts)).withColumns(
-        {"daily_demand": F.col("total_qty") / F.col("_days")}
+    return _forecast(article_state(parts, order), _observed_days(parts), forecast_days)
+
+
+def _forecast(state: DataFrame, observed: DataFrame, forecast_days: int) -> DataFrame:
+    per_article = _articles(state).select(
+        ARTICLE,
+        _zero("_quantity").alias("total_qty"),
+        _zero("_cost").alias("total_cost"),
+        F.col("_requests").alias("n_requests"),
+        FAMILY,
     )
+    forecast = with_summary(per_article, observed).withColumns({"daily_demand": F.col("total_qty") / F.col("_days")})
     return (
         forecast.withColumn("forecast_qty", F.col("daily_demand") * forecast_days)
         .withColumn(
@@ -101,24 +143,29 @@ def demand_forecast(
 
 
 def reorder_analysis(
-    parts: DataFrame, safety_factor: float = 1.5, order: Sequence[str] = REQUEST_ORDER
+    parts: DataFrame, safety_factor: float = SAFETY_FACTOR, order: Sequence[str] = REQUEST_ORDER
 ) -> DataFrame:
     """Per article: demand statistics, latest stock, reorder point, reorder flag and suggested quantity.
 
     First family and last stock follow the request order, and the suggestion rounds half to even.
     """
-    per_article = parts.where(none_null([ARTICLE])).groupBy(ARTICLE).agg(
-        _sum("quantite_demande").alias("total_demand"),
-        F.avg("quantite_demande").alias("avg_demand_per_request"),
-        F.coalesce(F.stddev_samp("quantite_demande"), F.lit(0.0)).alias("demand_std"),
-        F.max_by("quantite_dispo", _at(parts, order, "quantite_dispo")).alias("current_stock"),
-        F.min_by(FAMILY, _at(parts, order, FAMILY)).alias(FAMILY),
-        _sum("cout_total").alias("total_cost"),
+    return _reorder(article_state(parts, order), _observed_days(parts), safety_factor)
+
+
+def _reorder(state: DataFrame, observed: DataFrame, safety_factor: float) -> DataFrame:
+    per_article = _articles(state).select(
+        ARTICLE,
+        _zero("_quantity").alias("total_demand"),
+        F.col("_mean_quantity").alias("avg_demand_per_request"),
+        _zero("_std_quantity").alias("demand_std"),
+        F.col("_stock").alias("current_stock"),
+        FAMILY,
+        _zero("_cost").alias("total_cost"),
     )
     point = F.col("daily_demand") * LEAD_TIME_DAYS + F.lit(safety_factor) * F.col("demand_std")
     missing = F.col("reorder_point") * 2 - F.col("current_stock")
     return (
-        with_summary(per_article, _observed_days(parts))
+        with_summary(per_article, observed)
         .withColumn("daily_demand", F.col("total_demand") / F.col("_days"))
         .withColumn("reorder_point", point)
         .withColumn("needs_reorder", F.coalesce(F.col("current_stock") < F.col("reorder_point"), F.lit(False)))
@@ -151,8 +198,16 @@ def stock_out_overview(parts: DataFrame) -> DataFrame:
     )
 
 
+def _is_short() -> Column:
+    return F.col("quantite_dispo") < F.col("quantite_demande")
+
+
+def _is_rejected() -> Column:
+    return F.col("etat") == "rejet"
+
+
 def _short(parts: DataFrame) -> DataFrame:
-    return parts.where(F.col("quantite_dispo") < F.col("quantite_demande"))
+    return parts.where(_is_short())
 
 
 def top_stock_out_families(parts: DataFrame, limit: int | None = 5) -> DataFrame:
@@ -162,17 +217,19 @@ def top_stock_out_families(parts: DataFrame, limit: int | None = 5) -> DataFrame
 
 def stock_health_summary(parts: DataFrame) -> DataFrame:
     """One row: requests, articles, stock-outs, rejections, cost, and the five worst families as a map."""
-    rows = F.count(F.lit(1))
-    short = F.count_if(F.col("quantite_dispo") < F.col("quantite_demande"))
-    rejected = F.count_if(F.col("etat") == "rejet")
-    summary = parts.agg(
-        rows.alias("total_requests"),
-        F.count_distinct(ARTICLE).alias("unique_articles"),
+    return _health(article_state(parts), parts)
+
+
+def _health(state: DataFrame, parts: DataFrame) -> DataFrame:
+    rows, short, rejected = F.sum("_rows"), F.coalesce(F.sum("_short"), F.lit(0)), F.coalesce(F.sum("_rejected"), F.lit(0))
+    summary = state.agg(
+        F.coalesce(rows, F.lit(0)).alias("total_requests"),
+        F.count(ARTICLE).alias("unique_articles"),
         short.alias("stock_out_count"),
         F.round(percent(short, rows), 1).alias("stock_out_pct"),
         rejected.alias("rejection_count"),
         F.round(percent(rejected, rows), 1).alias("rejection_rate_pct"),
-        _sum("cout_total").alias("total_cost"),
+        _sum("_cost").alias("total_cost"),
     )
     worst = top_stock_out_families(parts).agg(
         F.map_from_entries(
@@ -209,14 +266,19 @@ def cost_by_family(parts: DataFrame, limit: int = 10) -> DataFrame:
 
 
 def spare_parts_summary(parts: DataFrame, order: Sequence[str] = REQUEST_ORDER) -> DataFrame:
-    """One row: stock health, size of the Pareto set, articles to reorder, 90-day forecast cost."""
-    pareto = pareto_analysis(parts).agg(
+    """One row: stock health, size of the Pareto set, articles to reorder, 90-day forecast cost.
+
+    The requests are read twice: for the stored row per article, from which all parts finish, and for the worst families.
+    """
+    state = materialize(article_state(parts, order))
+    observed = _observed_days(state, "_first_date", "_last_date")
+    pareto = _pareto(state).agg(
         F.count_if(F.col("cumulative_pct") <= PARETO_SHARE).alias("pareto_80_count"),
         F.count(F.lit(1)).alias("pareto_total_articles"),
     )
-    reorder = reorder_analysis(parts, order=order).agg(F.count_if("needs_reorder").alias("articles_needing_reorder"))
-    forecast = demand_forecast(parts, 90, order).agg(_sum("forecast_cost").alias("total_forecast_cost_90d"))
-    summary = stock_health_summary(parts)
+    reorder = _reorder(state, observed, SAFETY_FACTOR).agg(F.count_if("needs_reorder").alias("articles_needing_reorder"))
+    forecast = _forecast(state, observed, 90).agg(_sum("forecast_cost").alias("total_forecast_cost_90d"))
+    summary = _health(state, parts)
     for block in (pareto, reorder, forecast):
         summary = with_summary(summary, block)
     return summary
