@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import Window, functions as F
 
+from upkeep.operators.lookups import BROADCAST_BYTES, key_statistics
 from upkeep.operators.ordered import next_match, running_totals, with_row_windows
 from upkeep.operators.quantiles import exact_quantiles
 from upkeep.operators.slicing import DEFAULT_POLICY, SlicePolicy, slice_rows
@@ -116,3 +117,28 @@ def test_hot_key_is_spread_and_cold_keys_are_not(rows):
     assert len(hot) > 5 and max(hot) < 300
     assert all(r["_slice"] == 0 for r in sizes if r["k"] not in (1, None))
     assert not slice_rows(rows, ["k"], ["ts", "id"]).is_split
+
+
+def jobs_of(spark, work):
+    """Spark jobs that ``work`` starts."""
+    group = f"counted {id(work)}"
+    spark.sparkContext.setJobGroup(group, "")
+    work()
+    spark.sparkContext.setJobGroup("other", "")
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_one_median_takes_few_jobs(spark, folder):
+    spark.range(50_000).select((F.col("id") % 777).cast("double").alias("v"), (F.col("id") % 50).alias("k")).write.parquet(f"{folder}/v")
+    rows = spark.read.parquet(f"{folder}/v")
+    assert jobs_of(spark, lambda: exact_quantiles(rows, [], "v", {"m": 0.5}, accuracy=1000).collect()) <= 8
+    assert jobs_of(spark, lambda: exact_quantiles(rows, ["k"], "v", {"m": 0.5}, accuracy=1000).collect()) <= 12
+
+
+def test_wide_lookups_are_not_broadcast(spark):
+    rows = spark.range(90_000).select(F.col("id").alias("k"), F.col("id").cast("string").alias("t"))
+    narrow = key_statistics(rows, [["k"]], {"n": F.count(F.lit(1))})[("k",)]
+    wide = key_statistics(rows, [["k"]], {"text": F.max(F.repeat("t", 100))})[("k",)]
+    assert narrow.size < BROADCAST_BYTES < wide.size
+    plans = [lookup.attach(rows)._jdf.queryExecution().executedPlan().toString() for lookup in (narrow, wide)]
+    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" in plans[1]

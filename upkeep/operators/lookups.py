@@ -8,28 +8,30 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.expressions import none_null, text_or_nan
-from ..session import materialize
+from ..session import store
 from .ordered import running_totals
 from .slicing import DEFAULT_POLICY, SlicePolicy
 
-# Largest lookup that is sent to every executor; larger ones take the shuffled join.
-BROADCAST_ROWS = 100_000
+# Largest lookup, in bytes of its rows in memory, that is sent to every executor; larger ones take the shuffled join.
+BROADCAST_BYTES = 32 << 20
+# In-memory size of a value of fixed width with its share of the row, and of a text beyond its letters.
+_VALUE_BYTES, _TEXT_BYTES = 8, 16
 
 
 @dataclass(frozen=True)
 class Lookup:
-    """A table with one row per key, and its counted size."""
+    """A table with one row per key, and its size in bytes as measured when it was stored."""
 
     table: DataFrame
     keys: tuple[str, ...]
     size: int
 
     def attach(self, rows: DataFrame) -> DataFrame:
-        """Left join: broadcast when the counted size allows, else sort-merge.
+        """Left join: broadcast when the measured size allows, else sort-merge.
 
         Beyond the limit the keys are numerous; AQE splits whatever partition of the row side stays skewed.
         """
-        table = F.broadcast(self.table) if self.size <= BROADCAST_ROWS else self.table
+        table = F.broadcast(self.table) if self.size <= BROADCAST_BYTES else self.table
         return rows.join(table, list(self.keys), "left")
 
     def keep(self, *names: str, **renamed: str) -> Lookup:
@@ -38,6 +40,13 @@ class Lookup:
         return Lookup(self.table.select(*self.keys, *chosen), self.keys, self.size)
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row in memory: fixed-width values, and texts by their length."""
+    texts = [f.name for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    fixed = _VALUE_BYTES * (len(df.columns) + 1) + _TEXT_BYTES * len(texts)
+    return sum((F.coalesce(F.octet_length(name), F.lit(0)) for name in texts), F.lit(fixed)).cast("long")
+
+
 def key_statistics(
     df: DataFrame, key_sets: Sequence[Sequence[str]], aggregates: Mapping[str, Column]
 ) -> dict[tuple[str, ...], Lookup]:
@@ -50,13 +59,15 @@ def key_statistics(
         df.groupingSets([[F.col(name) for name in keys] for keys in key_sets], *[F.col(name) for name in names])
         .agg(F.grouping_id().alias("_set"), *[agg.alias(name) for name, agg in aggregates.items()])
     )
-    stored = materialize(grouped)
-    sizes = {row["_set"]: row["n"] for row in stored.groupBy("_set").agg(F.count(F.lit(1)).alias("n")).collect()}
+    marks = {tuple(keys): sum(1 << (len(names) - 1 - i) for i, name in enumerate(names) if name not in keys) for keys in key_sets}
+    weight = row_bytes(grouped)
+    measures = {f"set_{mark}": F.sum(F.when(F.col("_set") == mark, weight)) for mark in marks.values()}
+    stored, sizes = store(grouped, **measures)
     lookups = {}
     for keys in key_sets:
-        mark = sum(1 << (len(names) - 1 - i) for i, name in enumerate(names) if name not in keys)
+        mark = marks[tuple(keys)]
         table = stored.where((F.col("_set") == mark) & none_null(list(keys))).select(*keys, *aggregates)
-        lookups[tuple(keys)] = Lookup(table, tuple(keys), sizes.get(mark, 0))
+        lookups[tuple(keys)] = Lookup(table, tuple(keys), sizes[f"set_{mark}"] or 0)
     return lookups
 
 
@@ -69,21 +80,23 @@ def category_codes(
     count, so a column with very many values is still ranked in parallel.
     """
     pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), text_or_nan(n).alias("value")) for n in names]))
-    distinct = materialize(
+    distinct, found = store(
         df.select(pairs.alias("_pair"))
         .groupBy(F.col("_pair.name").alias("name"), F.col("_pair.value").alias("value"))
-        .agg(F.lit(1).cast("long").alias("_one"))
+        .agg(F.lit(1).cast("long").alias("_one")),
+        rows=F.count(F.lit(1)),
     )
-    ranked = running_totals(distinct, ["name"], ["value"], {"_rank": "_one"}, policy=policy)
-    stored = materialize(ranked.select("name", "value", (F.col("_rank") - 1).alias("code")))
-    sizes = {row["name"]: row["n"] for row in stored.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    ranked = running_totals(distinct, ["name"], ["value"], {"_rank": "_one"}, policy=policy, size=found["rows"])
+    ranked = ranked.select("name", "value", (F.col("_rank") - 1).alias("code"))
+    weight = row_bytes(ranked)
+    stored, sizes = store(ranked, **{f"of_{i}": F.sum(F.when(F.col("name") == name, weight)) for i, name in enumerate(names)})
     return {
         name: Lookup(
             stored.where(F.col("name") == name).select(F.col("value").alias(name), F.col("code").alias("code")),
             (name,),
-            sizes.get(name, 0),
+            sizes[f"of_{i}"] or 0,
         )
-        for name in names
+        for i, name in enumerate(names)
     }
 
 

@@ -53,16 +53,19 @@ def running_totals(
     sums: Mapping[str, str],
     totals: Mapping[str, str] | None = None,
     policy: SlicePolicy = DEFAULT_POLICY,
+    size: int | None = None,
 ) -> DataFrame:
     """Cumulative sums per key (``sums``: output -> input) and whole-key sums (``totals``).
 
-    With no key the running total is global, and still runs in parallel once it spans several slices.
+    With no key the running total is global, and still runs in parallel once it spans several slices.  ``size`` is the
+    number of rows, if known: no key can be hot among fewer rows than a slice has, so then none are counted.
     """
     totals = dict(totals or {})
     grouped = list(keys)
     if not grouped:
         df, grouped = df.withColumn(_ALL_ROWS, F.lit(0)), [_ALL_ROWS]
-    sliced = slice_rows(df, grouped, order, policy)
+    cold = size is not None and size <= policy.rows_per_slice
+    sliced = Sliced(df, tuple(grouped), tuple(order)) if cold else slice_rows(df, grouped, order, policy)
     up_to_row = sliced.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     if not sliced.is_split:
         whole = sliced.whole()

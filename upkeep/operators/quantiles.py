@@ -4,21 +4,23 @@
 every size:
 
 1. a quantile sketch (map-side merged) brackets the wanted ranks with a safe margin;
-2. values below the bracket are only counted, values inside it are counted one by one (map-side combined);
-3. the wanted ranks are picked from those few values by a sliced running count.
+2. values below the bracket are only counted, values inside it are counted one by one (map-side combined) and stored;
+3. the wanted ranks are picked from those few values by a running count, in slices where they are many.
 
-The rows are never shuffled by value.  Should a bracket miss its rank, it is widened, in the end to all values.
+The rows are read twice and never shuffled by value.  Whether every bracket holds its rank is measured while the values
+are stored; a bracket that misses it is widened, in the end to all values.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.expressions import column, none_null
-from ..session import materialize
-from .lookups import Lookup, with_summary
+from ..session import store
+from .lookups import Lookup, row_bytes, with_summary
 from .ordered import running_totals
 from .slicing import DEFAULT_POLICY, SlicePolicy
 
@@ -57,89 +59,108 @@ def exact_quantiles(
         if name
     }
     while True:
-        brackets, picked = _picked_values(data, keys, quantiles, extras, policy, accuracy, margin / accuracy)
-        if picked.where(~F.col("_low._inside") | ~F.col("_high._inside") | F.col("_high").isNull()).isEmpty():
+        counted, rows, missed = _counted_values(data, keys, quantiles, extras, accuracy, margin / accuracy)
+        if not missed:
             break
         margin = max(10 * margin, 1.0 / accuracy)
-    rank = _rank(quantiles)
-    low, high = F.col("_low._value"), F.col("_high._value")
-    exact = F.when(low == high, low).otherwise(low + (high - low) * (rank - F.floor(rank)))
-    values = picked.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_q") == i, exact)).alias(q) for i, q in enumerate(quantiles)]
+    # The one row outside is everything below the bracket, and sorts first.
+    ranked = running_totals(counted, [*keys, "_q"], ["_inside", "_value"], {"_upto": "_weight"}, policy=policy, size=rows)
+
+    def at(i: int, place: Column) -> Column:
+        return F.min(F.when((F.col("_q") == i) & (F.col("_upto") > place), F.col("_value")))
+
+    # Over no rows there is no ``_n``, hence no row.
+    picked = ranked.groupBy(*keys, "_n").agg(
+        *[F.max(f"_extra_{name}").alias(name) for name in extras],
+        *[at(i, F.floor(_rank(share))).alias(f"_low{i}") for i, share in enumerate(quantiles.values())],
+        *[at(i, F.ceil(_rank(share))).alias(f"_high{i}") for i, share in enumerate(quantiles.values())],
     )
-    base = brackets.select(*keys, *[F.col(f"_extra_{name}").alias(name) for name in extras])
-    if keys:
-        return base.join(values, keys)
-    # Over no rows at all a global aggregate still yields a row; a missing group yields none.
-    found = values if not extras else with_summary(base, values)
-    return found if not picked.isEmpty() else found.limit(0)
 
+    def exact(i: int, share: float) -> Column:
+        low, high, rank = F.col(f"_low{i}"), F.col(f"_high{i}"), _rank(share)
+        return F.when(low == high, low).otherwise(low + (high - low) * (rank - F.floor(rank)))
 
-def _rank(quantiles: Mapping[str, float]) -> Column:
-    shares = F.array(*[F.lit(float(share)) for share in quantiles.values()])
-    return (F.col("_n") - 1) * F.element_at(shares, F.col("_q") + 1)
+    return picked.select(*keys, *extras, *[exact(i, share).alias(name) for i, (name, share) in enumerate(quantiles.items())])
 
 
-def _picked_values(
+def _rank(share: float) -> Column:
+    return (F.col("_n") - 1) * F.lit(float(share))
+
+
+def _counted_values(
     data: DataFrame,
     keys: list[str],
     quantiles: Mapping[str, float],
     extras: Mapping[str, Column],
-    policy: SlicePolicy,
     accuracy: int,
     margin: float,
-) -> tuple[DataFrame, DataFrame]:
-    """Brackets and extras per key; and per key and quantile the two values its rank lies between, if inside."""
+) -> tuple[DataFrame, int, bool]:
+    """Stored counts per key and quantile of what is below its bracket (one row) and of each value inside it.
+
+    Also the number of these rows, and whether some rank lies outside its bracket.
+    """
     # With fewer rows the margin would be below the two ranks an interpolation needs; such a group keeps all values.
     whole = F.col("_n") <= 10 * accuracy
 
     def bound(share: float) -> Column:
         return F.percentile_approx("_value", min(1.0, max(0.0, share)), accuracy)
 
-    names = list(quantiles)
-    brackets = materialize(
-        data.groupBy(*keys).agg(
-            F.count("_value").alias("_n"),
-            F.min("_value").alias("_min"),
-            F.max("_value").alias("_max"),
-            *[bound(quantiles[q] - margin).alias(f"_lo{i}") for i, q in enumerate(names)],
-            *[bound(quantiles[q] + margin).alias(f"_hi{i}") for i, q in enumerate(names)],
-            *[agg.alias(f"_extra_{name}") for name, agg in extras.items()],
-        )
+    shares = list(quantiles.values())
+    brackets = data.groupBy(*keys).agg(
+        F.count("_value").alias("_n"),
+        F.min("_value").alias("_min"),
+        F.max("_value").alias("_max"),
+        *[bound(share - margin).alias(f"_lo{i}") for i, share in enumerate(shares)],
+        *[bound(share + margin).alias(f"_hi{i}") for i, share in enumerate(shares)],
+        *[agg.alias(f"_extra_{name}") for name, agg in extras.items()],
     )
+    extra = [f"_extra_{name}" for name in extras]
     edges = brackets.select(
         *keys,
         "_n",
+        *extra,
         *[
             F.struct(
                 F.lit(i).alias("q"),
-                F.when(whole | F.lit(quantiles[q] <= margin), F.col("_min")).otherwise(F.col(f"_lo{i}")).alias("lo"),
-                F.when(whole | F.lit(quantiles[q] >= 1 - margin), F.col("_max")).otherwise(F.col(f"_hi{i}")).alias("hi"),
+                F.when(whole | F.lit(share <= margin), F.col("_min")).otherwise(F.col(f"_lo{i}")).alias("lo"),
+                F.when(whole | F.lit(share >= 1 - margin), F.col("_max")).otherwise(F.col(f"_hi{i}")).alias("hi"),
             ).alias(f"_edge{i}")
-            for i, q in enumerate(names)
+            for i, share in enumerate(shares)
         ],
     )
     if keys:
-        placed = Lookup(edges, tuple(keys), brackets.count()).attach(data)
+        table, measured = store(edges, size=F.sum(row_bytes(edges) + 32 * len(shares)), keys=F.count(F.lit(1)))
+        placed = Lookup(table, tuple(keys), measured["size"] or 0).attach(data)
     else:
         placed = with_summary(data, edges)
     # A row matters to a quantile when it is below its bracket (counted) or inside it (kept by value).
-    near = F.filter(F.array(*[F.col(f"_edge{i}") for i in range(len(names))]), lambda e: F.col("_value") <= e["hi"])
+    near = F.filter(F.array(*[F.col(f"_edge{i}") for i in range(len(shares))]), lambda e: F.col("_value") <= e["hi"])
     inside = F.col("_edge.lo") <= F.col("_value")
-    counted = materialize(
-        placed.select(*keys, "_n", "_value", F.explode(near).alias("_edge"))
+    counted = (
+        placed.select(*keys, "_n", *extra, "_value", F.explode(near).alias("_edge"))
         .groupBy(*keys, "_n", F.col("_edge.q").alias("_q"), inside.alias("_inside"), F.when(inside, F.col("_value")).alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_weight"))
+        .agg(F.count(F.lit(1)).alias("_weight"), *[F.max(name).alias(name) for name in extra])
     )
-    # The one row outside is everything below the bracket, and sorts first.
-    ranked = running_totals(counted, [*keys, "_q"], ["_inside", "_value"], {"_upto": "_weight"}, policy=policy)
-    rank = _rank(quantiles)
-
-    def at(place: Column) -> Column:
-        return F.min(F.when(F.col("_upto") > place, F.struct("_inside", "_value")))
-
-    picked = ranked.groupBy(*keys, "_q", "_n").agg(at(F.floor(rank)).alias("_low"), at(F.ceil(rank)).alias("_high"))
-    return brackets, materialize(picked)
+    below, upto = F.sum(F.when(~F.col("_inside"), F.col("_weight")).otherwise(0)), F.sum("_weight")
+    if not keys:  # a group is a quantile here, so its sums are measured as the table is written
+        only = lambda i, fold: F.sum(F.when(F.col("_q") == i, fold).otherwise(0))
+        weight = F.col("_weight")
+        measures = {f"below{i}": only(i, F.when(~F.col("_inside"), weight).otherwise(0)) for i in range(len(shares))}
+        measures |= {f"upto{i}": only(i, weight) for i in range(len(shares))}
+        stored, seen = store(counted, rows=F.count(F.lit(1)), n=F.max("_n"), **measures)
+        n = seen["n"]
+        missed = n is not None and any(
+            math.floor((n - 1) * share) < seen[f"below{i}"] or math.ceil((n - 1) * share) >= seen[f"upto{i}"]
+            for i, share in enumerate(shares)
+        )
+        return stored, seen["rows"], missed
+    stored, seen = store(counted, rows=F.count(F.lit(1)))
+    rank = (F.col("_n") - 1) * F.element_at(F.array(*[F.lit(float(share)) for share in shares]), F.col("_q") + 1)
+    groups = stored.groupBy(*keys, "_n", "_q").agg(below.alias("_below"), upto.alias("_upto"))
+    outside = (F.floor(rank) < F.col("_below")) | (F.ceil(rank) >= F.col("_upto"))
+    # A quantile without any counted row has no group to be found in, so the groups are counted, too.
+    found = groups.agg(F.count_if(outside).alias("outside"), F.count(F.lit(1)).alias("groups")).first()
+    return stored, seen["rows"], bool(found["outside"]) or found["groups"] < len(shares) * measured["keys"]
 
 
 def describe(
