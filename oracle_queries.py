@@ -346,6 +346,24 @@ Q["feature_table"] = f"""WITH {C}, {GAPS}, {TOTALS}, {TOP20}, {RECUR}, integrate
   {FLAGS}, anomaly_recurrence_count, {LEVELS}, {URGENT}, {PROVIDER_COLUMNS}, {ROLLING}, {ENCODED}, {TARGETS}
   FROM integrated LEFT JOIN recur ON id_actif = ra {WINDOWS}"""
 
+Q["anomaly_flag_rows"] = f"""WITH {C}, {TOP20} SELECT id_ordre_travail,
+  substr('anomaly_' || lower(replace(anomalie, ' ', '_')), 1, 50) AS flag, 1 AS value
+  FROM corrective WHERE anomalie IN (SELECT anomalie FROM top20)"""
+Q["urgency_flag_rows"] = f"WITH {C} SELECT id_ordre_travail, 'urgence_' || urgence AS flag, 1 AS value FROM corrective"
+_NUMBERS = (
+    "cout_total cout_maindoeuvre duree_intervention_par_heure time_to_closure_hours time_to_start_hours nombre_main_doeuvre "
+    "num_spare_parts_requests total_parts_quantity total_parts_cost creation_hour creation_day_of_week creation_day_of_month "
+    "creation_month creation_quarter creation_is_weekend creation_is_business_hours days_since_last_maintenance "
+    "equipment_failure_count equipment_avg_cost equipment_avg_duration equipment_age_days famille_failure_count famille_avg_cost "
+    "site_failure_count site_avg_cost zone_failure_count has_spare_parts spare_parts_cost_ratio famille_spare_parts_usage_rate "
+    "anomaly_recurrence_count famille_high_urgency_rate provider_avg_time_to_closure provider_avg_cost provider_work_volume "
+    "rolling_7d_failures rolling_30d_failures rolling_7d_avg_cost rolling_30d_avg_cost portfolio_encoded site_encoded zone_encoded "
+    "famille_encoded groupe_encoded prestataire_encoded etat_encoded"
+).split()
+Q["feature_correlations"] = f"""WITH f AS ({Q["feature_table"]}), m AS (SELECT unnest([{", ".join(
+    f"{{'feature_a': '{a}', 'feature_b': '{b}', 'correlation': corr({a}, {b})}}" for a in _NUMBERS for b in _NUMBERS)}]) AS p FROM f)
+  SELECT p.feature_a, p.feature_b, {r("CASE WHEN isfinite(p.correlation) THEN p.correlation END", "correlation")} FROM m"""
+
 # --- effectiveness ----------------------------------------------------------------------------------------------------
 
 _METRICS = ("total_interventions", "avg_duration_hours", "median_duration_hours", "avg_cost", "total_cost", "unique_equipment")
@@ -561,8 +579,6 @@ Q["spare_parts_summary"] = f"""WITH {PARTS}, {PARETO}, {FORECAST}, {REORDER} SEL
 
 Q["daily_volume"] = f"""WITH {LINES}, {TIMES} SELECT CAST(date_created AS DATE) AS date, maintenance_type, count(*) AS count
   FROM times WHERE date_created IS NOT NULL GROUP BY ALL"""
-Q["daily_volume_at_site"] = f"""WITH {C} SELECT CAST(date_creation_ot AS DATE) AS date, 'corrective' AS maintenance_type,
-  count(*) AS count FROM corrective WHERE site = 'EUROPE' GROUP BY ALL"""
 
 
 def described(expression: str) -> str:
@@ -755,6 +771,55 @@ _SCALED = ", ".join(r(f"(x{i} - avg(x{i}) OVER ()) / stddev_pop(x{i}) OVER ()",
 Q["standardized_inputs"] = f"""WITH {C}, filled AS (SELECT id_ordre_travail, {_FILLED} FROM corrective)
   SELECT id_ordre_travail, {_SCALED} FROM filled"""
 
+_INPUTS = (
+    "cout_total duree_intervention_par_heure time_to_closure_hours time_to_start_hours num_spare_parts_requests total_parts_cost "
+    "equipment_failure_count equipment_avg_cost days_since_last_maintenance equipment_age_days site_failure_count zone_failure_count "
+    "rolling_7d_failures rolling_30d_failures rolling_7d_avg_cost rolling_30d_avg_cost"
+).split()
+_LONG = ", ".join(f"('{n}', coalesce({n}, 0)::DOUBLE)" for n in _INPUTS)
+Q["model_matrix_values"] = f"""WITH f AS ({Q["feature_table"]}), long AS (
+  SELECT id_ordre_travail, v.feature, v.x FROM f, LATERAL (VALUES {_LONG}) AS v(feature, x)),
+  scaled AS (SELECT *, avg(x) OVER w AS mean, stddev_samp(x) OVER w AS deviation FROM long WINDOW w AS (PARTITION BY feature))
+  SELECT id_ordre_travail, feature, {r("CASE WHEN deviation > 0 THEN (x - mean) / deviation ELSE 0 END", "value")} FROM scaled"""
+
+
+def trained(source: str, target: str) -> str:
+    return f"""WITH t AS ({source}), n AS (SELECT {target}::INT AS label, count(*) AS n FROM t GROUP BY ALL)
+  SELECT '{target}' AS target, sum(n)::BIGINT AS n_samples, {r("sum(n) FILTER (label = 1) / sum(n)", "positive_rate")},
+  sum(round(n * 0.2))::BIGINT AS test_rows, coalesce(sum(round(n * 0.2)) FILTER (label = 1), 0)::BIGINT AS test_positives,
+  true AS probabilities_sound, 0.0::DOUBLE AS metrics_gap FROM n"""
+
+
+Q["failure_model_check"] = trained(Q["feature_table"], "will_fail_within_30_days")
+Q["parts_model_check"] = trained(Q["feature_table"], "will_need_spare_parts")
+Q["effectiveness_model_check"] = trained(Q["effectiveness_labels"], "is_effective")
+Q["failure_importances_check"] = f"""SELECT {len(_NUMBERS)}::BIGINT AS inputs, 1.0::DOUBLE AS total, 0::BIGINT AS negative,
+  {len(_NUMBERS)}::BIGINT AS last_rank"""
+_TENTH = "CAST(ceil((count(*) - 1) * 0.1) AS BIGINT)"
+Q["isolation_forest_check"] = f"WITH {C} SELECT count(*) AS orders, 0::BIGINT AS out_of_bounds, {_TENTH} AS flagged FROM corrective"
+Q["one_class_boundary_check"] = f"WITH {C} SELECT count(*) AS orders, {_TENTH} AS flagged FROM corrective"
+Q["anomaly_detector_check"] = f"""WITH {C} SELECT count(*) AS orders, {_TENTH} AS iso_flagged, {_TENTH} AS boundary_flagged,
+  0::BIGINT AS contradictions FROM corrective"""
+Q["principal_components_check"] = f"WITH {C} SELECT count(*) AS orders, 0.0::DOUBLE AS offset, 0.0::DOUBLE AS correlation FROM corrective"
+Q["explained_variance_check"] = "SELECT 2::BIGINT AS axes, true AS ordered, 0.0::DOUBLE AS gap"
+_COMPLETED = {
+    "cout_total": "cout_total", "creation_hour": "hour(date_creation_ot)", "creation_month": "month(date_creation_ot)",
+    "creation_quarter": "quarter(date_creation_ot)", "creation_is_weekend": "(isodow(date_creation_ot) >= 6)::INT",
+    "creation_is_business_hours": "(hour(date_creation_ot) BETWEEN 8 AND 17)::INT", "equipment_failure_count": "1",
+    "equipment_age_days": "15", "famille_avg_cost": "avg(cout_total) OVER f", "famille_failure_count": "count(*) OVER f",
+    "famille_spare_parts_usage_rate": "avg((num_spare_parts_requests > 0)::INT) OVER f", "site_failure_count": "count(*) OVER s",
+    "anomaly_recurrence_count": "1", "cout_maindoeuvre": "cout_total * 0.3", "time_to_closure_hours": "duree_intervention_par_heure * 5",
+    "time_to_start_hours": "duree_intervention_par_heure * 0.5", "rolling_7d_failures": "1", "rolling_30d_avg_cost": "cout_total * 0.8",
+    "urgence_Fort": "(urgence = 'Fort')::INT", "site_encoded": code("site"), "famille_encoded": code("famille"),
+    "portfolio_encoded": code("portfolio"),
+}
+_COLUMNS = ", ".join(f"({value})::DOUBLE AS c_{name}" for name, value in _COMPLETED.items())
+Q["scoring_inputs"] = f"""WITH {INTEGRATED}, completed AS (SELECT id_ordre_travail, {_COLUMNS}, zone_code FROM (
+    SELECT *, {code("zone")} AS zone_code FROM integrated) {WINDOWS}),
+  middle AS (SELECT *, (SELECT median(zone_code)::DOUBLE FROM completed) AS c_zone_encoded FROM completed)
+  SELECT id_ordre_travail, v.feature, {r("v.x", "value")} FROM middle,
+  LATERAL (VALUES {", ".join(f"('{n}', c_{n})" for n in [*_COMPLETED, "zone_encoded"])}) AS v(feature, x)"""
+
 RULE = f"""{C}, ruled AS (
   SELECT id_ordre_travail, CASE WHEN urgence = 'Fort' THEN 1 ELSE 0 END AS label,
          coalesce(duree_intervention_par_heure, 0) / 500 AS probability,
@@ -834,5 +899,11 @@ Q |= {
         "evaluate_anomalies compare_anomaly_groups anomaly_profile anomaly_cost_share"
     ).split()
 }
+# The volume reports read only orders and lines, so their filter needs the place of the asset.
+_PLACED = "orders JOIN (SELECT c_custkey FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'EUROPE') ON o_custkey = c_custkey"
+Q |= {
+    f"{name}_at_site": Q[name].replace("FROM orders", f"FROM {_PLACED}")
+    for name in ("daily_volume", "daily_volume_profile", "weekday_volume", "overview")
+}
 
 ORACLE_SQL = Q

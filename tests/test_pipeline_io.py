@@ -212,3 +212,30 @@ def test_model_step_and_stream_scoring(spark, work, features):
     scored = spark.read.parquet(f"{work}/scored")
     same = ["id_ordre_travail", "failure_prediction", "spare_parts_prediction", "anomaly_confidence"]
     assert scored.select(same).exceptAll(batch.select(same)).count() == 0 and scored.count() == 160
+
+
+def test_months_become_as_many_files_whatever_the_tasks(spark, folder):
+    from pathlib import Path
+
+    from upkeep.sources.writers import write_timeline
+
+    days = spark.range(3000).select(F.expr("timestamp '2024-01-01 00:00:00' + make_dt_interval(cast(id % 300 AS int))").alias("date_created"), "id")
+    counts = []
+    for tasks in (3, 40):
+        path = write_timeline(days.repartition(tasks), f"{folder}/{tasks}")
+        counts.append(len(list(Path(path).glob("month=*/*.parquet"))))
+        assert spark.read.parquet(path).count() == 3000
+    assert counts[0] == counts[1] == 10
+
+
+def test_csv_twin_is_read_without_inference(spark, folder):
+    import shutil
+
+    from upkeep.sources.readers import read_table, written_schema
+    from upkeep.sources.writers import write_table
+
+    df = spark.createDataFrame([(1, "007", 1.5, None), (2, 'a "b", c', None, True)], "id long, code string, v double, f boolean")
+    write_table(df, folder, "t", csv=True)
+    shutil.rmtree(f"{folder}/t.parquet")
+    back = read_table(spark, folder, "t")
+    assert back.schema == df.schema == written_schema(spark, folder, "t") and sorted(back.collect()) == sorted(df.collect())

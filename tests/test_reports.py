@@ -4,8 +4,9 @@ import pytest
 from conftest import at
 from pyspark.sql import functions as F
 
+from upkeep.operators.correlation import correlations
 from upkeep.operators.slicing import SlicePolicy
-from upkeep.plans import effectiveness as eff, exploration as ex, spare_parts as sp
+from upkeep.plans import effectiveness as eff, exploration as ex, features as ft, spare_parts as sp
 
 # Published family rows: corrective count and mean cost, preventive count and mean cost, score.
 FAMILIES = [
@@ -188,3 +189,21 @@ def test_preview_and_headlines(spark):
         " spare_parts_prediction, named_struct('consensus_anomalies', 268, 'agreement_pct', 93.7) anomaly_detection"
     )
     assert tuple(ex.headline_metrics(nested).first()) == (0.8, 0.9, 0.7, 0.0, 268.0, 93.7)
+
+
+def test_correlations_of_incomplete_pairs(spark):
+    rows = [(1e9 + i, None if i % 5 == 0 else float(i * i), float("nan") if i % 7 == 0 else -float(i), 3.0) for i in range(200)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    got = {(r.feature_a, r.feature_b): r.correlation for r in correlations(df.repartition(3), ["a", "b", "c", "d"]).collect()}
+    want = df.toPandas().corr()
+    assert len(got) == 16
+    for (x, y), value in got.items():
+        assert (value is None and "d" in (x, y)) or abs(value - want.loc[x, y]) < 1e-9
+    assert {r.correlation for r in correlations(df.limit(0), ["a", "b"]).collect()} == {None}
+
+
+def test_sparse_flags_have_any_level(spark):
+    df = spark.createDataFrame([(1, "x y"), (2, "x y"), (3, None), (4, "Z")], "id_ordre_travail long, anomalie string")
+    assert sorted(map(tuple, ft.flag_rows(df, "anomalie").collect())) == [(1, "anomalie_x y", 1), (2, "anomalie_x y", 1), (4, "anomalie_Z", 1)]
+    assert sorted(map(tuple, ft.anomaly_flag_rows(df).collect())) == [(1, "anomaly_x_y", 1), (2, "anomaly_x_y", 1), (4, "anomaly_z", 1)]
+    assert ft.anomaly_flag_rows(df.limit(0)).count() == 0

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .functions.expressions import quoted
 from .operators.frequency import duplicate_rows
+from .operators.lookups import with_summary
+from .operators.quantiles import exact_quantiles
 from .models import anomaly, classifiers, matrix, metrics, scoring, splits
 from .models.boundary import fit_boundary
 from .models.isolation import fit_forest
@@ -129,7 +131,7 @@ def timeline(spark, folder, ordered=False):
 
 
 def event_times(spark, folder):
-    """Only what the volume reports read: kind and creation time of every order."""
+    """Only what the volume reports read: kind and creation time of every order (of the chosen site)."""
     made = repairs(spark, folder, "id_ordre_travail date_creation_ot").select(
         F.col("date_creation_ot").alias("date_created"), F.lit("corrective").alias("maintenance_type")
     )
@@ -232,6 +234,17 @@ def urgency_features(spark, folder):
     return ft.urgency_features(repairs(spark, folder, "id_ordre_travail famille urgence"))
 
 
+@query
+def anomaly_flag_rows(spark, folder):
+    """The flags of the frequent anomaly types, one row for each that is set."""
+    return ft.anomaly_flag_rows(repairs(spark, folder, "id_ordre_travail anomalie"))
+
+
+@query
+def urgency_flag_rows(spark, folder):
+    return ft.flag_rows(repairs(spark, folder, "id_ordre_travail urgence"), "urgence")
+
+
 @query
 def provider_features(spark, folder):
     return ft.provider_features(repairs(spark, folder, "id_ordre_travail prestataire cout_total time_to_closure_hours"))
@@ -273,7 +286,7 @@ def features(spark, folder) -> DataFrame:
 def feature_table(spark, folder):
     """All features; the data-dependent anomaly flags are summed to one column."""
     df = features(spark, folder)
-    flags = [n for n in df.columns if n.startswith("anomaly_") and n not in ("anomaly_recurrence_count", "anomaly_type_encoded")]
+    flags = ft.flag_columns(df)
     own = F.lit(0)
     for name in flags:
         own = own + quoted(name)
@@ -503,16 +516,6 @@ def daily_volume(spark, folder):
     return ex.daily_volume(event_times(spark, folder))
 
 
-@query
-def daily_volume_at_site(spark, folder):
-    """The site filter in front of a report."""
-    columns = "id_ordre_travail date_creation_ot site"
-    made = repairs(spark, folder, columns).select(
-        "site", F.col("date_creation_ot").alias("date_created"), F.lit("corrective").alias("maintenance_type")
-    )
-    return ex.daily_volume(ex.at_site(made, "EUROPE"))
-
-
 @query
 def daily_volume_profile(spark, folder):
     return ex.daily_volume_profile(event_times(spark, folder))
@@ -636,6 +639,19 @@ def correlation_matrix(spark, folder):
     return ex.correlation_matrix(repairs(spark, folder, names), names)
 
 
+def plain_numbers(df: DataFrame) -> list[str]:
+    """Numeric features whose names do not depend on the data."""
+    own = set(ft.flag_columns(df))
+    return [name for name in matrix.numeric_inputs(df) if name not in own]
+
+
+@query
+def feature_correlations(spark, folder):
+    """Every pair of numeric features of the feature table as it is presented."""
+    rows = materialize(presentable(features(spark, folder)))
+    return ex.correlation_matrix(rows, plain_numbers(rows))
+
+
 @query
 def cost_by_portfolio(spark, folder):
     return ex.cost_by_portfolio(repairs(spark, folder, "portfolio cout_total"))
@@ -854,6 +870,148 @@ def new_orders(orders: DataFrame) -> DataFrame:
     )
 
 
+@query
+def order_factors(spark, folder):
+    """The ten strongest inputs of the failure model beside every order, with the value used."""
+    orders = materialize(integrated(spark, folder, FEATURE_INPUT))
+    table = materialize(ft.feature_table(orders))
+    failure = classifiers.train_failure_model(table, replace(classifiers.FAILURE_SETTINGS, folds=0))
+    return scoring.order_factors(new_orders(orders), scoring.ScoringProfile.fit(orders, table), failure.classifier)
+
+
+#: Inputs of a completed order: given, computed from what is given, from the history of its family and site, and codes.
+COMPLETED = (
+    "cout_total creation_hour creation_month creation_quarter creation_is_weekend creation_is_business_hours "
+    "equipment_failure_count equipment_age_days famille_avg_cost famille_failure_count famille_spare_parts_usage_rate "
+    "site_failure_count anomaly_recurrence_count cout_maindoeuvre time_to_closure_hours time_to_start_hours "
+    "rolling_7d_failures rolling_30d_avg_cost urgence_Fort site_encoded famille_encoded portfolio_encoded zone_encoded"
+).split()
+
+
+@query
+def scoring_inputs(spark, folder):
+    """What the models see of the orders that ``score_orders`` and ``order_factors`` complete, as rows."""
+    orders = materialize(integrated(spark, folder, FEATURE_INPUT))
+    profile = scoring.ScoringProfile.fit(orders, materialize(ft.feature_table(orders)))
+    return scoring.completed_inputs(new_orders(orders), profile, COMPLETED)
+
+
+# --- what must hold of every fitted model, as rows that SQL can know --------------------------------------------------
+
+#: Smaller models that learn from the same rows in the same way; what is checked does not depend on their size.
+CHECKED_FOREST = replace(classifiers.FAILURE_SETTINGS, trees=10, depth=6, folds=0)
+CHECKED_BOOSTED = replace(classifiers.PARTS_SETTINGS, trees=5, depth=4, folds=0)
+
+
+def training_check(trained: classifiers.Training) -> DataFrame:
+    """Rows and positives learnt from, rows held out, and how far the metrics are from a plain count of the predictions."""
+    cells = trained.predictions.agg(
+        F.count("*").alias("test_rows"),
+        F.count_if((F.col("label") == 1) & (F.col("prediction") == 1)).alias("_tp"),
+        F.count_if(F.col("prediction") == 1).alias("_called"),
+        F.count_if(F.col("label") == 1).alias("test_positives"),
+        F.count_if(F.col("probability").between(0, 1)).alias("_sound"),
+    )
+    gap = lambda value, part, whole: F.coalesce(F.abs(F.col(value) - F.col(part) / F.nullif(F.col(whole), F.lit(0))), F.lit(0.0))
+    both = with_summary(trained.metrics, cells)
+    return both.select(
+        "target",
+        "n_samples",
+        "positive_rate",
+        "test_rows",
+        "test_positives",
+        (F.col("_sound") == F.col("test_rows")).alias("probabilities_sound"),
+        F.greatest(gap("test_precision", "_tp", "_called"), gap("test_recall", "_tp", "test_positives")).alias("metrics_gap"),
+    )
+
+
+@query
+def failure_model_check(spark, folder):
+    return training_check(classifiers.train_failure_model(materialize(features(spark, folder)), CHECKED_FOREST))
+
+
+@query
+def parts_model_check(spark, folder):
+    return training_check(classifiers.train_parts_model(materialize(features(spark, folder)), CHECKED_BOOSTED))
+
+
+@query
+def effectiveness_model_check(spark, folder):
+    return training_check(classifiers.train_effectiveness_model(labels(spark, folder), replace(classifiers.EFFECTIVENESS_SETTINGS, trees=10, folds=0)))
+
+
+@query
+def failure_importances_check(spark, folder):
+    """Importances add up to one, and none is negative."""
+    rows = materialize(features(spark, folder))
+    rows = rows.select("id_ordre_travail", "will_fail_within_30_days", *plain_numbers(rows))
+    found = classifiers.train_failure_model(rows, CHECKED_FOREST).classifier.importances(1000)
+    return found.agg(
+        F.count("*").alias("inputs"), F.sum("importance").alias("total"), F.count_if(F.col("importance") < 0).alias("negative"),
+        F.max("rank").alias("last_rank"),
+    )
+
+
+@query
+def model_matrix_values(spark, folder):
+    """Zero-filled and scaled values of the sixteen ensemble inputs, as rows."""
+    names = list(anomaly.ANOMALY_FEATURES)
+    scaled, _ = matrix.model_matrix(features(spark, folder).select("id_ordre_travail", *names), names)
+    values = classifiers.vector_to_array("scaled")
+    pairs = F.array(*[F.struct(F.lit(n).alias("feature"), values[i].alias("value")) for i, n in enumerate(names)])
+    return scaled.select("id_ordre_travail", F.inline(pairs))
+
+
+@query
+def isolation_forest_check(spark, folder):
+    """Scores for all orders, all within bounds, and a tenth of the orders below the tenth quantile."""
+    scored = materialize(QUERIES["isolation_forest"](spark, folder))
+    cut = exact_quantiles(scored, [], "iso_score", {"cut": 0.1})
+    return with_summary(scored, cut).agg(
+        F.count("iso_score").alias("orders"), F.count_if(F.abs("iso_score") > 1).alias("out_of_bounds"),
+        F.count_if(F.col("iso_score") < F.col("cut")).alias("flagged"),
+    )
+
+
+@query
+def one_class_boundary_check(spark, folder):
+    scored = QUERIES["one_class_boundary"](spark, folder)
+    return scored.agg(F.count("ocsvm_score").alias("orders"), F.sum("ocsvm_anomaly").alias("flagged"))
+
+
+@query
+def anomaly_detector_check(spark, folder):
+    """Both flags, and that consensus and confidence follow from them."""
+    rows = QUERIES["anomaly_detector"](spark, folder)
+    iso, svm = F.col("iso_anomaly"), F.col("ocsvm_anomaly")
+    return rows.agg(
+        F.count("*").alias("orders"), F.sum(iso).alias("iso_flagged"), F.sum(svm).alias("boundary_flagged"),
+        F.count_if((F.col("anomaly_consensus") != F.greatest(iso, svm)) | (F.col("anomaly_confidence") != iso + svm)).alias("contradictions"),
+    )
+
+
+@query
+def principal_components_check(spark, folder):
+    """Projected rows are centred and uncorrelated."""
+    rows = QUERIES["principal_components"](spark, folder)
+    return rows.agg(
+        F.count("pc1").alias("orders"), F.round(F.abs(F.avg("pc1")) + F.abs(F.avg("pc2")), 4).alias("offset"),
+        F.round(F.abs(F.corr("pc1", "pc2")), 4).alias("correlation"),
+    )
+
+
+@query
+def explained_variance_check(spark, folder):
+    """The shares are those of the spread of the projected rows in the spread of all scaled inputs."""
+    scaled, names = scaled_features(spark, folder)
+    whole = scaled.agg(sum(F.var_samp(n) for n in names).alias("whole"))
+    axes = with_summary(QUERIES["explained_variance"](spark, folder), whole)
+    return axes.agg(
+        F.count("*").alias("axes"), F.max_by("share", F.col("axis")).alias("_second"), F.min_by("share", F.col("axis")).alias("_first"),
+        F.max(F.abs(F.col("variance") / F.col("whole") - F.col("share"))).alias("_gap"),
+    ).select("axes", (F.col("_first") >= F.col("_second")).alias("ordered"), F.round("_gap", 4).alias("gap"))
+
+
 def rule_predictions(spark, folder) -> DataFrame:
     """Label, score and class by rule, the deterministic input of the quality measures."""
     rows = repairs(spark, folder, "id_ordre_travail urgence cout_total duree_intervention_par_heure")
@@ -912,7 +1070,8 @@ SITE_REPORTS = (
     "top_anomaly_types top_families status_distribution urgency_distribution mtbf_by_family failures_by_zone "
     "recurrence_summary top_recurring_assets provider_performance provider_spread closure_time_summary "
     "closure_time_histogram cost_by_portfolio cost_per_hour closure_time_by_urgency closure_time_by_family "
-    "evaluate_anomalies compare_anomaly_groups anomaly_profile anomaly_cost_share"
+    "evaluate_anomalies compare_anomaly_groups anomaly_profile anomaly_cost_share daily_volume daily_volume_profile "
+    "weekday_volume overview"
 ).split()
 REPORT_SITE = "EUROPE"
 

@@ -31,7 +31,7 @@ class Lookup:
 
         Beyond the limit the keys are numerous; AQE splits whatever partition of the row side stays skewed.
         """
-        table = F.broadcast(self.table) if self.size <= BROADCAST_BYTES else self.table
+        table = F.broadcast(self.table) if self.size <= BROADCAST_BYTES else self.table.hint("merge")
         return rows.join(table, list(self.keys), "left")
 
     def keep(self, *names: str, **renamed: str) -> Lookup:

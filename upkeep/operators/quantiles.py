@@ -7,8 +7,8 @@ every size:
 2. values below the bracket are only counted, values inside it are counted one by one (map-side combined) and stored;
 3. the wanted ranks are picked from those few values by a running count, in slices where they are many.
 
-The rows are read twice and never shuffled by value.  Whether every bracket holds its rank is measured while the values
-are stored; a bracket that misses it is widened, in the end to all values.
+The rows are read twice and never shuffled by value.  Whether every bracket holds its rank is measured on the stored values;
+a bracket that misses it is widened, in the end to all values.
 """
 
 from __future__ import annotations
@@ -69,8 +69,9 @@ def exact_quantiles(
     def at(i: int, place: Column) -> Column:
         return F.min(F.when((F.col("_q") == i) & (F.col("_upto") > place), F.col("_value")))
 
-    # Over no rows there is no ``_n``, hence no row.
-    picked = ranked.groupBy(*keys, "_n").agg(
+    # Over no rows there is no ``_n``, hence no row.  A single quantile stays where its running count was made.
+    single = ["_q"] if len(quantiles) == 1 else []
+    picked = ranked.groupBy(*keys, *single, "_n").agg(
         *[F.max(f"_extra_{name}").alias(name) for name in extras],
         *[at(i, F.floor(_rank(share))).alias(f"_low{i}") for i, share in enumerate(quantiles.values())],
         *[at(i, F.ceil(_rank(share))).alias(f"_high{i}") for i, share in enumerate(quantiles.values())],
@@ -142,7 +143,7 @@ def _counted_values(
         .agg(F.count(F.lit(1)).alias("_weight"), *[F.max(name).alias(name) for name in extra])
     )
     below, upto = F.sum(F.when(~F.col("_inside"), F.col("_weight")).otherwise(0)), F.sum("_weight")
-    if not keys:  # a group is a quantile here, so its sums are measured as the table is written
+    if not keys:  # a group is a quantile here, so one row of sums tells
         only = lambda i, fold: F.sum(F.when(F.col("_q") == i, fold).otherwise(0))
         weight = F.col("_weight")
         measures = {f"below{i}": only(i, F.when(~F.col("_inside"), weight).otherwise(0)) for i in range(len(shares))}

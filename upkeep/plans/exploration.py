@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.expressions import guarded_ratio, none_null, percent, safe_ratio, weekday_label
+from ..operators.correlation import correlations
 from ..operators.frequency import histogram, top_counts, value_counts
 from ..operators.lookups import category_codes, with_summary
 from ..operators.quantiles import describe, exact_quantiles
@@ -261,21 +262,9 @@ def positive_rates(features: DataFrame, targets: Sequence[str]) -> DataFrame:
 def correlation_matrix(features: DataFrame, names: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair of the chosen features as (feature_a, feature_b, correlation).
 
-    One pass: all pairs are aggregates of the same row.
+    Rows where either side is missing drop out of that pair.  One reading for any number of features.
     """
-    pairs = [(a, b) for a in names for b in names]
-    # Rows where either side is missing drop out of that pair, as in a pairwise-complete matrix.
-    row = features.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
-    return row.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"_{i}").alias("correlation"))
-                    for i, (a, b) in enumerate(pairs)
-                ]
-            )
-        )
-    )
+    return correlations(features, names)
 
 
 def anomaly_cost_share(flagged: DataFrame, flag: str = "anomaly_consensus") -> DataFrame:
@@ -353,13 +342,3 @@ def code_lookup(corrective: DataFrame, names: Sequence[str]) -> DataFrame:
 def preview(df: DataFrame, rows: int = 100) -> DataFrame:
     """First rows of a table, as the dataset explorer shows them."""
     return df.limit(rows)
-
-
-__all__ = [
-    "DEFAULT_POLICY", "at_site", "daily_volume", "daily_volume_profile", "weekday_volume", "hourly_volume",
-    "busiest_times", "overview", "headline_metrics", "top_anomaly_types", "distribution", "mtbf_by_family",
-    "failure_hotspots", "recurrence_summary", "top_recurring_assets", "provider_performance", "provider_spread",
-    "closure_time_summary", "closure_time_histogram", "closure_time_by", "cost_by_portfolio", "cost_per_hour",
-    "feature_profile", "feature_histogram", "positive_rates", "correlation_matrix", "anomaly_cost_share",
-    "improvement_actions", "choice_lists", "frequent_anomalies", "code_lookup", "preview",
-]

@@ -24,6 +24,8 @@ from ..sources.writers import feature_metadata, write_summary, write_table
 ASSET, CREATED, ORDER_ID = "id_actif", "date_creation_ot", "id_ordre_travail"
 TIME_ORDER = (CREATED, ORDER_ID)
 TOP_ANOMALIES = 20
+# The urgency levels of the export, each a column of the feature table.
+URGENCIES = ("Faible", "Fort", "Moyen")
 
 # Encoded text columns, targets and the columns that never reach the feature table.
 ENCODED_COLUMNS = ("portfolio", "site", "zone", "famille", "groupe", "prestataire", "etat")
@@ -151,11 +153,10 @@ def _lookup_aggregates(df: DataFrame) -> dict[str, Column]:
 
 @dataclass(frozen=True)
 class FeatureStatistics:
-    """Small tables learnt from the orders: per-key statistics, top anomaly types, urgency levels, codes."""
+    """Small tables learnt from the orders: per-key statistics, top anomaly types, codes."""
 
     lookups: dict[tuple[str, ...], Lookup]
     anomalies: tuple[str, ...] = ()
-    urgencies: tuple[str, ...] = ()
     codes: dict[str, Lookup] = field(default_factory=dict)
 
     def attach(self, df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -176,12 +177,11 @@ def _statistics_for(df: DataFrame, names: Sequence[str]) -> FeatureStatistics:
 
 def fit_statistics(df: DataFrame, policy: SlicePolicy = DEFAULT_POLICY) -> FeatureStatistics:
     """Learn every lookup of the feature table in one scan, plus the category codes in a second."""
-    key_sets = [*_LOOKUP_COLUMNS, ("anomalie",), ("urgence",)]
+    key_sets = [*_LOOKUP_COLUMNS, ("anomalie",)]
     lookups = key_statistics(df, key_sets, _lookup_aggregates(df))
     return FeatureStatistics(
         {keys: lookups[keys] for keys in _LOOKUP_COLUMNS},
         _top_anomalies(lookups[("anomalie",)].table, "orders"),
-        _urgency_levels(lookups[("urgence",)].table),
         category_codes(df, [*present(df, ENCODED_COLUMNS), "anomalie"], policy),
     )
 
@@ -230,6 +230,11 @@ def _anomaly_flags(df: DataFrame, anomalies: Sequence[str]) -> DataFrame:
     return df.withColumns(flags) if flags else df
 
 
+def flag_columns(df: DataFrame) -> list[str]:
+    """The columns of frequent anomaly types, whose names come from the data."""
+    return [n for n in df.columns if n.startswith("anomaly_") and n not in ("anomaly_recurrence_count", "anomaly_type_encoded")]
+
+
 def anomaly_features(df: DataFrame, policy: SlicePolicy = DEFAULT_POLICY) -> DataFrame:
     """Flags of the 20 most frequent anomaly types (ties by name) and the asset's strongest recurrence."""
     counts = df.where(F.col("anomalie").isNotNull()).groupBy("anomalie").agg(F.count(F.lit(1)).alias("orders"))
@@ -237,21 +242,28 @@ def anomaly_features(df: DataFrame, policy: SlicePolicy = DEFAULT_POLICY) -> Dat
     return _join_per_asset(flagged, df, _asset_recurrence(df), policy)
 
 
-def _urgency_levels(distinct: DataFrame) -> tuple[str, ...]:
-    """The levels in order; each becomes a column, so they are as many as the schema they make."""
-    return tuple(row["urgence"] for row in distinct.select("urgence").orderBy("urgence").collect())
+def flag_rows(df: DataFrame, name: str, identity: str = "id_ordre_travail", prefix: str | None = None) -> DataFrame:
+    """One-hot encoding as sparse rows (order, flag, value): one row for the level an order has, whatever the number of levels."""
+    flag = F.concat(F.lit(f"{prefix or name}_"), F.col(name))
+    return df.where(F.col(name).isNotNull()).select(identity, flag.alias("flag"), F.lit(1).alias("value"))
 
 
-def _urgency_flags(df: DataFrame, levels: Sequence[str]) -> DataFrame:
-    flags = {f"urgence_{level}": F.coalesce(F.col("urgence") == level, F.lit(False)) for level in levels}
-    return df.withColumns(flags) if flags else df
+def anomaly_flag_rows(df: DataFrame, identity: str = "id_ordre_travail") -> DataFrame:
+    """The set flags of the 20 most frequent anomaly types as sparse rows; shortened names that collide are one flag."""
+    counts = df.where(F.col("anomalie").isNotNull()).groupBy("anomalie").agg(F.count(F.lit(1)).alias("orders"))
+    names = {label: flag_name("anomaly", label) for label in _top_anomalies(counts, "orders")}
+    flag = F.coalesce(*[F.when(F.col("anomalie") == label, F.lit(name)) for label, name in names.items()], F.lit(None))
+    return df.select(identity, flag.alias("flag"), F.lit(1).alias("value")).where(F.col("flag").isNotNull())
+
+
+def _urgency_flags(df: DataFrame) -> DataFrame:
+    return df.withColumns({f"urgence_{level}": F.coalesce(F.col("urgence") == level, F.lit(False)) for level in URGENCIES})
 
 
 def urgency_features(df: DataFrame) -> DataFrame:
-    """Boolean column per urgency level and the family's share of ``Fort``."""
-    levels = _urgency_levels(df.where(F.col("urgence").isNotNull()).select("urgence").distinct())
+    """Boolean column per known urgency level and the family's share of ``Fort``; ``flag_rows`` has any level."""
     names = ("famille_high_urgency_rate",)
-    return _statistics_for(df, names).attach(_urgency_flags(df, levels), names)
+    return _statistics_for(df, names).attach(_urgency_flags(df), names)
 
 
 def provider_features(df: DataFrame) -> DataFrame:
@@ -362,7 +374,7 @@ def all_features(
     statistics = statistics or fit_statistics(df, policy)
     rows = _parts_columns(calendar_columns(df))
     rows = statistics.attach(rows, [name for columns in _LOOKUP_COLUMNS.values() for name in columns])
-    rows = _urgency_flags(_anomaly_flags(rows, statistics.anomalies), statistics.urgencies)
+    rows = _urgency_flags(_anomaly_flags(rows, statistics.anomalies))
     encoded = {name: f"{name}_encoded" for name in present(df, ENCODED_COLUMNS)}
     rows = attach_codes(rows, statistics.codes, {**encoded, "anomalie": "anomaly_type_encoded"})
 

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
 def build_session(app_name: str = "upkeep", master: str | None = None, **conf: str) -> SparkSession:
@@ -52,20 +52,15 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def store(df: DataFrame, **measures: Column) -> tuple[DataFrame, Mapping[str, Any]]:
-    """``df`` written once as a table to the checkpoint folder, and ``measures`` of its rows taken while it is written.
+    """``df`` written once as a table to the checkpoint folder, and ``measures`` (aggregates of its rows) of what was written.
 
-    Unlike a checkpoint the table has columns to choose from and a size that the planner knows, it costs one job, and the
-    measures (plain aggregates) cost none.
+    Unlike a checkpoint it is written by one job and has columns to choose from.
     """
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
-    observed: Mapping[str, Any] = {}
-    if measures:
-        observation = Observation()
-        df.observe(observation, *[measure.alias(name) for name, measure in measures.items()]).write.parquet(path)
-        observed = observation.get
-    else:
-        df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), observed
+    df.write.parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    taken = stored.agg(*[measure.alias(name) for name, measure in measures.items()]).first().asDict() if measures else {}
+    return stored, taken
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F, types as T
@@ -83,6 +84,12 @@ def _read_exported_csv(spark: SparkSession, path: str, schema: T.StructType, mul
     return csv_reader(spark, multiline).schema(ordered).csv(path)
 
 
+def written_schema(spark: SparkSession, folder: str, name: str) -> T.StructType | None:
+    """The schema that the table sink wrote beside a CSV table."""
+    path = f"{folder}/{name}.schema"
+    return T.StructType.fromJson(json.loads(spark.read.text(path).first()["value"])) if path_exists(spark, path) else None
+
+
 def read_table(
     spark: SparkSession,
     folder: str,
@@ -93,11 +100,13 @@ def read_table(
 ) -> DataFrame:
     """A processed table: Parquet when present, else CSV whose listed time columns are parsed again.
 
-    With ``schema`` the CSV is read once; without, its types are inferred by a scan before.
+    The CSV is read once if its ``schema`` is given or was written beside it by the table sink; only the CSV of another
+    program without one has its types inferred by a scan before.
     """
     kind, path = locate(spark, folder, name)
     if kind == "parquet":
         return spark.read.parquet(path)
+    schema = schema or written_schema(spark, folder, name)
     reader = csv_reader(spark, multiline)
     table = (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
     times = [n for n in present(table, time_columns) if not isinstance(table.schema[n].dataType, T.TimestampType)]

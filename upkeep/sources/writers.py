@@ -8,13 +8,21 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 
 def write_table(df: DataFrame, folder: str, name: str, csv: bool = False, partition_by: str | None = None) -> str:
-    """Typed Parquet table, optionally with a CSV twin (header, UTF-8) for spreadsheet users."""
+    """Typed Parquet table, optionally with a CSV twin (header, UTF-8) for spreadsheet users and its schema beside it.
+
+    With ``partition_by`` the rows are rebalanced first: small folders are merged into one task and large ones split, so
+    the number of files follows the data and not the tasks.
+    """
     path = f"{folder}/{name}.parquet"
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    if partition_by:
+        df.hint("rebalance", F.col(partition_by)).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
     if csv:
         stored = df.sparkSession.read.parquet(path)
         stored.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{folder}/{name}.csv")
+        written = df.sparkSession.createDataFrame([(stored.schema.json(),)], "value string")
+        written.coalesce(1).write.mode("overwrite").text(f"{folder}/{name}.schema")
     return path
 
 
