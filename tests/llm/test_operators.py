@@ -617,3 +617,80 @@ def test_counts_of_hosts_are_read_once(spark):
     plan = hosts.judge(pages, queries.page_outcomes(spark, "/root/testdata/sf0.001"), queries.URL_RULES)._jdf.queryExecution().optimizedPlan().toString()
     leaves = [line for line in plan.splitlines() if "Relation" in line]
     assert sum("page_id" in line for line in leaves) == 1 and not any("quality" in line for line in leaves)
+
+
+# 3 and 4 by plain versions
+
+
+def test_toxicity_scores_by_a_plain_sum():
+    draw = random.Random(7)
+    texts = [" ".join(draw.choices(["fine", "day", "walk", "tree", "Été", "x9y"], k=9)) + (" vile filthiness" if i % 3 == 0 else "") for i in range(120)]
+    labels = np.array([float(i % 3 == 0) for i in range(120)])
+    model = toxicity.fit([toxicity.features(toxicity.WORD.findall(t.lower())) for t in texts], labels, [])
+    scorer = toxicity.Scorer(model)
+    for text in [*texts, "", "VILE walk", "unheard words", "vile " * 5000]:
+        places = set()
+        for word in toxicity.WORD.findall(text.lower()):
+            for part in [word] + [word[:n] + "-" for n in (4, 5, 6, 7) if len(word) > n]:
+                places.add(zlib.crc32(part.encode()) % toxicity.HASHES)
+        plain = 1 / (1 + math.exp(-(model["bias"] + sum(model["weights"].get(p, 0.0) for p in places))))
+        assert abs(scorer([text])[0] - plain) < 1e-9
+    assert all((scorer([t])[0] >= 0.3) == bool(y) for t, y in zip(texts, labels))
+
+
+def test_toxicity_finds_most_and_is_mostly_right_on_rows_not_learnt_from(spark):
+    folder = "/root/testdata/sf0.1"
+    got = queries.op3_toxicity(spark, folder).where("held_out").join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").toPandas()
+    hit = ((got.predicted == 1) & (got.toxic == 1)).sum()
+    assert hit / (got.toxic == 1).sum() >= 0.85 and hit / (got.predicted == 1).sum() >= 0.9
+
+
+def plain_quality(texts, labels):
+    """Index vectors, context sums, pooling and the network's output, one number at a time."""
+    model = quality.fit([quality.tokens(t) for t in texts], labels)
+    numbers, size = model["numbers"], len(model["numbers"])
+    place = lambda t: numbers.get(t, numbers.get(quality.shape(t), size))
+    index, context = model["vectors"][:, quality.SIZE :], np.zeros((size + 1, quality.SIZE))
+    for text in texts:
+        ids = [place(t) for t in quality.tokens(text)]
+        for i, a in enumerate(ids):
+            for gap in range(1, quality.WINDOW + 1):
+                if i >= gap:
+                    context[a] += index[ids[i - gap]] / gap
+                    context[ids[i - gap]] += index[a] / gap
+    return model, context, place
+
+
+def test_quality_vectors_pooling_and_scores_by_a_plain_version():
+    draw = random.Random(9)
+    good = [". ".join(" ".join(draw.choices(["The", "river", "runs", "slowly", "home"], k=6)) for _ in range(4)) for _ in range(60)]
+    bad = [" ".join(draw.choices(["BUY", "now", "now", "!!", "99", "x7z"], k=20)) for _ in range(60)]
+    texts, labels = [t for pair in zip(good, bad) for t in pair], np.array([1.0, 0.0] * 60)
+    model, context, place = plain_quality(texts, labels)
+    index = model["vectors"][:, quality.SIZE :]
+    assert (np.count_nonzero(index, axis=1) == quality.NONZERO).all() and np.allclose(np.linalg.norm(index, axis=1), 1)
+    lengths = np.linalg.norm(context, axis=1)
+    assert np.allclose(model["vectors"][:, : quality.SIZE][lengths > 0], context[lengths > 0] / lengths[lengths > 0, None], atol=1e-5)
+    network, scorer = model["network"], quality.Scorer(model)
+    first, shift, second, bias = network.layers
+    for text in [*texts[:10], "", "Home now, 12 unknown words", "now " * 3000]:
+        found = [model["vectors"][place(t)] for t in quality.tokens(text)]
+        pooled = np.mean(found, axis=0) if found else np.zeros(2 * quality.SIZE)
+        hidden = [math.tanh(sum((pooled[i] - network.mean[i]) / network.scale[i] * first[i, j] for i in range(len(pooled))) + shift[j]) for j in range(quality.HIDDEN)]
+        logit = sum(h * w for h, w in zip(hidden, second)) + bias[0]
+        assert abs(scorer([text])[0] - 1 / (1 + math.exp(-logit / network.temperature))) < 1e-6
+    held = quality.Pooler(model["numbers"], model["vectors"])(texts)[np.arange(120) % quality.CALIBRATION == quality.CALIBRATION - 1]
+    truth = labels[np.arange(120) % quality.CALIBRATION == quality.CALIBRATION - 1]
+
+    def loss(temperature):
+        p = np.clip(1 / (1 + np.exp(-network.logits(held) / temperature)), 1e-12, 1 - 1e-12)
+        return -np.mean(truth * np.log(p) + (1 - truth) * np.log(1 - p))
+
+    assert all(loss(network.temperature) <= loss(t) + 1e-9 for t in np.geomspace(0.25, 4, 33))
+
+
+def test_one_document_of_each_near_group_stays_and_it_is_a_member(spark):
+    docs = stored(table(spark, near_rows()), shared_folder(spark), "near-kept")
+    label = {k: c for k, _, c in brute_components(near_rows(), 80)}
+    kept = [label[r.doc_id] for r in minhash.keep_one(docs, percent=80).collect()]
+    assert sorted(kept) == sorted(set(label.values()))
