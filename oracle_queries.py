@@ -115,14 +115,20 @@ Q: dict[str, str] = {}
 Q["clean_corrective"] = f"""WITH {ORDERS} SELECT o_orderkey AS id_ordre_travail,
   CASE WHEN o_orderstatus = 'O' THEN 'Cloture' ELSE 'Ouvert' END AS etat, o_orderdate AS date_declaration,
   o_orderdate AS date_creation_ot, CASE WHEN o_orderpriority <> '5-LOW' THEN first_ship END AS date_debut_reparation,
-  last_ship AS date_cloture, returned AS est_reouvert,
+  last_ship AS date_cloture, returned AS est_reouvert, CASE WHEN returned THEN last_ship END AS date_reouverture,
+  CASE WHEN o_orderstatus = 'O' THEN first_ship END AS date_validation, NULL::TIMESTAMP AS date_rejet,
+  o_orderpriority = '1-URGENT' AS vandalisme, CASE WHEN o_orderpriority <> '5-LOW' THEN line_count > 3 END AS palliative,
+  CASE WHEN line_count > 0 THEN true END AS avec_demande_pdr,
   {r("CASE WHEN o_orderpriority <> '3-MEDIUM' THEN o_totalprice ELSE 0 END", "cout_total")},
+  {r("CASE WHEN line_count > 1 THEN quantity * 50 ELSE 0 END", "cout_maindoeuvre")},
+  {r("CASE WHEN returned THEN quantity ELSE 0 END", "cout_pdr")}, 0.0::DOUBLE AS cout_bc,
   {r("close_hours", "time_to_closure_hours")},
   {r("CASE WHEN o_orderpriority <> '5-LOW' THEN start_hours END", "time_to_start_hours")}
   FROM placed WHERE o_orderstatus IN ('O', 'P')"""
 
 Q["clean_preventive"] = f"""WITH {ORDERS} SELECT o_orderkey AS numero_ot, first_ship AS date_debut_planifiee,
-  o_orderdate AS date_debut, last_ship AS date_fin,
+  o_orderdate AS date_debut, last_ship AS date_fin, CASE WHEN line_count > 1 THEN last_ship END AS date_fin_planifiee,
+  CASE WHEN o_orderpriority <> '5-LOW' THEN last_ship END AS date_cloture, first_ship AS date_validation,
   {r("CASE WHEN o_orderpriority <> '3-MEDIUM' THEN o_totalprice ELSE 0 END", "cout")},
   {r("-start_hours / 24", "days_deviation_from_plan")}, {r("close_hours", "intervention_duration_hours")}
   FROM placed WHERE o_orderstatus = 'F'"""
@@ -132,7 +138,7 @@ Q["clean_spare_parts"] = f"""WITH p AS (SELECT *, CASE WHEN l_linestatus = 'O' T
   l_suppkey AS magasinier, l_shipdate AS date_demande,
   l_shipdate + to_hours(l_linenumber) AS date_validation_superviseur,
   CASE WHEN l_returnflag <> 'R' THEN l_shipdate + to_days(l_linenumber) END AS date_cloture,
-  {r("q", "quantite_demande")}, {r("l_extendedprice", "cout_total")},
+  CASE WHEN l_returnflag = 'R' THEN l_shipdate END AS date_rejet, {r("q", "quantite_demande")}, {r("l_extendedprice", "cout_total")},
   {r("CASE WHEN q > 0 THEN l_extendedprice / q ELSE 0 END", "cout_unitaire")},
   {r("l_linenumber", "validation_time_hours")},
   {r("CASE WHEN l_returnflag <> 'R' THEN l_linenumber * 23 END", "fulfillment_time_hours")} FROM p"""

@@ -225,10 +225,11 @@ def asset_signals(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFram
 
 
 def raw_corrective(spark: SparkSession, folder: str) -> DataFrame:
-    """Repair orders in export form: text times (some unusable), Oui/Non flags, missing costs."""
+    """Repair orders in export form: seven text times (some unusable), four Oui/Non flags, four costs, some missing."""
     rows = _enriched_orders(spark, folder, ["O", "P"], {"date_cloture"})
     c = F.col
     text = lambda name: F.date_format(name, "dd/MM/yyyy HH:mm")
+    yes_no = lambda yes, no="Non": F.when(yes, "Oui").when(~yes, no)
     return rows.select(
         c("o_orderkey").alias("id_ordre_travail"),
         F.when(c("o_orderstatus") == "O", "Clotur\ufffd").otherwise("Ouvert").alias("etat"),
@@ -238,20 +239,36 @@ def raw_corrective(spark: SparkSession, folder: str) -> DataFrame:
             "date_debut_reparation"
         ),
         text("last_ship").alias("date_cloture"),
-        F.when(c("returned"), "Oui").when(~c("returned"), "non").alias("est_reouvert"),
+        F.when(c("returned"), text("last_ship")).otherwise("").alias("date_reouverture"),
+        F.when(c("o_orderstatus") == "O", text("first_ship")).otherwise("31/02/2024 10:00").alias("date_validation"),
+        F.lit(None).cast("string").alias("date_rejet"),
+        yes_no(c("returned"), "non").alias("est_reouvert"),
+        yes_no(c("o_orderpriority") == "1-URGENT").alias("vandalisme"),
+        F.when(c("o_orderpriority") != "5-LOW", yes_no(c("lines") > 3)).alias("palliative"),
+        F.when(c("lines") > 0, "oui").otherwise("?").alias("avec_demande_pdr"),
         F.when(c("o_orderpriority") != "3-MEDIUM", c("o_totalprice")).alias("cout_total"),
+        F.when(c("lines") > 1, c("quantity") * 50).otherwise(F.lit(float("nan"))).alias("cout_maindoeuvre"),
+        F.when(c("returned"), c("quantity")).alias("cout_pdr"),
+        F.lit(None).cast("double").alias("cout_bc"),
     )
 
 
 def raw_preventive(spark: SparkSession, folder: str) -> DataFrame:
-    """Planned orders in export form: ISO text times, missing costs."""
+    """Planned orders in export form: six text times, ISO and day first, missing costs."""
     rows = _enriched_orders(spark, folder, ["F"], {"date_cloture"})
     c = F.col
+    # Day first where no month could be meant; other days would be read month first, as the cleaning step defines.
+    day_first = lambda name: F.when(F.dayofmonth(name) > 12, F.date_format(name, "dd/MM/yyyy HH:mm")).otherwise(
+        F.date_format(name, "yyyy-MM-dd HH:mm")
+    )
     return rows.select(
         c("o_orderkey").alias("numero_ot"),
         F.date_format("first_ship", "yyyy-MM-dd HH:mm:ss").alias("date_debut_planifiee"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_debut"),
         F.date_format("last_ship", "yyyy-MM-dd'T'HH:mm:ss").alias("date_fin"),
+        F.when(c("lines") > 1, day_first("last_ship")).otherwise("unknown").alias("date_fin_planifiee"),
+        F.when(c("o_orderpriority") != "5-LOW", day_first("last_ship")).alias("date_cloture"),
+        F.date_format("first_ship", "yyyy-MM-dd").alias("date_validation"),
         F.when(c("o_orderpriority") != "3-MEDIUM", c("o_totalprice")).alias("cout"),
     )
 
@@ -273,6 +290,7 @@ def raw_spare_parts(spark: SparkSession, folder: str) -> DataFrame:
             c("l_returnflag") != "R",
             F.date_format(ship + F.make_dt_interval(days=c("l_linenumber")), "dd/MM/yyyy, HH:mm:ss"),
         ).alias("date_cloture"),
+        F.when(c("l_returnflag") == "R", F.date_format(ship, "dd/MM/yyyy, HH:mm:ss")).otherwise("-").alias("date_rejet"),
         F.when(c("l_linestatus") == "O", c("l_quantity")).when(c("l_linenumber") > 2, F.lit(0.0)).alias(
             "quantite_demande"
         ),
