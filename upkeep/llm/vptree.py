@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from upkeep.llm.support import kept, map_batches, shared_folder, spread, stored
 
 SHARD_ROWS = 16_384
-QUERY_BLOCK = 256
+QUERY_BLOCK = 1024
 LEAF_ROWS = 128
 
 
