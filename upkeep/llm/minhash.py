@@ -10,6 +10,7 @@
 4. The full sets of the documents left (found by a filter of fixed size, so that texts need no shuffle) are computed again
    and compared; a group emits a spanning forest of its links.
    Links that would close a circle are left out, which no component notices.
+   Groups are bounded by the bytes of their sets: the pairs of a larger one are dealt by tiles of its rows (``SET_BYTES``).
 5. Components of the links; every document finds its component by its fingerprint.
 
 The estimate is cut ``SLACK`` below the threshold, or lower where a link at the threshold would fall below the cut with a
@@ -32,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from upkeep.llm.components import connected_components
-from upkeep.llm.support import map_batches, shared_folder, slices, stored, text_of, whole_groups
+from upkeep.llm.support import map_batches, parts, shared_folder, slices, stored, text_of, whole_groups
 
 WORDS = 5
 BITS = 4
@@ -42,6 +43,10 @@ BLOCK = 512
 #: Size of the filter for rows whose full sets are wanted; fuller, it lets more rows through, and loses none.
 FILTER_BITS = 1 << 24
 PAIRS_AT_ONCE = 100_000
+#: Bytes of the full sets that a group of pairs may need at once; a pair of longer sets is a group of its own.
+SET_BYTES = 128 << 20
+#: Bytes of the texts whose sets go back to Spark in one batch (one longer text is a batch of its own).
+SENT_BYTES = 16 << 20
 ROW = "__upkeep_row"
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -187,9 +192,41 @@ def members_of_groups(classes: DataFrame) -> DataFrame:
     )
 
 
+def tiles(group: np.ndarray, size: np.ndarray, most: int) -> np.ndarray:
+    """Number of each row's tile within its group: consecutive rows of ``most`` bytes together at most, or a single row."""
+    tile = np.zeros(len(group), dtype=np.int64)
+    borders = np.flatnonzero(np.r_[True, group[1:] != group[:-1], True])
+    heavy = np.flatnonzero(np.add.reduceat(size, borders[:-1]) > most)
+    for start, end in zip(borders[heavy], borders[heavy + 1]):
+        for k, (a, b) in enumerate(slices(size[start:end].tolist(), most)):
+            tile[start + a : start + b] = k
+    return tile
+
+
+def listed(group: np.ndarray, row: np.ndarray, n: np.ndarray, left: np.ndarray, right: np.ndarray, most: int) -> pa.RecordBatch:
+    """group, row, partners of the pairs (positions, ``left`` before ``right``), in groups whose sets need ``most`` bytes at most."""
+    used = np.zeros(len(row), dtype=bool)
+    used[left] = used[right] = True
+    tile = tiles(group, np.where(used, 8 * n, 0), most // 2)
+    a, b = tile[left].astype(np.uint64), tile[right].astype(np.uint64)
+    name = group[left].copy()
+    apart = b > 0
+    name[apart] = mixed(mixed(name[apart].view(np.uint64) * MIX + a[apart]) * MIX + b[apart]).view(np.int64)
+    names, at = np.unique(name, return_inverse=True)
+    lefts, rights = at * len(row) + left, at * len(row) + right
+    members = np.unique(np.concatenate([lefts, rights]))
+    places, counts = np.unique(lefts, return_counts=True)
+    sizes = np.zeros(len(members), dtype=np.int64)
+    sizes[np.searchsorted(members, places)] = counts
+    partners = row[right[np.argsort(lefts, kind="stable")]]
+    lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(partners))
+    columns = [pa.array(names[members // len(row)]), pa.array(row[members % len(row)]), lists]
+    return pa.RecordBatch.from_arrays(columns, ["group", "row", "partners"])
+
+
 def candidates(members: DataFrame, count: int, percent: int) -> DataFrame:
     """group, row, partners: pairs whose estimate may belong to a link, listed at the first of the two rows."""
-    least = least_estimate(percent, count)
+    least, most = least_estimate(percent, count), SET_BYTES
 
     def work(batches):
         for table in whole_groups(batches, 0):
@@ -208,17 +245,8 @@ def candidates(members: DataFrame, count: int, percent: int) -> DataFrame:
                 good = same.any(axis=1) & (same.argmax(axis=1) == band[left])
                 lefts.append(left[good])
                 rights.append(right[good])
-            if not lefts or not (total := sum(map(len, lefts))):
-                continue
-            left, right = np.concatenate(lefts), np.concatenate(rights)
-            places, counts = np.unique(left, return_counts=True)
-            used = np.unique(np.concatenate([left, right]))
-            sizes = np.zeros(len(used), dtype=np.int64)
-            sizes[np.searchsorted(used, places)] = counts
-            offsets = np.r_[0, np.cumsum(sizes)].astype(np.int32)
-            assert offsets[-1] == total
-            partners = pa.ListArray.from_arrays(pa.array(offsets), pa.array(row[right]))
-            yield pa.RecordBatch.from_arrays([pa.array(group[used]), pa.array(row[used]), partners], ["group", "row", "partners"])
+            if sum(map(len, lefts)):
+                yield listed(group, row, n, np.concatenate(lefts), np.concatenate(rights), most)
 
     dealt = members.repartition("group").sortWithinPartitions("group", "side", "row")
     return map_batches(dealt, work, "group long, row long, partners array<long>")
@@ -247,8 +275,9 @@ def full_sets(df: DataFrame, rows: DataFrame, text: str) -> DataFrame:
         for batch in batches:
             place = batch.column(1).to_numpy()
             batch = batch.filter(pa.array((bits[place // 64] >> (place % 64)) & 1 == 1))
-            sets = [shingle_set(c.as_py()).tobytes() for c in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["row", "shingles"])
+            for part in parts(batch, 2, SENT_BYTES):
+                sets = [shingle_set(c.as_py()).tobytes() for c in part.column(2)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["row", "shingles"])
 
     return map_batches(source, work, "row long, shingles binary")
 
