@@ -17,6 +17,7 @@ import json
 import os
 import re
 import unicodedata
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,8 @@ KEPT_MATCHES = 500_000
 KEPT_LENGTH = 48
 #: Characters handed to the library, and worked on, at a time.
 BATCH_CHARACTERS = 1_500_000
+#: Ids that are decoded to text at a time.
+RUN = 4096
 
 #: Code points whose letters, numbers and spaces have long been settled: Latin to Cyrillic, punctuation and symbols.
 SETTLED = ((0, 0x530), (0x2010, 0x2BFF), (0x1F300, 0x1F650))
@@ -242,27 +245,39 @@ class Decoder:
 
     def __init__(self, definition: str):
         self.table = token_bytes(definition)
+        self.sizes = np.zeros(max(self.table, default=-1) + 1, dtype=np.int64)
+        for i, content in self.table.items():
+            self.sizes[i] = len(content)
 
     def decode_bytes(self, ids) -> bytes:
         return b"".join(map(self.table.__getitem__, ids))
 
-    def decode_stream(self, ids) -> Iterator[str]:
-        """Text piece by piece; a character split over several ids comes with the id that completes it."""
+    def decode_stream(self, ids, run: int = 1) -> Iterator[str]:
+        """Text piece by piece, of ``run`` ids each; a character split over several ids comes with the id that completes it."""
         import codecs
 
         pending = codecs.getincrementaldecoder("utf-8")("replace")
-        for i in ids:
-            yield pending.decode(self.table[int(i)])
+        for at in range(0, len(ids), run):
+            yield pending.decode(self.decode_bytes(ids[at : at + run]))
         yield pending.decode(b"", final=True)
 
-    def offsets(self, ids) -> tuple[np.ndarray, np.ndarray]:
-        """First and end character of each id in the decoded text; ids that split a character share it."""
-        sizes = np.array([len(self.table[int(i)]) for i in ids], dtype=np.int64)
-        ends = np.cumsum(sizes)
-        content = np.frombuffer(self.decode_bytes(ids), dtype=np.uint8)
-        character = np.cumsum((content & 0xC0) != 0x80)  # 1-based number of the character that a byte belongs to
-        first, last = np.minimum(ends - sizes, max(0, len(content) - 1)), ends - 1
-        return (character[first] - 1, character[last]) if len(content) else (ends, ends)
+    def offsets(self, ids, content: bytes | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """First and end character of each id in the decoded text (``content``); ids that split a character share it."""
+        ids = np.asarray(ids, dtype=np.int64)
+        if not len(ids):
+            return ids, ids
+        content = np.frombuffer(self.decode_bytes(ids.tolist()) if content is None else content, dtype=np.uint8)
+        begins = (content & 0xC0) != 0x80  # bytes that begin a character
+        sizes = self.sizes[ids]
+        at = np.cumsum(sizes) - sizes
+        ends = np.cumsum(np.add.reduceat(begins, at, dtype=np.int64))
+        return np.r_[0, ends[:-1]] - ~begins[at], ends
+
+
+def splits(starts: np.ndarray, ends: np.ndarray) -> int:
+    """How many ids share a character with the id before or after."""
+    shared = starts[1:] < ends[:-1]
+    return int((np.r_[False, shared] | np.r_[shared, False]).sum()) if len(starts) else 0
 
 
 def decoder(definition: str) -> Decoder:
@@ -306,24 +321,38 @@ def decode(df: DataFrame, definition: str, key: str = "doc_id", ids: str = "ids"
 
 
 def round_trip_digests(df: DataFrame, definition: str) -> DataFrame:
-    """Encode every text, decode its ids, and return the digests of both in one pass (no shuffle)."""
+    """Encode every text, decode its ids, and return the digests of both in one pass (no shuffle).
+
+    Further columns: characters of the text that the ids give run by run, ids that share a character with a neighbour, and the
+    unsigned crc32 of all first and end characters (little-endian unsigned 32-bit integers, a pair for each id).
+    """
     shared = df.sparkSession.sparkContext.broadcast(definition)
     source = df.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(df).alias("text"))
+    digests = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
+    digests |= {"n_characters": pa.int64(), "split_tokens": pa.int64(), "offsets_crc32": pa.int64()}
+
+    def digest(packed: bytes, back: Decoder, decimal: dict[int, str]) -> tuple:
+        ids = np.frombuffer(packed, dtype="<u4").tolist()
+        content = back.decode_bytes(ids)
+        starts, ends = back.offsets(ids, content)
+        return (
+            len(ids),
+            hashlib.sha256(" ".join(map(decimal.__getitem__, ids)).encode()).hexdigest(),
+            hashlib.sha256(content).hexdigest(),
+            sum(map(len, back.decode_stream(ids, RUN))),
+            splits(starts, ends),
+            zlib.crc32(np.column_stack([starts, ends]).astype("<u4").tobytes()),
+        )
 
     def work(batches):
         made, back = encoder(shared.value), decoder(shared.value)
         decimal = {i: str(i) for i in back.table}
         for batch in batches:
-            counts, ids_hex, bytes_hex = [], [], []
-            for part in parts(batch, 1):
-                for packed in made.encode(part.column(1).to_pylist()):
-                    ids = np.frombuffer(packed, dtype="<u4").tolist()
-                    counts.append(len(ids))
-                    ids_hex.append(hashlib.sha256(" ".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
-                    bytes_hex.append(hashlib.sha256(back.decode_bytes(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(bytes_hex, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return map_batches(source, work, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            rows = [
+                digest(packed, back, decimal) for part in parts(batch, 1) for packed in made.encode(part.column(1).to_pylist())
+            ]
+            columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(digests.values())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *digests])
+
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_characters long, split_tokens long"
+    return map_batches(source, work, f"{schema}, offsets_crc32 long")
