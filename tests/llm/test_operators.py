@@ -93,11 +93,20 @@ def test_table_of_matches_is_bounded(definition, monkeypatch):
 
 def test_round_trip_of_awkward_rows(awkward, nothing, ranks, definition):
     plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    want = []
+    want, bytes_of = [], {i: b for b, i in ranks.items()}
     for key, text in AWKWARD:
         ids = plain.encode_ordinary(text or "")
         digests = [hashlib.sha256(x).hexdigest() for x in (" ".join(map(str, ids)).encode(), (text or "").encode())]
-        want.append((key, len(ids), *digests))
+        owner = [i for i, c in enumerate(text or "") for _ in c.encode()]  # the character of each byte
+        spans, at = [], 0
+        for i in ids:
+            spans.append((owner[at], owner[at + len(bytes_of[i]) - 1] + 1))
+            at += len(bytes_of[i])
+        near = zip([None, *spans], spans, [*spans[1:], None])
+        split = sum(bool(a and a[1] > b[0] or c and c[0] < b[1]) for a, b, c in near)
+        crc = zlib.crc32(b"".join(x.to_bytes(4, "little") for span in spans for x in span))
+        want.append((key, len(ids), *digests, len(text or ""), split, crc))
+    assert any(w[5] for w in want)
     assert sorted(map(tuple, bpe.round_trip_digests(awkward, definition).collect()), key=repr) == sorted(want, key=repr)
     assert bpe.round_trip_digests(nothing, definition).count() == 0
 
@@ -370,9 +379,10 @@ def near_rows():
     return rows
 
 
-@pytest.mark.parametrize("block", [512, 7])
-def test_near_duplicates_against_all_pairs(spark, block, monkeypatch):
+@pytest.mark.parametrize("block, set_bytes", [(512, minhash.SET_BYTES), (7, minhash.SET_BYTES), (512, 6000)])
+def test_near_duplicates_against_all_pairs(spark, block, set_bytes, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "SET_BYTES", set_bytes)  # 6000: few sets of these rows fit a group
     rows = AWKWARD[:6] + AWKWARD[7:] + near_rows()
     docs = stored(table(spark, rows), shared_folder(spark), "near")
     got = minhash.near_duplicates(docs).collect()
@@ -390,6 +400,25 @@ def test_near_duplicates_of_nothing(nothing):
     assert minhash.near_duplicates(nothing).count() == 0 and minhash.keep_one(nothing).count() == 0
 
 
+def test_groups_of_pairs_stay_within_their_bytes():
+    draw = np.random.default_rng(4)
+    group = np.repeat([5, 9, 11], [300, 4, 1]).astype(np.int64)
+    row, n = np.arange(1000, 1305), draw.integers(1, 200, 305)
+    n[17], most = 5000, 8 * 1000  # one set is longer than a group may be
+    left, right = (np.concatenate(x) for x in zip(*minhash.pair_positions(group, np.full(305, -1))))
+    some = draw.random(len(left)) < 0.3
+    left, right = left[some], right[some]
+    batch = minhash.listed(group, row, n, left, right, most).to_pylist()
+    pairs = [(r["row"], p) for r in batch for p in r["partners"]]
+    assert sorted(pairs) == sorted(zip(row[left].tolist(), row[right].tolist()))  # each pair once
+    members = {}
+    for r in batch:
+        members.setdefault(r["group"], set()).add(r["row"])
+    assert all(p in members[r["group"]] for r in batch for p in r["partners"])
+    assert all(8 * sum(int(n[x - 1000]) for x in rows if x != 1017) <= most for rows in members.values())
+    assert len(members) > 100 and len({r["group"] for r in batch if r["row"] >= 1300}) <= 1  # small groups stay whole
+
+
 def test_estimates_are_corrected_for_chance():
     draw = np.random.default_rng(8)
     signer = minhash.Signer(24, 5)
