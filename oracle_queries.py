@@ -700,9 +700,31 @@ Q["code_lookup"] = f"WITH {C} " + " UNION ALL ".join(
     for n in ("site", "famille", "portfolio")
 )
 
-# Schema-only report: the number of numeric features whose name carries each group's fragments.
-Q["feature_groups"] = """SELECT * FROM (VALUES ('Temporelles', 8), ('Equipement', 9), ('Localisation', 5),
-  ('Pieces rechange', 8), ('Prestataire', 3), ('Fenetres glissantes', 4), ('Encodees', 8)) AS g(feature_group, features)"""
+
+
+def feature_group(name: str, fragments: str) -> str:
+    """Features whose name carries one of the fragments, and their values that are not null."""
+    picked = f"SELECT CAST(COLUMNS('{fragments}') AS DOUBLE) FROM features"
+    return f"""SELECT '{name}' AS feature_group, count(DISTINCT n) AS features, count(v) AS known_values
+  FROM ({picked}) AS picked UNPIVOT INCLUDE NULLS (v FOR n IN (COLUMNS(*)))"""
+
+
+Q["feature_groups"] = f"WITH features AS ({Q['feature_table']}) " + " UNION ALL ".join(
+    [
+        feature_group("Temporelles", "creation_|days_since"),
+        feature_group("Equipement", "equipment_|famille_"),
+        feature_group("Localisation", "site_|zone_"),
+        feature_group("Pieces rechange", "spare|parts"),
+        feature_group("Prestataire", "provider_"),
+        feature_group("Fenetres glissantes", "rolling_"),
+        feature_group("Encodees", "_encoded"),
+    ]
+)
+
+Q["dataset_preview"] = f"""WITH {C} SELECT id_ordre_travail, id_actif, actif, famille, groupe, site, zone, localisation,
+  portfolio, etat, urgence, anomalie, prestataire, date_creation_ot, date_cloture,
+  {rr("cout_total", "duree_intervention_par_heure", "time_to_closure_hours")}
+  FROM corrective ORDER BY id_ordre_travail LIMIT 100"""
 
 # --- anomaly flags ------------------------------------------------------------------------------------------------------------
 
@@ -852,6 +874,10 @@ Q["classification_metrics"] = f"""WITH {RULE} SELECT tn, fp, fn, tp, tn + fp + f
   {r("(tp + fn) / (tn + fp + fn + tp)::DOUBLE", "positive_rate")},
   {r("(tp + tn) / (tn + fp + fn + tp)::DOUBLE", "accuracy")}, {r(_P, "precision")}, {r(_R, "recall")},
   {r(f1(_P, _R), "f1")}, {r(_AUC, "roc_auc")} FROM cells"""
+Q["headline_metrics"] = f"""SELECT failure.f1 AS failure_f1, failure.roc_auc AS failure_auc, spare.f1 AS parts_f1,
+  spare.roc_auc AS parts_auc, consensus_anomalies::DOUBLE AS anomalies, agreement_pct
+  FROM ({Q["classification_metrics"]}) failure, ({Q["classification_metrics"].replace("250000", "150000")}) spare,
+  ({Q["evaluate_anomalies"]}) flags"""
 _ALL = "(tn + fp + fn + tp)"
 
 

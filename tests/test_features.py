@@ -120,5 +120,6 @@ def test_feature_table_is_independent_of_slicing(orders):
 
 def test_feature_groups(spark):
     rows = spark.createDataFrame([(1, 1.0, "x")], "creation_hour long, site_avg_cost double, rolling_name string")
-    got = {r["feature_group"]: r["features"] for r in ft.feature_groups(rows).collect()}
-    assert (got["Temporelles"], got["Localisation"], got["Fenetres glissantes"]) == (1, 1, 0)
+    rows = rows.unionByName(spark.createDataFrame([(2, None, "y")], rows.schema))
+    got = {r["feature_group"]: (r["features"], r["known_values"]) for r in ft.feature_groups(rows).collect()}
+    assert (got["Temporelles"], got["Localisation"], got["Fenetres glissantes"]) == ((1, 2), (1, 1), (0, 0))

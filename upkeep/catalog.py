@@ -83,6 +83,10 @@ def requests(spark: SparkSession, folder: str, columns: str) -> DataFrame:
 
 
 PLACED = "id_actif actif famille groupe site zone localisation"
+PREVIEW = (
+    f"id_ordre_travail {PLACED} portfolio etat urgence anomalie prestataire date_creation_ot date_cloture "
+    "cout_total duree_intervention_par_heure time_to_closure_hours"
+)
 
 
 # --- cleaning and integration ---------------------------------------------------------------------------------
@@ -547,6 +551,12 @@ def overview(spark, folder):
     return ex.overview(made, plan, assets, event_times(spark, folder))
 
 
+@query
+def dataset_preview(spark, folder):
+    """The first corrective orders, as the dataset explorer shows them."""
+    return ex.preview(repairs(spark, folder, PREVIEW).orderBy("id_ordre_travail"))
+
+
 @query
 def top_anomaly_types(spark, folder):
     return ex.top_anomaly_types(repairs(spark, folder, "anomalie"))
@@ -1012,7 +1022,7 @@ def explained_variance_check(spark, folder):
     ).select("axes", (F.col("_first") >= F.col("_second")).alias("ordered"), F.round("_gap", 4).alias("gap"))
 
 
-def rule_predictions(spark, folder) -> DataFrame:
+def rule_predictions(spark, folder, cost: int = 250000) -> DataFrame:
     """Label, score and class by rule, the deterministic input of the quality measures."""
     rows = repairs(spark, folder, "id_ordre_travail urgence cout_total duree_intervention_par_heure")
     score = F.coalesce(F.col("duree_intervention_par_heure"), F.lit(0.0)) / 500
@@ -1020,7 +1030,7 @@ def rule_predictions(spark, folder) -> DataFrame:
         "id_ordre_travail",
         (F.col("urgence") == "Fort").cast("int").alias("label"),
         score.alias("probability"),
-        (F.col("cout_total") > 250000).cast("int").alias("prediction"),
+        (F.col("cout_total") > cost).cast("int").alias("prediction"),
     )
 
 
@@ -1029,6 +1039,17 @@ def classification_metrics(spark, folder):
     return metrics.classification_metrics(rule_predictions(spark, folder))
 
 
+@query
+def headline_metrics(spark, folder):
+    """The dashboard's figures of a model summary; the predictions are those of two rules, the flags those of ``flagged``."""
+    summary = anomaly.evaluate_anomalies(anomaly.anomaly_consensus(flagged(spark, folder)))
+    for name, cost in (("failure_prediction", 250000), ("spare_parts_prediction", 150000)):
+        measured = metrics.classification_metrics(rule_predictions(spark, folder, cost))
+        scores = F.struct(F.col("f1").alias("test_f1"), F.col("roc_auc").alias("test_roc_auc"))
+        summary = with_summary(summary, measured.select(scores.alias(name)))
+    return ex.headline_metrics(summary.withColumn("anomaly_detection", F.struct("consensus_anomalies", "agreement_pct")))
+
+
 @query
 def classification_report(spark, folder):
     return metrics.classification_report(rule_predictions(spark, folder))

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.expressions import days_between, flag_name, guarded_ratio, indicator, none_null, present
+from ..functions.expressions import days_between, flag_name, guarded_ratio, indicator, none_null, present, quoted
 from ..operators.lookups import Lookup, attach_codes, category_codes, key_statistics, with_summary
 from ..operators.ordered import add_row_windows, running_totals, with_row_windows
 from ..operators.quantiles import exact_quantiles
@@ -426,10 +426,16 @@ FEATURE_GROUPS = {
 
 
 def feature_groups(features: DataFrame) -> DataFrame:
-    """(group, feature count) of the numeric columns; read from the schema only."""
-    spark = features.sparkSession
+    """(group, numeric features whose name carries a fragment of it, their non-null values), counted in one pass."""
     numeric = [f.name for f in features.schema.fields if f.dataType.typeName() in ("long", "integer", "double", "float")]
-    counts = [(g, sum(any(part in n for part in parts) for n in numeric)) for g, parts in FEATURE_GROUPS.items()]
-    return spark.createDataFrame(counts, "feature_group string, features long")
-
-
+    members = {g: [n for n in numeric if any(part in n for part in parts)] for g, parts in FEATURE_GROUPS.items()}
+    counts = features.agg(*[F.count(quoted(n)).alias(n) for n in dict.fromkeys(sum(members.values(), []))])
+    groups = [
+        F.struct(
+            F.lit(group).alias("feature_group"),
+            F.lit(len(names)).cast("long").alias("features"),
+            sum((quoted(n) for n in names), F.lit(0).cast("long")).alias("known_values"),
+        )
+        for group, names in members.items()
+    ]
+    return counts.select(F.inline(F.array(*groups)))
