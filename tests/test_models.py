@@ -1,8 +1,9 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from upkeep.models import classifiers as cl, metrics
+from upkeep.models import boundary, classifiers as cl, metrics
 from upkeep.models.anomaly import AnomalyDetector, AnomalyModel, anomaly_consensus, evaluate_anomalies
 from upkeep.models.boundary import fit_boundary
 from upkeep.models.isolation import average_path, fit_forest
@@ -156,3 +157,34 @@ def test_boundary_is_settled(spark):
     assert len(usual) == 150 and len(usual & longer) >= 0.99 * len(usual)
     empty = fit_boundary(rows.limit(0), ["a", "b", "c"], size=8)
     assert empty.rho == 0.0
+
+
+def test_boundary_needs_few_passes(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(10_000, 3))
+    points = np.hstack([base, np.exp(base[:, :2])])
+    points = (points - points.mean(axis=0)) / points.std(axis=0)
+    names = [f"x{i}" for i in range(points.shape[1])]
+    rows = spark.createDataFrame(pd.DataFrame(points, columns=names).rename_axis("id").reset_index()).checkpoint()
+    passes = []
+    once = boundary._one_pass
+    monkeypatch.setattr(boundary, "_one_pass", lambda *given: passes.append(1) or once(*given))
+
+    def outside(**settings):
+        passes.clear()
+        model = fit_boundary(rows, names, **settings)
+        score = model.score_column(names) - model.rho
+        return {r[0] for r in rows.select("id", score.alias("s")).where("s < 0").collect()}
+
+    usual = outside()
+    used = len(passes)
+    longer = outside(steps=2 * used - 2, tolerance=-1.0)  # no early end
+    assert used <= 30 and len(passes) == 2 * used
+    assert len(usual) == 1000 and len(usual & longer) >= 0.99 * len(usual)
+
+
+def test_shortest_mix_is_the_point_nearest_to_the_origin():
+    vectors = np.array([[2.0, 1.0], [2.0, -3.0], [5.0, 0.0]])
+    shares = boundary._shortest_mix(vectors @ vectors.T, np.array([0.0, 0.0, 1.0]))
+    assert shares.sum() == pytest.approx(1.0) and (shares >= 0).all()
+    assert shares @ vectors == pytest.approx([2.0, 0.0], abs=1e-6)

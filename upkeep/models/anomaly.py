@@ -36,7 +36,7 @@ class AnomalyDetector:
     trees: int = 100
     sample_size: int = 256
     map_size: int = 256
-    steps: int = 200
+    steps: int = 28
     seed: int = 42
     policy: SlicePolicy = DEFAULT_POLICY
 
