@@ -823,6 +823,10 @@ Q["parts_model_check"] = trained(Q["feature_table"], "will_need_spare_parts")
 Q["effectiveness_model_check"] = trained(Q["effectiveness_labels"], "is_effective")
 Q["failure_importances_check"] = f"""SELECT {len(_NUMBERS)}::BIGINT AS inputs, 1.0::DOUBLE AS total, 0::BIGINT AS negative,
   {len(_NUMBERS)}::BIGINT AS last_rank"""
+_GIVEN_AWAY = {"has_spare_parts", "spare_parts_cost_ratio", "num_spare_parts_requests", "total_parts_quantity", "total_parts_cost"}
+_PARTS_INPUTS = len([name for name in _NUMBERS if name not in _GIVEN_AWAY])
+Q["parts_importances_check"] = f"""SELECT {_PARTS_INPUTS}::BIGINT AS inputs, 1.0::DOUBLE AS total, 0::BIGINT AS negative,
+  {_PARTS_INPUTS}::BIGINT AS last_rank"""
 _TENTH = "CAST(ceil((count(*) - 1) * 0.1) AS BIGINT)"
 Q["isolation_forest_check"] = f"WITH {C} SELECT count(*) AS orders, 0::BIGINT AS out_of_bounds, {_TENTH} AS flagged FROM corrective"
 Q["one_class_boundary_check"] = f"WITH {C} SELECT count(*) AS orders, {_TENTH} AS flagged FROM corrective"

@@ -848,6 +848,13 @@ def parts_model(spark, folder):
     return classifiers.train_parts_model(materialize(features(spark, folder))).metrics
 
 
+@query
+def parts_importances(spark, folder):
+    """Of the same model, with one fit instead of six."""
+    settings = replace(classifiers.PARTS_SETTINGS, folds=0)
+    return classifiers.train_parts_model(materialize(features(spark, folder)), settings).classifier.importances()
+
+
 @query
 def effectiveness_model(spark, folder):
     trained = classifiers.train_effectiveness_model(labels(spark, folder))
@@ -955,8 +962,19 @@ def failure_importances_check(spark, folder):
     """Importances add up to one, and none is negative."""
     rows = materialize(features(spark, folder))
     rows = rows.select("id_ordre_travail", "will_fail_within_30_days", *plain_numbers(rows))
-    found = classifiers.train_failure_model(rows, CHECKED_FOREST).classifier.importances(1000)
-    return found.agg(
+    return importances_check(classifiers.train_failure_model(rows, CHECKED_FOREST))
+
+
+@query
+def parts_importances_check(spark, folder):
+    """Likewise, without the inputs that give the answer away."""
+    rows = materialize(features(spark, folder))
+    rows = rows.select("id_ordre_travail", "will_need_spare_parts", *plain_numbers(rows))
+    return importances_check(classifiers.train_parts_model(rows, CHECKED_BOOSTED))
+
+
+def importances_check(trained: classifiers.Training) -> DataFrame:
+    return trained.classifier.importances(1000).agg(
         F.count("*").alias("inputs"), F.sum("importance").alias("total"), F.count_if(F.col("importance") < 0).alias("negative"),
         F.max("rank").alias("last_rank"),
     )

@@ -17,13 +17,15 @@ from ..session import materialize, spread
 
 # Identifiers, targets and model outputs are never inputs.
 NEVER_INPUTS = frozenset(
-    "id_ordre_travail id_demande id_actif will_fail_within_30_days will_need_spare_parts anomaly_type_encoded "
-    "spare_parts_cost_target intervention_duration_target days_to_next_failure iso_anomaly iso_score ocsvm_anomaly "
-    "ocsvm_score anomaly_consensus anomaly_confidence".split()
-)
+    {
+        "id_ordre_travail", "id_demande", "id_actif", "will_fail_within_30_days", "will_need_spare_parts",
+        "anomaly_type_encoded", "spare_parts_cost_target", "intervention_duration_target", "days_to_next_failure",
+        "iso_anomaly", "iso_score", "ocsvm_anomaly", "ocsvm_score", "anomaly_consensus", "anomaly_confidence",
+    }
+)
 # Columns that give the parts target away.
 PARTS_COLUMNS = frozenset(
-    "has_spare_parts spare_parts_cost_ratio num_spare_parts_requests total_parts_quantity total_parts_cost".split()
+    {"has_spare_parts", "spare_parts_cost_ratio", "num_spare_parts_requests", "total_parts_quantity", "total_parts_cost"}
 )
 
 
