@@ -239,3 +239,11 @@ def test_csv_twin_is_read_without_inference(spark, folder):
     shutil.rmtree(f"{folder}/t.parquet")
     back = read_table(spark, folder, "t")
     assert back.schema == df.schema == written_schema(spark, folder, "t") and sorted(back.collect()) == sorted(df.collect())
+
+
+def test_queries_split_methods_that_the_jvm_would_interpret(spark):
+    from upkeep import catalog
+
+    catalog.query(lambda session, folder: session.range(1))(spark, "")
+    del catalog.QUERIES["<lambda>"]
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
