@@ -122,3 +122,18 @@ def test_histogram_closes_the_last_bin(spark):
     rows = spark.createDataFrame([(0.0,), (1.0,), (9.9,), (10.0,), (None,)], "v double")
     assert {r["bin"]: r["count"] for r in histogram(rows, "v", 10).collect()} == {0: 1, 1: 1, 9: 2}
     assert [tuple(r) for r in histogram(rows.where("v = 1"), F.col("v"), 5).collect()] == [(0, 1.0, 1.0, 1)]
+
+
+def test_part_totals_send_one_row_per_line(spark):
+    """Three articles, two families and two statuses of one order: six rows were sent for each line folded by kind."""
+    lines = [(1, i, f"a{i % 3}", f"f{i % 2}", 1.0, 0.5, "ok" if i % 4 else None, at(f"2025-01-{28 - i % 6:02d}")) for i in range(12)]
+    parts = spark.createDataFrame(
+        lines,
+        "id_ot long, id_demande long, article string, famille string, quantite_demande double, cout_total double, etat string, date_demande timestamp",
+    )
+    totals = ig.part_totals(parts)
+    plan = totals._jdf.queryExecution().sparkPlan().toString()
+    assert "explode" not in plan and plan.index("inline(") < plan.index("Exchange")  # printed from the last step to the first
+    row = totals.first()
+    assert (row["num_spare_parts_requests"], row["total_parts_quantity"], row["total_parts_cost"]) == (12, 12.0, 6.0)
+    assert (row["parts_articles"], row["parts_families"], row["parts_request_status"]) == ("a2, a1, a0", "f1, f0", "ok")
