@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from upkeep.models import boundary, classifiers as cl, metrics
 from upkeep.models.anomaly import AnomalyDetector, AnomalyModel, anomaly_consensus, evaluate_anomalies
 from upkeep.models.boundary import fit_boundary
-from upkeep.models.isolation import average_path, fit_forest
+from upkeep.models.isolation import _grow, average_path, fit_forest, sample_for_trees
 from upkeep.models.matrix import Standardizer, model_matrix, numeric_inputs, project
 from upkeep.models.splits import balanced_weights, stratify
 from upkeep.operators.slicing import DEFAULT_POLICY, SlicePolicy
@@ -183,6 +183,22 @@ def test_boundary_needs_few_passes(spark, monkeypatch):
     assert len(usual) == 1000 and len(usual & longer) >= 0.99 * len(usual)
 
 
+def test_forest_samples_are_drawn_in_compiled_code(spark):
+    rows = spark.range(3_000).select("id", F.rand(4).alias("x0"))
+    drawn = sample_for_trees(rows, "id", ["x0"], 5, 16, 42, 3_000)
+    assert "lambda" not in drawn._jdf.queryExecution().executedPlan().toString()
+    draws = rows.select("id", *[F.pmod(F.xxhash64(F.lit(42), F.lit(tree), "id"), F.lit(1 << 40)).alias(f"t{tree}") for tree in range(5)]).toPandas()
+    wanted = {(tree, int(i)) for tree in range(5) for i in draws.nsmallest(16, f"t{tree}")["id"]}
+    assert {(r["tree"], r["id"]) for r in drawn.collect()} == wanted
+
+
+def test_trees_split_neighbouring_doubles():
+    points = np.array([[1.0], [np.nextafter(1.0, 2.0)]] * 4)
+    for seed in range(20):
+        nodes = _grow(points, 8, np.random.default_rng(seed))
+        assert len(nodes) == 3 and sum(node[1] == 0 for node in nodes) == 1
+
+
 def test_shortest_mix_is_the_point_nearest_to_the_origin():
     vectors = np.array([[2.0, 1.0], [2.0, -3.0], [5.0, 0.0]])
     shares = boundary._shortest_mix(vectors @ vectors.T, np.array([0.0, 0.0, 1.0]))
