@@ -5,9 +5,10 @@ import uuid
 import pytest
 from pyspark.sql import Window, functions as F
 
+from upkeep.operators import quantiles
 from upkeep.operators.lookups import BROADCAST_BYTES, key_statistics
 from upkeep.operators.ordered import next_match, running_totals, with_row_windows
-from upkeep.operators.quantiles import exact_quantiles
+from upkeep.operators.quantiles import exact_quantiles, store
 from upkeep.operators.slicing import DEFAULT_POLICY, SlicePolicy, slice_rows
 
 POLICIES = [
@@ -144,3 +145,12 @@ def test_wide_lookups_are_not_broadcast(spark):
     assert narrow.size < BROADCAST_BYTES < wide.size
     plans = [lookup.attach(rows)._jdf.queryExecution().executedPlan().toString() for lookup in (narrow, wide)]
     assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" in plans[1]
+
+
+def test_quantiles_take_one_sketch_and_no_interpreted_lambda(spark, monkeypatch):
+    rows = spark.range(2_000).select((F.col("id") % 2).alias("k"), F.col("id").cast("double").alias("v"))
+    plans = []
+    monkeypatch.setattr(quantiles, "store", lambda df, **m: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or store(df, **m))
+    got = exact_quantiles(rows, ["k"], "v", {"low": 0.25, "median": 0.5}, accuracy=20)
+    assert sorted(map(tuple, got.collect())) == [(0, 499.5, 999.0), (1, 500.5, 1000.0)]
+    assert plans and all("lambda" not in plan for plan in plans) and sum(plan.count("percentile_approx") for plan in plans) == 1
