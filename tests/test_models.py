@@ -9,6 +9,7 @@ from upkeep.models.boundary import fit_boundary
 from upkeep.models.isolation import _grow, average_path, fit_forest, sample_for_trees
 from upkeep.models.matrix import Standardizer, model_matrix, numeric_inputs, project
 from upkeep.models.splits import balanced_weights, stratify
+from upkeep.operators.correlation import correlations
 from upkeep.operators.slicing import DEFAULT_POLICY, SlicePolicy
 
 
@@ -204,3 +205,11 @@ def test_shortest_mix_is_the_point_nearest_to_the_origin():
     shares = boundary._shortest_mix(vectors @ vectors.T, np.array([0.0, 0.0, 1.0]))
     assert shares.sum() == pytest.approx(1.0) and (shares >= 0).all()
     assert shares @ vectors == pytest.approx([2.0, 0.0], abs=1e-6)
+
+
+def test_correlations_read_the_rows_once(spark):
+    rows = spark.createDataFrame([(1.0, 2.0, None), (2.0, 1.0, 5.0), (4.0, 3.0, 6.0)], "a double, b double, c double")
+    found = correlations(rows, ["a", "b", "c"])
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    got = {(r[0], r[1]): r[2] for r in found.collect()}
+    assert len(got) == 9 == found.count() and got["a", "b"] == got["b", "a"] == pytest.approx(rows.corr("a", "b"))

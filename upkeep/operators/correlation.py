@@ -11,7 +11,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.expressions import finite, quoted
 
@@ -58,8 +58,11 @@ def correlations(df: DataFrame, names: Sequence[str]) -> DataFrame:
     shared = c("n") * c("product") - c("sum_a") * c("sum_b")
     value = F.when((spread_a > 0) & (spread_b > 0), shared / (F.sqrt(spread_a) * F.sqrt(spread_b)))
     label = F.array(*[F.lit(name) for name in names])
-    one_way = pair_sums(df, names).select(
-        F.element_at(label, c("a") + 1).alias("feature_a"), F.element_at(label, c("b") + 1).alias("feature_b"), value.alias("correlation")
-    )
-    mirrored = one_way.where("feature_a <> feature_b").select(c("feature_b").alias("feature_a"), c("feature_a").alias("feature_b"), "correlation")
-    return one_way.unionByName(mirrored)
+    first, second = F.element_at(label, c("a") + 1), F.element_at(label, c("b") + 1)
+
+    def way(here: Column, there: Column) -> Column:
+        return F.struct(here.alias("feature_a"), there.alias("feature_b"), value.alias("correlation"))
+
+    # Both directions come from the one aggregate; a union of it with its mirror image would read the rows twice.
+    ways = F.when(c("a") == c("b"), F.array(way(first, second))).otherwise(F.array(way(first, second), way(second, first)))
+    return pair_sums(df, names).select(F.inline(ways))
