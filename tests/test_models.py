@@ -213,3 +213,22 @@ def test_correlations_read_the_rows_once(spark):
     assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
     got = {(r[0], r[1]): r[2] for r in found.collect()}
     assert len(got) == 9 == found.count() and got["a", "b"] == got["b", "a"] == pytest.approx(rows.corr("a", "b"))
+
+
+def counted(df, read):
+    """``df``, of which every row read is added to the accumulator."""
+
+    def work(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(work, df.schema)
+
+
+def test_effectiveness_labels_are_read_once(spark):
+    schema = "numero_ot long, famille string, prev_duration double, prev_cost double, is_effective boolean"
+    rows = spark.createDataFrame([(i, "ab"[i % 2], float(i), None, i % 3 == 0) for i in range(80)], schema)
+    read = spark.sparkContext.accumulator(0)
+    assert cl.train_effectiveness_model(counted(rows, read), cl.ModelSettings(trees=2, depth=2, balanced=True, folds=0))
+    assert read.value == 80
