@@ -207,14 +207,6 @@ def test_shortest_mix_is_the_point_nearest_to_the_origin():
     assert shares @ vectors == pytest.approx([2.0, 0.0], abs=1e-6)
 
 
-def test_correlations_read_the_rows_once(spark):
-    rows = spark.createDataFrame([(1.0, 2.0, None), (2.0, 1.0, 5.0), (4.0, 3.0, 6.0)], "a double, b double, c double")
-    found = correlations(rows, ["a", "b", "c"])
-    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
-    got = {(r[0], r[1]): r[2] for r in found.collect()}
-    assert len(got) == 9 == found.count() and got["a", "b"] == got["b", "a"] == pytest.approx(rows.corr("a", "b"))
-
-
 def counted(df, read):
     """``df``, of which every row read is added to the accumulator."""
 
@@ -226,9 +218,32 @@ def counted(df, read):
     return df.mapInArrow(work, df.schema)
 
 
+def test_training_reads_its_rows_once(spark, features):
+    features = features.withColumnRenamed("noise.x", "noise")
+    read = spark.sparkContext.accumulator(0)
+    trained = cl.train_failure_model(counted(features, read), cl.ModelSettings(trees=2, depth=2, balanced=True, folds=2))
+    got = trained.metrics.first()
+    assert read.value == 400
+    assert got["n_samples"] == 400 and got["positive_rate"] == pytest.approx(features.agg(F.avg("will_fail_within_30_days")).first()[0])
+
+
 def test_effectiveness_labels_are_read_once(spark):
     schema = "numero_ot long, famille string, prev_duration double, prev_cost double, is_effective boolean"
     rows = spark.createDataFrame([(i, "ab"[i % 2], float(i), None, i % 3 == 0) for i in range(80)], schema)
     read = spark.sparkContext.accumulator(0)
     assert cl.train_effectiveness_model(counted(rows, read), cl.ModelSettings(trees=2, depth=2, balanced=True, folds=0))
     assert read.value == 80
+
+
+def test_known_counts_give_the_same_weights(spark):
+    rows = spark.range(50).select("id", (F.col("id") % 5 == 0).cast("int").alias("label"))
+    given = balanced_weights(rows, "label", counts={0: 40, 1: 10})
+    assert given.exceptAll(balanced_weights(rows, "label")).count() == 0
+
+
+def test_correlations_read_the_rows_once(spark):
+    rows = spark.createDataFrame([(1.0, 2.0, None), (2.0, 1.0, 5.0), (4.0, 3.0, 6.0)], "a double, b double, c double")
+    found = correlations(rows, ["a", "b", "c"])
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    got = {(r[0], r[1]): r[2] for r in found.collect()}
+    assert len(got) == 9 == found.count() and got["a", "b"] == got["b", "a"] == pytest.approx(rows.corr("a", "b"))
