@@ -118,6 +118,17 @@ def test_feature_table_is_independent_of_slicing(orders):
     assert sorted(map(str, plain.select(names).collect())) == sorted(map(str, split.select(names).collect()))
 
 
+def test_feature_table_computes_only_the_columns_asked_for(orders):
+    few = ft.feature_table(orders).select("id_ordre_travail", "rolling_7d_failures", "site_avg_cost", "creation_hour")
+    plan = few._jdf.queryExecution().optimizedPlan().toString()
+    assert "rolling_7d_failures" in plan and "creation_hour" in plan
+    assert not any(name in plan for name in ("rolling_30d_failures", "creation_month", "urgence_Fort", "anomaly_leak"))
+    window = plan[plan.index("Window ["):]
+    assert "creation_hour" not in window  # computed after the windows
+    got = by_id(few)
+    assert (got[3]["rolling_7d_failures"], got[3]["site_avg_cost"], got[3]["creation_hour"]) == (3, pytest.approx(400 / 3), 9)
+
+
 def test_feature_groups(spark):
     rows = spark.createDataFrame([(1, 1.0, "x")], "creation_hour long, site_avg_cost double, rolling_name string")
     rows = rows.unionByName(spark.createDataFrame([(2, None, "y")], rows.schema))
