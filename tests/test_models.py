@@ -1,9 +1,12 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from upkeep.models import boundary, classifiers as cl, metrics
+from upkeep.models import boundary, classifiers as cl, metrics, trees
 from upkeep.models.anomaly import AnomalyDetector, AnomalyModel, anomaly_consensus, evaluate_anomalies
 from upkeep.models.boundary import fit_boundary
 from upkeep.models.isolation import _grow, average_path, fit_forest, sample_for_trees
@@ -247,3 +250,101 @@ def test_correlations_read_the_rows_once(spark):
     assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
     got = {(r[0], r[1]): r[2] for r in found.collect()}
     assert len(got) == 9 == found.count() and got["a", "b"] == got["b", "a"] == pytest.approx(rows.corr("a", "b"))
+
+
+@pytest.fixture(scope="module")
+def points(spark):
+    """700 rows with five inputs, one of them constant, one mostly 0, and a noisy label."""
+    names = ["a", "b", "c", "d", "e"]
+    rows = spark.range(700).select(
+        "id",
+        F.rand(1).alias("a"),
+        F.floor(F.rand(2) * 6).cast("double").alias("b"),
+        F.when(F.rand(3) < 0.2, F.rand(4) - 0.5).otherwise(0.0).alias("c"),
+        F.lit(1.5).alias("d"),
+        F.randn(5).alias("e"),
+    )
+    noisy = F.col("a") + F.col("b") / 6 + F.col("c") + F.rand(6)
+    rows = rows.withColumn("label", (noisy > 1.5).cast("int")).withColumn("weight", F.when(F.col("label") == 1, 1.4).otherwise(0.8))
+    return VectorAssembler(inputCols=names, outputCol="scaled").transform(rows).checkpoint()
+
+
+def probabilities(model, rows):
+    found = model.transform(rows).select("id", vector_to_array("probability")[1].alias("p")).orderBy("id").collect()
+    return np.array([r["p"] for r in found])
+
+
+def test_boosted_trees_are_those_of_mllib(points):
+    theirs = GBTClassifier(featuresCol="scaled", labelCol="label", maxIter=6, maxDepth=4, stepSize=0.1, seed=1).fit(points)
+    ours = trees.TreeLearner(6, 4, 1, 1, ["id", "scaled"], rate=0.1).fit(points)
+    assert np.allclose(probabilities(ours, points), probabilities(theirs, points), atol=1e-9)
+    assert np.allclose(ours.featureImportances.toArray(), theirs.featureImportances.toArray(), atol=1e-9)
+    assert ours.totalNumNodes == theirs.totalNumNodes and ours.treeWeights == theirs.treeWeights
+
+
+def test_forest_agrees_with_that_of_mllib(points):
+    held, learnt = points.where("id % 4 = 0"), points.where("id % 4 > 0")
+    settings = {"numTrees": 60, "maxDepth": 6, "minInstancesPerNode": 5, "featureSubsetStrategy": "sqrt", "weightCol": "weight", "seed": 1}
+    theirs = RandomForestClassifier(featuresCol="scaled", labelCol="label", **settings).fit(learnt)
+    ours = trees.TreeLearner(60, 6, 5, 1, ["id", "scaled"], weight="weight").fit(learnt)
+    assert ours.getNumTrees == 60 and ours.totalNumNodes == pytest.approx(theirs.totalNumNodes, rel=0.1)
+    assert np.allclose(ours.featureImportances.toArray(), theirs.featureImportances.toArray(), atol=0.05)
+    assert np.abs(probabilities(ours, held) - probabilities(theirs, held)).mean() < 0.05
+
+
+def test_splits_and_gains_of_a_known_table(spark):
+    assert list(trees.candidate_splits(np.array([0.0, 2.0, 2.0, 4.0]), np.ones(4), 4.0)) == [1.0, 3.0]
+    assert len(trees.candidate_splits(np.arange(1.0, 101.0), np.ones(100), 100.0)) == 31
+    counts = np.zeros((1, 1, trees.MAX_BINS, 2))
+    counts[0, 0, 0], counts[0, 0, 1] = [3, 1], [0, 4]
+    gain, which, cut, total, left = trees.best_label_splits(counts, (1.0, 1.0), 1)
+    assert (which[0], cut[0], list(total[0]), list(left[0])) == (0, 0, [3, 5], [3, 1])
+    assert gain[0] == pytest.approx((1 - 9 / 64 - 25 / 64) - 0.5 * (1 - 9 / 16 - 1 / 16))
+    assert trees.best_label_splits(counts, (1.0, 1.0), 5)[0][0] == -np.inf
+
+
+def test_draws_are_poisson_numbers():
+    drawn = trees.times_drawn(np.arange(200_000, dtype=np.uint64), 42, 3)
+    assert drawn.mean() == pytest.approx(1.0, abs=0.02) and drawn.var() == pytest.approx(1.0, abs=0.03)
+    assert (drawn == 0).mean() == pytest.approx(np.exp(-1), abs=0.01)
+    chosen = trees.inputs_of_nodes(42, 3, np.arange(5_000), 9, 3)
+    assert all(len(set(row)) == 3 for row in chosen.tolist())
+    assert np.allclose(np.bincount(chosen.ravel(), minlength=9) / 5_000, 1 / 3, atol=0.03)
+
+
+def test_trees_do_not_depend_on_chunks(points, monkeypatch):
+    forest = trees.TreeLearner(5, 5, 2, 1, ["id", "scaled"], weight="weight")
+    boosted = trees.TreeLearner(12, 3, 1, 1, ["id", "scaled"], rate=0.3)
+    one = [probabilities(learner.fit(points), points) for learner in (forest, boosted)]
+    monkeypatch.setattr(trees, "CHUNK_ROWS", 200)
+    several = [probabilities(learner.fit(points.repartition(7)), points) for learner in (forest, boosted)]
+    assert np.array_equal(several[0], one[0])
+    assert np.allclose(several[1], one[1], atol=1e-9)
+
+
+def test_rows_of_one_aim_are_not_split():
+    """After a perfect split, rounding must not grow the trees."""
+    bins = np.zeros((3_000, 2), np.uint8)
+    bins[:, 0], bins[:, 1] = np.arange(3_000) % 3 == 0, np.arange(3_000) % 7
+    grown = trees.boost_rows(trees.Rows(bins, bins[:, 0], np.zeros(3_000, np.uint64)), trees.BoostPlan(20, 4, 1, 0.1, 2))
+    assert {int((tree.feature >= 0).sum()) for tree in grown} == {1}
+
+
+def test_more_trees_take_no_more_jobs(spark, features):
+    """Every level of every tree was a job, or several."""
+    features = features.withColumnRenamed("noise.x", "noise")
+
+    def jobs(name, train, **settings):
+        spark.sparkContext.setJobGroup(name, name)
+        train(features, cl.ModelSettings(folds=0, **settings))
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+    few, many = (jobs(f"boosted-{n}", cl.train_parts_model, trees=n, depth=3, learning_rate=0.3) for n in (2, 12))
+    assert many <= few + 5
+    low, high = (jobs(f"forest-{n}", cl.train_failure_model, trees=4, depth=n, balanced=True) for n in (1, 6))
+    assert high <= low + 3
+
+
+def test_labels_must_be_known(points):
+    with pytest.raises(ValueError, match="labels must be 0 or 1"):
+        trees.TreeLearner(2, 2, 1, 1, ["id"]).fit(points.withColumn("label", F.when(F.col("id") > 5, F.col("label"))))
